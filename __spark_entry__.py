@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import oracle
 from tapflow import functions as fn
@@ -20,8 +20,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 def _plain(df: DataFrame) -> DataFrame:
     """Column types both engines agree on: bigint, double, string."""
     kinds = {"date": "string", "int": "bigint"}
-    return df.select(*[
-        F.col(name).cast(kinds[kind]).alias(name) if kind in kinds else F.col(name)
+    return df.selectExpr(*[
+        f"cast({name} AS {kinds[kind]}) AS {name}" if kind in kinds else name
         for name, kind in df.dtypes
     ])
 
@@ -32,7 +32,7 @@ def _plan(spark: SparkSession, folder: str, with_rail: bool = True, squeeze: int
     return OdPlan(
         taps=tables.taps,
         gps_fixes=tables.gps_fixes,
-        network=Network.of(tables.bus_sites, rail_sites),
+        network=Network(tables.bus_sites, rail_sites),
         gates=tables.gates if with_rail else None,
     )
 
@@ -46,34 +46,32 @@ def _of_plan(step: Callable[[OdPlan], DataFrame], **options) -> Query:
 
 
 def _time_format_roundtrip(t: EventTables) -> DataFrame:
-    text = F.concat("date", "time")
-    rows = t.gates_raw.select("card", "station", text.alias("text"), fn.ms_from_compact(text).alias("ms"))
-    return rows.select(
-        "*", fn.compact_from_ms(F.col("ms")).alias("back"), fn.month_from_ms(F.col("ms")).alias("month"),
-        fn.compact_from_ms(-F.col("ms")).alias("before_1970"),
+    rows = t.gates_raw.selectExpr("card", "station", "concat(date, time) AS text")
+    return rows.selectExpr("*", f"{fn.ms_from_compact('text')} AS ms").selectExpr(
+        "*", f"{fn.compact_from_ms('ms')} AS back", f"{fn.month_from_ms('ms')} AS month",
+        f"{fn.compact_from_ms('(-ms)')} AS before_1970",
     )
 
 
 def _site_distance(t: EventTables) -> DataFrame:
     """Every bus stop to the next one of its route, and to a stop without a position."""
-    along = Window.partitionBy("route_id").orderBy("site")
-    rows = t.bus_sites.select(
+    along = "OVER (PARTITION BY route_id ORDER BY site)"
+    rows = t.bus_sites.selectExpr(
         "route_id", "site", "lon", "lat",
-        *[F.lead(c).over(along).alias(f"next_{c}") for c in ("site", "lon", "lat")],
+        *[f"lead({c}) {along} AS next_{c}" for c in ("site", "lon", "lat")],
     )
-    return rows.select(
+    return rows.selectExpr(
         "route_id", "site", "next_site",
-        fn.site_distance(*map(F.col, ("lon", "lat", "next_lon", "next_lat"))).alias("to_next"),
-        fn.site_distance(F.col("lon"), F.col("lat"), F.lit(0), F.col("lat")).alias("to_nowhere"),
+        f"{fn.site_distance('lon', 'lat', 'next_lon', 'next_lat')} AS to_next",
+        f"{fn.site_distance('lon', 'lat', '0', 'lat')} AS to_nowhere",
     )
 
 
 def _run_fixes(t: EventTables) -> DataFrame:
     fixes = gps.run_fixes(gps.trip_runs(gps.dwell_first(t.gps_fixes)))
-    first, last = F.col("fixes")[0], F.element_at("fixes", -1)
-    return fixes.select(
-        "service_date", "vehicle", "run", F.size("fixes").alias("fixes_in_run"),
-        first["ts_ms"].alias("first_ms"), last["ts_ms"].alias("last_ms"), F.inline("fixes"),
+    return fixes.selectExpr(
+        "service_date", "vehicle", "run", "size(fixes) AS fixes_in_run",
+        "fixes[0].ts_ms AS first_ms", "element_at(fixes, -1).ts_ms AS last_ms", "inline(fixes)",
     )
 
 

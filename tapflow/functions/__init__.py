@@ -1,5 +1,6 @@
-"""Column expressions: every one is a composition of Spark SQL built-ins."""
+"""Scalar functions as SQL text over Spark built-ins, so that they stay inside code generation."""
 
+from tapflow.functions import keys
 from tapflow.functions.fares import amount, amount_sum, free_ride
 from tapflow.functions.geo import site_distance
 from tapflow.functions.keys import (
@@ -11,7 +12,7 @@ from tapflow.functions.times import (
 )
 
 __all__ = [
-    "amount", "amount_sum", "bus_direction", "compact_from_ms", "free_ride", "month_from_ms",
+    "amount", "amount_sum", "bus_direction", "compact_from_ms", "free_ride", "keys", "month_from_ms",
     "ms_from_compact", "ms_from_text", "pad_route", "pad_site", "pad_type", "pad_vehicle",
     "person_key", "rail_card", "service_day", "site_distance", "station_route",
     "station_route_id", "station_site", "station_site_id",

@@ -1,23 +1,18 @@
-"""Distance between two stops."""
-
-from pyspark.sql import Column, functions as F
+"""Distance between two stops, as SQL text."""
 
 EARTH_RADIUS_KM = 6378.137
 UNKNOWN_KM = 100.0
 
 
-def site_distance(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
+def site_distance(lon1: str, lat1: str, lon2: str, lat2: str) -> str:
     """Kilometres to two places (half up), `2 R sin(sqrt(haversine))`.
 
     The outer sine is part of the definition (an arc sine would give the great circle); below a
     few hundred kilometres both agree to the last digit kept. A zero, missing or unreadable
     coordinate gives `UNKNOWN_KM`.
     """
-    x1, y1, x2, y2 = (c.try_cast("double") for c in (lon1, lat1, lon2, lat2))
-    half_lat = (F.radians(y1) - F.radians(y2)) / 2
-    half_lon = (F.radians(x1) - F.radians(x2)) / 2
-    haversine = F.pow(F.sin(half_lat), F.lit(2.0)) + (
-        F.cos(F.radians(y1)) * F.cos(F.radians(y2)) * F.pow(F.sin(half_lon), F.lit(2.0))
-    )
-    km = F.round(2 * EARTH_RADIUS_KM * F.sin(F.sqrt(haversine)), 2)
-    return F.when((x1 != 0) & (y1 != 0) & (x2 != 0) & (y2 != 0), km).otherwise(F.lit(UNKNOWN_KM))
+    x1, y1, x2, y2 = (f"try_cast({c} AS double)" for c in (lon1, lat1, lon2, lat2))
+    haversine = f"""power(sin((radians({y1}) - radians({y2})) / 2), 2)
+        + cos(radians({y1})) * cos(radians({y2})) * power(sin((radians({x1}) - radians({x2})) / 2), 2)"""
+    return f"""CASE WHEN {x1} != 0 AND {y1} != 0 AND {x2} != 0 AND {y2} != 0
+        THEN round({2 * EARTH_RADIUS_KM}D * sin(sqrt({haversine})), 2) ELSE {UNKNOWN_KM}D END"""

@@ -1,54 +1,57 @@
-"""Fixed-width keys. Zero padding makes text order equal numeric order on stop ordinals."""
+"""Fixed-width keys, as SQL text.
 
-from pyspark.sql import Column, functions as F
+Zero padding makes text order equal numeric order on stop ordinals.
+"""
 
 UP_TEXT = "上行"
 UP, DOWN, RAIL = "0", "1", "2"
 NO_VEHICLE = "00000000"
 
 
-def pad_vehicle(text: Column) -> Column:
-    return F.lpad(text, 8, "0")
+def pad_vehicle(text: str) -> str:
+    return f"lpad({text}, 8, '0')"
 
 
-def pad_route(text: Column) -> Column:
-    return F.lpad(text, 8, "0")
+def pad_route(text: str) -> str:
+    return f"lpad({text}, 8, '0')"
 
 
-def pad_site(text: Column) -> Column:
-    return F.lpad(text, 6, "0")
+def pad_site(text: str) -> str:
+    return f"lpad({text}, 6, '0')"
 
 
-def pad_type(text: Column) -> Column:
-    return F.lpad(text, 2, "0")
+def pad_type(text: str) -> str:
+    return f"lpad({text}, 2, '0')"
 
 
-def rail_card(text: Column) -> Column:
+def rail_card(text: str) -> str:
     """The last sixteen characters of a rail ticket number, padded."""
-    return F.lpad(F.right(text, F.lit(16)), 16, "0")
+    return f"lpad(right({text}, 16), 16, '0')"
 
 
-def person_key(card: Column) -> Column:
+def person_key(card: str) -> str:
     """Characters 9 to 16 of the card number identify the card holder on bus and rail alike."""
-    return F.substring(F.lpad(card, 16, "0"), 9, 8)
+    return f"substr(lpad({card}, 16, '0'), 9, 8)"
 
 
-def station_route_id(code: Column) -> Column:
-    return F.concat(F.lit("0" * 14), F.substring(code, 1, 2))
+def station_route_id(code: str) -> str:
+    """Sixteen wide: the two digits of the line."""
+    return f"lpad(substr({code}, 1, 2), 16, '0')"
 
 
-def station_route(code: Column) -> Column:
-    return F.concat(F.lit("0" * 6), F.substring(code, 1, 2))
+def station_route(code: str) -> str:
+    return f"lpad(substr({code}, 1, 2), 8, '0')"
 
 
-def station_site(code: Column) -> Column:
-    return F.concat(F.lit("0" * 4), F.substring(code, 3, 2))
+def station_site(code: str) -> str:
+    """Six wide: the two digits of the stop."""
+    return f"lpad(substr({code}, 3, 2), 6, '0')"
 
 
-def station_site_id(code: Column) -> Column:
-    return F.lpad(code, 16, "0")
+def station_site_id(code: str) -> str:
+    return f"lpad({code}, 16, '0')"
 
 
-def bus_direction(text: Column) -> Column:
+def bus_direction(text: str) -> str:
     """`0` for the up direction, `1` for any other text, a missing one included."""
-    return F.when(text.eqNullSafe(F.lit(UP_TEXT)), F.lit(UP)).otherwise(F.lit(DOWN))
+    return f"IF({text} <=> '{UP_TEXT}', '{UP}', '{DOWN}')"

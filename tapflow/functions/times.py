@@ -1,38 +1,37 @@
-"""Text <-> epoch milliseconds. Times stay `bigint` ms inside the engine; text only at the edges.
+"""Text <-> epoch milliseconds, as SQL text to put in `selectExpr` or `F.expr`.
 
-All conversions use the session time zone (`spark.sql.session.timeZone`). Unreadable text gives
-NULL rather than an error, so that rejects can be counted.
+Times stay `bigint` ms inside the engine; text only at the edges. All conversions use the session time
+zone (`spark.sql.session.timeZone`). Unreadable text gives NULL rather than an error, so that rejects
+can be counted.
 """
 
-from pyspark.sql import Column, functions as F
-
 TEXT_PATTERN = "yyyy-MM-dd HH:mm:ss"
 COMPACT_PATTERN = "yyyyMMddHHmmss"
 NO_TIME = "0" * 14
+NO_MONTH = "0" * 6
 
 
-def ms_from_text(text: Column) -> Column:
+def ms_from_text(text: str) -> str:
     """`yyyy-MM-dd HH:mm:ss[.fraction]` to epoch ms; whatever follows the seconds is ignored."""
-    return F.unix_millis(F.try_to_timestamp(F.substring(text, 1, 19), F.lit(TEXT_PATTERN)))
+    return f"unix_millis(try_to_timestamp(substr({text}, 1, 19), '{TEXT_PATTERN}'))"
 
 
-def ms_from_compact(text: Column) -> Column:
+def ms_from_compact(text: str) -> str:
     """`yyyyMMddHHmmss` to epoch ms."""
-    return F.unix_millis(F.try_to_timestamp(text, F.lit(COMPACT_PATTERN)))
+    return f"unix_millis(try_to_timestamp({text}, '{COMPACT_PATTERN}'))"
 
 
-def compact_from_ms(ms: Column) -> Column:
+def compact_from_ms(ms: str) -> str:
     """Epoch ms to `yyyyMMddHHmmss`; times before 1970 print as fourteen zeros."""
-    return F.when(ms < 0, F.lit(NO_TIME)).otherwise(
-        F.date_format(F.timestamp_millis(ms), COMPACT_PATTERN)
-    )
+    shown = f"date_format(timestamp_millis({ms}), '{COMPACT_PATTERN}')"
+    return f"IF({ms} < 0, '{NO_TIME}', {shown})"
 
 
-def month_from_ms(ms: Column) -> Column:
+def month_from_ms(ms: str) -> str:
     """Epoch ms to `yyyyMM`; times before 1970 print as six zeros."""
-    return F.when(ms < 0, F.lit("0" * 6)).otherwise(F.date_format(F.timestamp_millis(ms), "yyyyMM"))
+    return f"IF({ms} < 0, '{NO_MONTH}', date_format(timestamp_millis({ms}), 'yyyyMM'))"
 
 
-def service_day(ms: Column) -> Column:
+def service_day(ms: str) -> str:
     """Calendar day a record belongs to."""
-    return F.to_date(F.timestamp_millis(ms))
+    return f"to_date(timestamp_millis({ms}))"

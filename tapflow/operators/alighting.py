@@ -1,6 +1,6 @@
 """Where a bus rider got off: inferred from the next boarding, or drawn from history."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tapflow.schemas import CHAINED, PERSON_DAY, VEHICLE_DAY
 
@@ -12,41 +12,38 @@ UNKNOWN_MS = 2_222_222_222_222
 
 # Columns of a tap that later steps still need once its candidates are settled.
 CARRIED = [c for c in CHAINED if c not in {"run", "target_route", "target_site", "next_ms"}]
+RIDE = [c for c in CARRIED if c != "shared_tap"]
 
 
 def candidates(chain: DataFrame, near: DataFrame) -> DataFrame:
     """Stops further down the boarded route, same direction, near a stop the target route has up to
     the target; one row per candidate, and one row with NULLs for a boarding without any."""
-    n = near.select(
-        F.col("route").alias("near_route"), F.col("site").alias("near_site"),
-        F.col("direction2").alias("near_direction"),
-        "route_id2", "route2", "site_id2", "site2", "site_name2", "lon2", "lat2", "distance",
+    n = near.selectExpr(
+        "route AS near_route", "site AS near_site", "direction2 AS near_direction", "route_id2",
+        "route2", "site_id2", "site2", "site_name2", "lon2", "lat2", "distance",
     )
-    matches = (
-        (F.col("target_route") == F.col("near_route"))
-        & (F.col("route") == F.col("route2"))
-        & (F.col("direction") == F.col("near_direction"))
-        & (F.col("target_site") >= F.col("near_site"))
-        & (F.col("site") < F.col("site2"))
+    matches = F.expr(
+        """target_route = near_route AND route = route2 AND direction = near_direction
+           AND target_site >= near_site AND site < site2"""
     )
-    return (
-        chain.join(n, matches, "left")
-        .withColumn("distance", F.coalesce("distance", F.lit(0.0)))
-        .drop("near_route", "near_direction")
+    return chain.join(n, matches, "left").selectExpr(
+        *chain.columns, "near_site", "route_id2", "route2", "site_id2", "site2", "site_name2",
+        "lon2", "lat2", "coalesce(distance, 0D) AS distance",
     )
 
 
 def nearby_stops(near: DataFrame) -> DataFrame:
     """The near-stop table per (target route, boarded route, direction): at most as many entries as
     the two routes have pairs of stops. Attributes are in the order in which candidates compete."""
-    stop = F.struct("distance", "site2", F.col("site").alias("near_site"), "site_id2")
+    stops = "collect_list(struct(distance, site2, near_site, site_id2)) AS stops"
     return (
-        near.filter(F.col("site_id2").isNotNull())
-        .groupBy(
-            F.col("route").alias("target_route"), F.col("route2").alias("route"),
-            F.col("direction2").alias("direction"),
+        near.filter("site_id2 IS NOT NULL")
+        .selectExpr(
+            "route AS target_route", "route2 AS route", "direction2 AS direction", "distance",
+            "site2", "site AS near_site", "site_id2",
         )
-        .agg(F.collect_list(stop).alias("stops"))
+        .groupBy("target_route", "route", "direction")
+        .agg(F.expr(stops))
     )
 
 
@@ -62,22 +59,17 @@ def infer(chain: DataFrame, run_fixes: DataFrame, nearby: DataFrame) -> DataFram
     rows = chain.join(run_fixes, [*VEHICLE_DAY, "run"], "left").join(
         nearby, ["target_route", "route", "direction"], "left"
     )
-    visited = F.filter("fixes", lambda f: f["ts_ms"] < F.col("next_ms"))
-    rows = rows.withColumn("visited", visited)
-    lowest = F.array_min(F.transform("visited", lambda f: f["site"]))
-    rows = rows.withColumn("_lowest", lowest)
-    usable = F.filter(
-        "stops",
-        lambda s: (s["near_site"] <= F.col("target_site"))
-        & (s["site2"] > F.col("site"))
-        & (s["site_id2"] >= F.col("site_id"))
-        & (s["site2"] >= F.col("_lowest")),
+    visited = rows.selectExpr(
+        *CARRIED, "target_site", "stops", "filter(fixes, f -> f.ts_ms < next_ms) AS visited"
+    )
+    lowest = visited.selectExpr("*", "array_min(visited.site) AS lowest")
+    usable = """s.near_site <= target_site AND s.site2 > site AND s.site_id2 >= site_id
+                AND s.site2 >= lowest"""
+    return (
+        lowest.selectExpr(*CARRIED, "visited", f"array_min(filter(stops, s -> {usable})) AS best")
+        .selectExpr("*", "array_max(filter(visited, f -> f.site <= best.site2)) AS off")
+        .selectExpr(*CARRIED, "best", "off", "IF(off IS NULL, visited, NULL) AS visited")
     )
-    rows = rows.withColumn("best", F.array_min(usable))
-    reached = F.filter("visited", lambda f: f["site"] <= F.col("best.site2"))
-    rows = rows.withColumn("off", F.array_max(reached))
-    unresolved = F.when(F.col("off").isNull(), F.col("visited"))
-    return rows.select(*CARRIED, "best", "off", unresolved.alias("visited"))
 
 
 def one_leg_per_tap(inferred: DataFrame) -> DataFrame:
@@ -85,30 +77,23 @@ def one_leg_per_tap(inferred: DataFrame) -> DataFrame:
 
     Only rows marked `shared_tap` can have company, so only those are grouped.
     """
-    alone = inferred.filter(~F.col("shared_tap"))
-    rank = F.struct(
-        F.col("off").isNull().alias("unresolved"), "best", "card", "route", "site", "direction",
-        "vehicle", "site_id", "fare_due", "fare_paid",
-    )
+    rank = """struct(off IS NULL, best, card, route, site, direction, vehicle, site_id, fare_due,
+                     fare_paid)"""
     columns = [c for c in inferred.columns if c not in TAP]
     chosen = (
         inferred.filter("shared_tap")
         .groupBy(*TAP)
-        .agg(F.min(F.struct(rank.alias("rank"), *columns)).alias("row"))
-        .select(*TAP, "row.*")
-        .drop("rank")
+        .agg(F.expr(f"min(struct({rank} AS rank, {', '.join(columns)})) AS kept"))
+        .selectExpr(*TAP, *[f"kept.{c}" for c in columns])
     )
-    return alone.unionByName(chosen)
+    return inferred.filter("NOT shared_tap").unionByName(chosen)
 
 
 def resolved_legs(taps: DataFrame) -> DataFrame:
     """Boardings whose alighting was inferred."""
-    return taps.filter(F.col("off").isNotNull()).select(
-        *[c for c in CARRIED if c != "shared_tap"],
-        F.col("off.site").alias("off_site"),
-        F.col("off.ts_ms").alias("off_ms"),
-        F.col("best.distance").alias("distance"),
-        F.lit(None).cast("bigint").alias("weight"),
+    return taps.filter("off IS NOT NULL").selectExpr(
+        *RIDE, "off.site AS off_site", "off.ts_ms AS off_ms", "best.distance AS distance",
+        "cast(NULL AS bigint) AS weight",
     )
 
 
@@ -138,14 +123,25 @@ def without_days(weights: DataFrame) -> DataFrame:
 
 def history_by_route(weights: DataFrame) -> DataFrame:
     """Weights per (day, route) as an array in stop order: at most one entry per stop of the route."""
-    entry = F.sort_array(F.collect_list(F.struct("site", "weight")))
-    return weights.groupBy("service_date", "route").agg(entry.alias("history"))
-
-
-def draw(person: Column, ts_ms: Column) -> Column:
-    """A repeatable number in [0, 1) for a tap: the first 32 bits of an MD5, over 2^32."""
-    digest = F.md5(F.concat(person, ts_ms.cast("string")))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    history = F.expr("sort_array(collect_list(struct(site, weight))) AS history")
+    return weights.groupBy("service_date", "route").agg(history)
+
+
+# A repeatable number in [0, 1) for a tap: the first 32 bits of an MD5, over 2^32.
+DRAW = "cast(conv(substr(md5(concat(person, ts_ms)), 1, 8), 16, 10) AS double) / 4294967296D"
+
+# First entry of `history` whose running share of the total weight exceeds the draw.
+PICK = """aggregate(
+    history,
+    struct(0L AS passed, cast(NULL AS struct<site: string, weight: bigint>) AS pick),
+    (acc, h) -> struct(
+        acc.passed + h.weight AS passed,
+        coalesce(
+            acc.pick,
+            IF(cast(acc.passed + h.weight AS double) / cast(total AS double) > draw, h, NULL)
+        ) AS pick
+    )
+).pick"""
 
 
 def fallback_legs(
@@ -158,39 +154,31 @@ def fallback_legs(
     fix beyond the boarding stop, else `UNKNOWN_SITE` at `UNKNOWN_MS`. A boarding without any
     downstream history on its route gives no leg, unless `keep_unmatched`.
     """
-    open_taps = taps.filter(F.col("off").isNull()).drop("best", "off")
-    rows = open_taps.join(
-        history, ["service_date", "route"], "left" if keep_unmatched else "inner"
-    ).withColumn("history", F.filter("history", lambda h: h["site"] > F.col("site")))
-    if not keep_unmatched:
-        rows = rows.filter(F.size("history") > 0)
-    seen = F.transform("visited", lambda f: f["site"])
-    rows = rows.withColumn("_seen", seen).withColumn(
-        "history",
-        F.coalesce(F.filter("history", lambda h: F.array_contains("_seen", h["site"])), F.array()),
+    rows = (
+        taps.filter("off IS NULL")
+        .join(history, ["service_date", "route"], "left" if keep_unmatched else "inner")
+        .selectExpr(*RIDE, "visited", "filter(history, h -> h.site > site) AS history")
     )
-    total = F.aggregate("history", F.lit(0).cast("bigint"), lambda acc, h: acc + h["weight"])
-    rows = rows.withColumn("_total", total).withColumn("_draw", draw(F.col("person"), F.col("ts_ms")))
-    start = F.struct(
-        F.lit(0).cast("bigint").alias("passed"),
-        F.lit(None).cast("struct<site:string,weight:bigint>").alias("pick"),
-    )
-
-    def step(acc: Column, entry: Column) -> Column:
-        passed = acc["passed"] + entry["weight"]
-        share = passed.cast("double") / F.col("_total").cast("double")
-        pick = F.coalesce(acc["pick"], F.when(share > F.col("_draw"), entry))
-        return F.struct(passed.alias("passed"), pick.alias("pick"))
-
-    rows = rows.withColumn("pick", F.aggregate("history", start, step)["pick"])
-    at_pick = F.array_max(F.filter("visited", lambda f: f["site"] == F.col("pick.site")))
-    beyond = F.array_max(F.filter("visited", lambda f: f["site"] > F.col("site")))
-    nowhere = F.struct(F.lit(UNKNOWN_MS).alias("ts_ms"), F.lit(UNKNOWN_SITE).alias("site"))
-    rows = rows.withColumn("off", F.coalesce(at_pick, beyond, nowhere))
-    return rows.select(
-        *[c for c in CARRIED if c != "shared_tap"],
-        F.col("off.site").alias("off_site"),
-        F.col("off.ts_ms").alias("off_ms"),
-        F.lit(None).cast("double").alias("distance"),
-        F.col("pick.weight").alias("weight"),
+    if not keep_unmatched:
+        rows = rows.filter("size(history) > 0")
+    return (
+        rows.selectExpr("*", "visited.site AS seen")
+        .selectExpr(
+            *RIDE, "visited", "filter(history, h -> array_contains(seen, h.site)) AS history"
+        )
+        .selectExpr("*", "aggregate(history.weight, 0L, (acc, w) -> acc + w) AS total", f"{DRAW} AS draw")
+        .selectExpr(*RIDE, "visited", f"{PICK} AS pick")
+        .selectExpr(
+            *RIDE,
+            "pick",
+            f"""coalesce(
+                array_max(filter(visited, f -> f.site = pick.site)),
+                array_max(filter(visited, f -> f.site > site)),
+                struct({UNKNOWN_MS}L AS ts_ms, '{UNKNOWN_SITE}' AS site)
+            ) AS off""",
+        )
+        .selectExpr(
+            *RIDE, "off.site AS off_site", "off.ts_ms AS off_ms",
+            "cast(NULL AS double) AS distance", "pick.weight AS weight",
+        )
     )

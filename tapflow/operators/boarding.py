@@ -1,6 +1,6 @@
 """Boarding stop of a bus tap: where the vehicle was last seen before the tap."""
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tapflow.schemas import BOARDED, VEHICLE_DAY
 
@@ -10,10 +10,10 @@ SLOT_MS = 600_000
 SLOTS = 144
 
 
-def _slot(ts_ms: Column) -> Column:
-    day_start = F.unix_millis(F.col("service_date").cast("timestamp"))
-    slot = F.floor((ts_ms - day_start) / SLOT_MS)
-    return F.greatest(F.lit(0), F.least(F.lit(SLOTS - 1), slot)).cast("int")
+_SLOT = (
+    f"cast(greatest(0, least({SLOTS - 1}, floor("
+    f"(ts_ms - unix_millis(cast(service_date AS timestamp))) / {SLOT_MS}))) AS int) AS slot"
+)
 
 
 def fix_slots(runs: DataFrame) -> DataFrame:
@@ -22,23 +22,24 @@ def fix_slots(runs: DataFrame) -> DataFrame:
     These are the fixes inside the slot and the last one before it. Slots without a fix repeat the
     last one, up to the end of the day, so every tap after the first fix finds exactly one row.
     """
-    fix = F.struct("ts_ms", "site", "run")
-    per_slot = runs.groupBy(*VEHICLE_DAY, _slot(F.col("ts_ms")).alias("slot")).agg(
-        F.sort_array(F.collect_list(fix)).alias("fixes")
+    per_slot = runs.selectExpr("*", _SLOT).groupBy(*VEHICLE_DAY, "slot").agg(
+        F.expr("sort_array(collect_list(struct(ts_ms, site, run))) AS fixes")
     )
-    window = Window.partitionBy(*VEHICLE_DAY).orderBy("slot")
-    last = F.element_at("fixes", -1)
-    reach = F.coalesce(F.lead("slot").over(window) - 1, F.lit(SLOTS - 1))
-    spans = per_slot.select(
-        *VEHICLE_DAY, F.col("slot").alias("home"), "fixes", last.alias("last"),
-        F.lag(last).over(window).alias("before"), reach.alias("reach"),
+    along = "OVER (PARTITION BY service_date, vehicle ORDER BY slot)"
+    spans = per_slot.selectExpr(
+        "*",
+        f"lag(fixes) {along} AS before",
+        f"coalesce(lead(slot) {along} - 1, {SLOTS - 1}) AS reach",
+    )
+    return spans.selectExpr(
+        *VEHICLE_DAY, "slot AS home", "fixes", "before", "explode(sequence(slot, reach)) AS slot"
+    ).selectExpr(
+        *VEHICLE_DAY,
+        "slot",
+        """CASE WHEN slot > home THEN slice(fixes, -1, 1)
+                WHEN before IS NULL THEN fixes
+                ELSE concat(slice(before, -1, 1), fixes) END AS fixes""",
     )
-    spread = spans.select("*", F.explode(F.sequence("home", "reach")).alias("slot"))
-    looks = F.when(
-        F.col("slot") == F.col("home"),
-        F.concat(F.array_compact(F.array("before")), "fixes"),
-    ).otherwise(F.array("last"))
-    return spread.select(*VEHICLE_DAY, "slot", looks.alias("fixes"))
 
 
 def board_asof(taps: DataFrame, runs: DataFrame) -> DataFrame:
@@ -49,19 +50,18 @@ def board_asof(taps: DataFrame, runs: DataFrame) -> DataFrame:
     spread over its slots, and adaptive execution may split a slot further. Of several taps of one
     card in the same instant the one closest to its fix is kept.
     """
-    taps = taps.withColumn("slot", _slot(F.col("ts_ms")))
-    earlier = F.filter("fixes", lambda f: f["ts_ms"] < F.col("ts_ms"))
+    key = ["service_date", "card", "ts_ms"]
+    kept = [c for c in taps.columns if c not in {*key, "site"}]
     matched = (
-        taps.join(fix_slots(runs), [*VEHICLE_DAY, "slot"])
-        .withColumn("fix", F.array_max(earlier))
-        .filter(F.col("fix").isNotNull())
+        taps.selectExpr("*", _SLOT)
+        .join(fix_slots(runs), [*VEHICLE_DAY, "slot"])
+        .selectExpr(*key, *kept, "array_max(filter(fixes, f -> f.ts_ms < ts_ms)) AS fix")
+        .filter("fix IS NOT NULL")
     )
-    key = ["service_date", "card", "ts_ms"]
-    kept = [c for c in taps.columns if c not in {*key, "site", "slot"}]
-    closest = F.max(F.struct(F.col("fix"), *kept)).alias("tap")
-    return matched.groupBy(*key).agg(closest).select(
-        *key, *[F.col(f"tap.{c}") for c in kept],
-        F.col("tap.fix.ts_ms").alias("fix_ms"), F.col("tap.fix.site"), F.col("tap.fix.run"),
+    closest = F.expr(f"max(struct(fix, {', '.join(kept)})) AS tap")
+    return matched.groupBy(*key).agg(closest).selectExpr(
+        *key, *[f"tap.{c}" for c in kept],
+        "tap.fix.ts_ms AS fix_ms", "tap.fix.site AS site", "tap.fix.run AS run",
     )
 
 
@@ -71,7 +71,7 @@ def site_lookup(asof: DataFrame, bus_sites: DataFrame) -> DataFrame:
 
 
 def matched_boardings(boarded: DataFrame) -> DataFrame:
-    return boarded.filter(F.col("site_id").isNotNull())
+    return boarded.filter("site_id IS NOT NULL")
 
 
 def vehicle_day(taps: DataFrame, vehicle: str) -> DataFrame:

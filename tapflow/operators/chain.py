@@ -1,10 +1,10 @@
 """A person's day as a chain: where each boarding leads to."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from tapflow.functions.keys import RAIL
 from tapflow.operators.ordered import neighbours
-from tapflow.schemas import BOARDED, BOARDING_ORDER, CHAINED, PERSON_DAY
+from tapflow.schemas import BOARDED, BOARDING_ORDER, PERSON_DAY
 
 # Stands for "after everything else" where a day's last boarding has no successor.
 END_OF_TIME_MS = 5_000_000_000_000
@@ -12,11 +12,11 @@ END_OF_TIME_MS = 5_000_000_000_000
 
 def with_rail_boardings(boarded: DataFrame, legs: DataFrame) -> DataFrame:
     """Bus boardings and the entries of rail legs in one table."""
-    rail = legs.select(
-        "service_date", "card", "person", "card_type", F.col("on_ms").alias("ts_ms"), "vehicle",
-        *[F.col(f"on_{c}").alias(c) for c in ("route_id", "route", "site_id", "site", "site_name")],
-        "direction", F.col("on_lon").alias("lon"), F.col("on_lat").alias("lat"), "change_type",
-        "fare_due", "fare_paid", F.lit(None).cast("int").alias("run"),
+    rail = legs.selectExpr(
+        "service_date", "card", "person", "card_type", "on_ms AS ts_ms", "vehicle",
+        "on_route_id AS route_id", "on_route AS route", "on_site_id AS site_id", "on_site AS site",
+        "on_site_name AS site_name", "direction", "on_lon AS lon", "on_lat AS lat", "change_type",
+        "fare_due", "fare_paid", "cast(NULL AS int) AS run",
     )
     return boarded.select(*BOARDED).unionByName(rail)
 
@@ -32,12 +32,10 @@ def travel_chain(boardings: DataFrame, hot: DataFrame | None = None) -> DataFram
         boardings, PERSON_DAY, BOARDING_ORDER,
         previous=look, following=look, opening=look, hot=hot,
     )
-    target = F.coalesce("following", "opening")
-    same = [F.col(f"{side}.ts_ms").eqNullSafe(F.col("ts_ms")) for side in ("previous", "following")]
-    return rows.filter(~F.col("direction").eqNullSafe(F.lit(RAIL))).select(
+    return rows.filter(f"NOT (direction <=> '{RAIL}')").selectExpr(
         *BOARDED,
-        target["route"].alias("target_route"),
-        target["site"].alias("target_site"),
-        F.coalesce(F.col("following.ts_ms"), F.lit(END_OF_TIME_MS)).alias("next_ms"),
-        (same[0] | same[1]).alias("shared_tap"),
-    ).select(*CHAINED)
+        "coalesce(following, opening).route AS target_route",
+        "coalesce(following, opening).site AS target_site",
+        f"coalesce(following.ts_ms, {END_OF_TIME_MS}L) AS next_ms",
+        "(previous.ts_ms <=> ts_ms) OR (following.ts_ms <=> ts_ms) AS shared_tap",
+    )

@@ -1,113 +1,109 @@
-"""Raw text feeds to typed tables."""
+"""Raw text feeds to typed tables.
 
-from pyspark.sql import DataFrame, functions as F
+`service_date` names the day of a one-day file; left out, it is the day of the record. Records whose
+time cannot be read are left out (see the `*_rejects` functions).
+"""
+
+from pyspark.sql import DataFrame
 
 from tapflow import functions as fn
 from tapflow.schemas import TAPS
 
 
-def _day(ts_ms, service_date: str | None):
-    return fn.service_day(ts_ms) if service_date is None else F.lit(service_date).cast("date")
+def _dated(rows: DataFrame, service_date: str | None) -> DataFrame:
+    day = fn.service_day("ts_ms") if service_date is None else f"DATE '{service_date}'"
+    return rows.filter("ts_ms IS NOT NULL").selectExpr(f"{day} AS service_date", "*")
 
 
 def clean_taps(raw: DataFrame, service_date: str | None = None) -> DataFrame:
-    """Bus taps with padded keys; free card types owe and pay nothing.
-
-    `service_date` names the day of a one-day file; left out, it is the day of the tap. Rows whose
-    time cannot be read are left out (see `tap_rejects`).
-    """
-    ts = fn.ms_from_text(F.col("tap_time"))
-    due, paid = (
-        fn.free_ride(F.col("card_type"), fn.amount(F.col(c))) for c in ("fare_due", "fare_paid")
-    )
-    rows = raw.select(
+    """Bus taps with padded keys; free card types owe and pay nothing."""
+    rows = raw.selectExpr(
         "card",
-        fn.person_key(F.col("card")).alias("person"),
-        fn.pad_type(F.col("card_type")).alias("card_type"),
-        ts.alias("ts_ms"),
-        fn.pad_vehicle(F.col("vehicle")).alias("vehicle"),
-        fn.pad_route(F.col("route")).alias("route"),
-        fn.pad_site(F.col("site")).alias("site"),
+        f"{fn.person_key('card')} AS person",
+        f"{fn.pad_type('card_type')} AS card_type",
+        f"{fn.ms_from_text('tap_time')} AS ts_ms",
+        f"{fn.pad_vehicle('vehicle')} AS vehicle",
+        f"{fn.pad_route('route')} AS route",
+        f"{fn.pad_site('site')} AS site",
         "change_type",
-        due.alias("fare_due"),
-        paid.alias("fare_paid"),
-    ).filter(F.col("ts_ms").isNotNull())
-    return rows.withColumn("service_date", _day(F.col("ts_ms"), service_date)).select(*TAPS)
+        f"{fn.free_ride('card_type', fn.amount('fare_due'))} AS fare_due",
+        f"{fn.free_ride('card_type', fn.amount('fare_paid'))} AS fare_paid",
+    )
+    return _dated(rows, service_date).select(*TAPS)
 
 
 def clean_gates(raw: DataFrame, service_date: str | None = None) -> DataFrame:
     """Rail gate records; the amount due is the amount paid plus the reward."""
-    rows = raw.select(
-        fn.rail_card(F.col("card")).alias("card"),
-        fn.person_key(fn.rail_card(F.col("card"))).alias("person"),
-        fn.pad_type(F.col("card_type")).alias("card_type"),
-        fn.ms_from_compact(F.concat("date", "time")).alias("ts_ms"),
+    rows = raw.selectExpr(
+        f"{fn.rail_card('card')} AS card",
+        f"{fn.person_key(fn.rail_card('card'))} AS person",
+        f"{fn.pad_type('card_type')} AS card_type",
+        f"{fn.ms_from_compact('concat(date, time)')} AS ts_ms",
         "station",
         "in_out",
-        fn.amount_sum(F.col("txn_amt"), F.col("reward_amt")).alias("fare_due"),
-        fn.amount(F.col("txn_amt")).alias("fare_paid"),
-    ).filter(F.col("ts_ms").isNotNull())
-    return rows.select(_day(F.col("ts_ms"), service_date).alias("service_date"), *rows.columns)
+        f"{fn.amount_sum('txn_amt', 'reward_amt')} AS fare_due",
+        f"{fn.amount('txn_amt')} AS fare_paid",
+    )
+    return _dated(rows, service_date)
 
 
 def clean_gps(raw: DataFrame, service_date: str | None = None) -> DataFrame:
     """GPS fixes taken at a stop (`0`, as written, means between stops)."""
-    rows = raw.filter(F.col("site") != "0").select(
-        fn.pad_vehicle(F.col("vehicle")).alias("vehicle"),
-        fn.ms_from_text(F.col("gps_time")).alias("ts_ms"),
-        fn.pad_site(F.col("site")).alias("site"),
-    ).filter(F.col("ts_ms").isNotNull())
-    return rows.select(_day(F.col("ts_ms"), service_date).alias("service_date"), *rows.columns)
+    rows = raw.filter("site != '0'").selectExpr(
+        f"{fn.pad_vehicle('vehicle')} AS vehicle",
+        f"{fn.ms_from_text('gps_time')} AS ts_ms",
+        f"{fn.pad_site('site')} AS site",
+    )
+    return _dated(rows, service_date)
 
 
 def clean_bus_sites(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         "route_id",
-        fn.pad_route(F.col("route")).alias("route"),
+        f"{fn.pad_route('route')} AS route",
         "site_id",
-        fn.pad_site(F.col("site")).alias("site"),
+        f"{fn.pad_site('site')} AS site",
         "site_name",
-        fn.bus_direction(F.col("up_down")).alias("direction"),
-        F.col("lon").try_cast("double").alias("lon"),
-        F.col("lat").try_cast("double").alias("lat"),
+        f"{fn.bus_direction('up_down')} AS direction",
+        "try_cast(lon AS double) AS lon",
+        "try_cast(lat AS double) AS lat",
     )
 
 
 def clean_rail_sites(raw: DataFrame) -> DataFrame:
     """Rail stations from the four-digit code: line (2) and stop (2)."""
-    code = F.col("_c1")
-    return raw.select(
-        fn.station_route_id(code).alias("route_id"),
-        fn.station_route(code).alias("route"),
-        fn.station_site_id(code).alias("site_id"),
-        fn.station_site(code).alias("site"),
-        F.col("_c3").alias("site_name"),
-        F.lit("2").alias("direction"),
-        F.col("_c5").try_cast("double").alias("lon"),
-        F.col("_c6").try_cast("double").alias("lat"),
+    return raw.selectExpr(
+        f"{fn.station_route_id('_c1')} AS route_id",
+        f"{fn.station_route('_c1')} AS route",
+        f"{fn.station_site_id('_c1')} AS site_id",
+        f"{fn.station_site('_c1')} AS site",
+        "_c3 AS site_name",
+        f"'{fn.keys.RAIL}' AS direction",
+        "try_cast(_c5 AS double) AS lon",
+        "try_cast(_c6 AS double) AS lat",
     )
 
 
 def clean_vehicles(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        fn.pad_vehicle(F.col("vehicle")).alias("vehicle"), fn.pad_route(F.col("route")).alias("route")
+    return raw.selectExpr(
+        f"{fn.pad_vehicle('vehicle')} AS vehicle", f"{fn.pad_route('route')} AS route"
     )
 
 
 def tap_rejects(raw: DataFrame) -> DataFrame:
     """How many raw tap rows have a time or a fare that cannot be read."""
-    return raw.agg(
-        F.count_if(fn.ms_from_text(F.col("tap_time")).isNull()).alias("bad_time"),
-        F.count_if(fn.amount(F.col("fare_due")).isNull()).alias("bad_fare_due"),
-        F.count_if(fn.amount(F.col("fare_paid")).isNull()).alias("bad_fare_paid"),
-        F.count(F.lit(1)).alias("rows"),
+    return raw.selectExpr(
+        f"count_if({fn.ms_from_text('tap_time')} IS NULL) AS bad_time",
+        f"count_if({fn.amount('fare_due')} IS NULL) AS bad_fare_due",
+        f"count_if({fn.amount('fare_paid')} IS NULL) AS bad_fare_paid",
+        "count(*) AS rows",
     )
 
 
 def gate_rejects(raw: DataFrame) -> DataFrame:
     """How many raw gate rows have a time or an amount that cannot be read."""
-    return raw.agg(
-        F.count_if(fn.ms_from_compact(F.concat("date", "time")).isNull()).alias("bad_time"),
-        F.count_if(fn.amount_sum(F.col("txn_amt"), F.col("reward_amt")).isNull()).alias("bad_amount"),
-        F.count(F.lit(1)).alias("rows"),
+    return raw.selectExpr(
+        f"count_if({fn.ms_from_compact('concat(date, time)')} IS NULL) AS bad_time",
+        f"count_if({fn.amount_sum('txn_amt', 'reward_amt')} IS NULL) AS bad_amount",
+        "count(*) AS rows",
     )

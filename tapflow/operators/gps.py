@@ -1,6 +1,6 @@
 """Vehicle traces: one fix per stop visit, then one-way runs."""
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tapflow.schemas import VEHICLE_DAY
 
@@ -17,15 +17,15 @@ def dwell_first(gps: DataFrame) -> DataFrame:
     fixes), and only bins are compared: at most 144 per vehicle, stop and day.
     """
     stop = [*VEHICLE_DAY, "site"]
-    bins = gps.groupBy(*stop, F.expr(f"ts_ms div {DWELL_MS}").alias("bin")).agg(
+    bins = gps.groupBy(*stop, F.expr(f"ts_ms div {DWELL_MS} AS bin")).agg(
         F.min("ts_ms").alias("ts_ms"), F.max("ts_ms").alias("last_ms")
     )
     # Placed by vehicle, so that the visits, the runs and all that follows share one exchange.
     bins = bins.repartition(*VEHICLE_DAY)
-    gap = F.col("ts_ms") - F.lag("last_ms").over(Window.partitionBy(*stop).orderBy("bin"))
+    gap = f"ts_ms - lag(last_ms) OVER (PARTITION BY {', '.join(stop)} ORDER BY bin) AS gap"
     return (
-        bins.withColumn("gap", gap)
-        .filter(F.col("gap").isNull() | (F.col("gap") > DWELL_MS))
+        bins.selectExpr("*", gap)
+        .filter(f"gap IS NULL OR gap > {DWELL_MS}")
         .select(*VEHICLE_DAY, "ts_ms", "site")
     )
 
@@ -36,20 +36,24 @@ def trip_runs(fixes: DataFrame) -> DataFrame:
     A run goes on while stop ordinals rise. A single out-of-order fix does not end it if the stop
     before and the stop after are consecutive, except on the last two fixes of the day.
     """
-    window = Window.partitionBy(*VEHICLE_DAY).orderBy("ts_ms", "site")
-    whole = Window.partitionBy(*VEHICLE_DAY)
-    so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before, after = F.lag("site").over(window), F.lead("site").over(window)
-    blip = (F.row_number().over(window) <= F.count(F.lit(1)).over(whole) - 2) & F.coalesce(
-        before.try_cast("int") + 1 == after.try_cast("int"), F.lit(False)
+    vehicle_day = "PARTITION BY service_date, vehicle"
+    along = f"OVER ({vehicle_day} ORDER BY ts_ms, site)"
+    steps = fixes.selectExpr(
+        "*",
+        f"lag(site) {along} AS before",
+        f"lead(site) {along} AS after",
+        f"row_number() {along} <= count(*) OVER ({vehicle_day}) - 2 AS inner",
     )
-    starts = before.isNotNull() & ~(before < F.col("site")) & ~blip
-    return fixes.withColumn("_starts", starts.cast("int")).select(
-        *VEHICLE_DAY, "ts_ms", "site", F.sum("_starts").over(so_far).cast("int").alias("run")
+    starts = """CASE WHEN before IS NULL OR before < site THEN 0
+                     WHEN inner AND try_cast(before AS int) + 1 = try_cast(after AS int) THEN 0
+                     ELSE 1 END"""
+    so_far = f"OVER ({vehicle_day} ORDER BY ts_ms, site ROWS UNBOUNDED PRECEDING)"
+    return steps.selectExpr(
+        *VEHICLE_DAY, "ts_ms", "site", f"cast(sum({starts}) {so_far} AS int) AS run"
     )
 
 
 def run_fixes(runs: DataFrame) -> DataFrame:
     """One row per run with its fixes in time order (a run holds one fix per stop visit)."""
-    fix = F.struct("ts_ms", "site")
-    return runs.groupBy(*VEHICLE_DAY, "run").agg(F.sort_array(F.collect_list(fix)).alias("fixes"))
+    fixes = F.expr("sort_array(collect_list(struct(ts_ms, site))) AS fixes")
+    return runs.groupBy(*VEHICLE_DAY, "run").agg(fixes)

@@ -10,7 +10,7 @@ would head the next journey if it were a head itself, and these pointers are fol
 leg in doubling steps, so a key of n journeys takes log2(n) joins on evenly spread positions.
 """
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tapflow.operators.ordered import SLICE, running, same_key, slices, split_hot
 from tapflow.operators.sizing import cut_lineage
@@ -38,61 +38,47 @@ def journeys(legs: DataFrame, fare: str = HEAD_AND_LAST, hot: DataFrame | None =
     return result if busy is None else result.unionByName(_linked(busy, fare))
 
 
-def _fare(head: Column, last: Column, total: Column, legs: Column, fare: str) -> Column:
-    return total if fare == ALL_LEGS else F.when(legs > 1, head + last).otherwise(head)
+def _fare(column: str, head: str, last: str, legs: str, total: str, fare: str) -> str:
+    value = total if fare == ALL_LEGS else f"IF({legs} > 1, {head} + {last}, {head})"
+    return f"cast({value} AS bigint) AS {column}"
 
 
 # Ordinary keys --------------------------------------------------------------------------------
 
+# Array positions of the legs that head a journey, from one pass over (time, stop) of the legs.
+_JOINS = f"(leg.on_ms - acc.on_ms <= {TRANSFER_MS} AND NOT (leg.on_site_id <=> acc.on_site_id))"
+_HEADS = f"""aggregate(
+    transform(legs, (leg, i) -> struct(i, leg.on_ms AS on_ms, leg.on_site_id AS on_site_id)),
+    struct(cast(array() AS array<int>) AS heads, legs[0].on_ms AS on_ms,
+           legs[0].on_site_id AS on_site_id),
+    (acc, leg) -> IF(
+        leg.i > 0 AND {_JOINS},
+        acc,
+        struct(array_append(acc.heads, leg.i) AS heads, leg.on_ms AS on_ms,
+               leg.on_site_id AS on_site_id)
+    )
+).heads"""
+
 
 def _folded(legs: DataFrame, fare: str) -> DataFrame:
     columns = [*LEG_ORDER, *[c for c in LEGS if c not in {*LEG_ORDER, *PERSON_DAY}]]
     days = legs.groupBy(*PERSON_DAY).agg(
-        F.sort_array(F.collect_list(F.struct(*columns))).alias("legs")
+        F.expr(f"sort_array(collect_list(struct({', '.join(columns)}))) AS legs")
     )
-    # First pass, on two columns only: the position of every leg's head.
-    marks = F.transform("legs", lambda leg, i: F.struct(i.alias("i"), leg["on_ms"], leg["on_site_id"]))
-    first = F.col("legs")[0]
-    start = F.struct(
-        F.array().cast("array<int>").alias("heads"),
-        first["on_ms"].alias("on_ms"),
-        first["on_site_id"].alias("on_site_id"),
+    spans = """inline(transform(heads, (h, i) -> struct(
+        h AS head, coalesce(get(heads, i + 1), size(legs)) AS tail)))"""
+    rows = days.selectExpr("*", f"{_HEADS} AS heads").selectExpr(*PERSON_DAY, "legs", spans)
+    parts = rows.selectExpr(
+        *PERSON_DAY, "legs[head] AS head", "legs[tail - 1] AS last", "tail - head AS size",
+        "slice(legs, head + 1, tail - head) AS legs",
     )
-
-    def step(acc: Column, leg: Column) -> Column:
-        joins = (leg["on_ms"] - acc["on_ms"] <= TRANSFER_MS) & ~leg["on_site_id"].eqNullSafe(
-            acc["on_site_id"]
-        )
-        opens = (leg["i"] == 0) | ~joins
-        return F.struct(
-            F.when(opens, F.array_append(acc["heads"], leg["i"])).otherwise(acc["heads"]).alias("heads"),
-            F.when(opens, leg["on_ms"]).otherwise(acc["on_ms"]).alias("on_ms"),
-            F.when(opens, leg["on_site_id"]).otherwise(acc["on_site_id"]).alias("on_site_id"),
-        )
-
-    heads = F.aggregate(marks, start, step)["heads"]
-    days = days.withColumn("heads", heads)
-    ends = F.slice(F.concat("heads", F.array(F.size("legs"))), 2, F.size("heads"))
-    spans = F.arrays_zip(F.col("heads").alias("head"), ends.alias("end"))
-    rows = days.select(*PERSON_DAY, "legs", F.inline(spans))
-    head, last = F.col("legs")[F.col("head")], F.col("legs")[F.col("end") - 1]
-    count = F.col("end") - F.col("head")
-
-    def cost(column: str) -> Column:
-        part = F.slice("legs", F.col("head") + 1, count)
-        total = F.aggregate(
-            part,
-            F.lit(0).cast("bigint"),
-            lambda acc, leg: acc + F.coalesce(leg[column], F.lit(0)),
-        )
-        return _fare(head[column], last[column], total, count, fare).cast("bigint").alias(column)
-
-    return rows.select(
+    total = "aggregate(legs.{}, 0L, (acc, x) -> acc + coalesce(x, 0))"
+    return parts.selectExpr(
         *PERSON_DAY,
-        head["card"].alias("card"),
-        *[head[c].alias(c) for c in ON],
-        *[last[c].alias(c) for c in OFF],
-        *[cost(c) for c in FARES],
+        "head.card",
+        *[f"head.{c}" for c in ON],
+        *[f"last.{c}" for c in OFF],
+        *[_fare(c, f"head.{c}", f"last.{c}", "size", total.format(c), fare) for c in FARES],
     )
 
 
@@ -108,21 +94,17 @@ def _linked(legs: DataFrame, fare: str) -> DataFrame:
     member = running(slices(marked, PERSON_DAY, ["pos"]), PERSON_DAY, ["pos"], maxima=head_pos)
     # Both aggregates combine map-side: a journey may have any number of legs.
     merged = member.groupBy(*PERSON_DAY, "head_pos").agg(
-        F.min(F.struct("pos", "card", *ON, *FARES)).alias("head"),
-        F.max(F.struct("pos", *OFF, *FARES)).alias("last"),
-        F.count(F.lit(1)).alias("legs"),
-        *[F.sum(F.coalesce(c, F.lit(0))).alias(f"all_{c}") for c in FARES],
+        F.expr(f"min(struct(pos, {', '.join(['card', *ON, *FARES])})) AS head"),
+        F.expr(f"max(struct(pos, {', '.join([*OFF, *FARES])})) AS last"),
+        F.expr("count(*) AS size"),
+        *[F.expr(f"sum(coalesce({c}, 0)) AS total_{c}") for c in FARES],
     )
-    return merged.select(
+    return merged.selectExpr(
         *PERSON_DAY,
         "head.card",
-        *[F.col(f"head.{c}") for c in ON],
-        *[F.col(f"last.{c}") for c in OFF],
-        *[
-            _fare(F.col(f"head.{c}"), F.col(f"last.{c}"), F.col(f"all_{c}"), F.col("legs"), fare)
-            .cast("bigint").alias(c)
-            for c in FARES
-        ],
+        *[f"head.{c}" for c in ON],
+        *[f"last.{c}" for c in OFF],
+        *[_fare(c, f"head.{c}", f"last.{c}", "size", f"total_{c}", fare) for c in FARES],
     )
 
 

@@ -7,17 +7,16 @@ from tapflow.schemas import LEGS
 
 def enrich(rides: DataFrame, bus_sites: DataFrame, how: str = "inner") -> DataFrame:
     """Adds the dictionary's alighting stop. `inner` drops rides to unknown stops, `left` keeps them."""
-    stops = bus_sites.select(
-        "route", F.col("site").alias("off_site"), F.col("route_id").alias("off_route_id"),
-        F.col("site_id").alias("off_site_id"), F.col("site_name").alias("off_site_name"),
-        F.col("lon").alias("off_lon"), F.col("lat").alias("off_lat"),
+    stops = bus_sites.selectExpr(
+        "route", "site AS off_site", "route_id AS off_route_id", "site_id AS off_site_id",
+        "site_name AS off_site_name", "lon AS off_lon", "lat AS off_lat",
     )
-    return rides.join(stops, ["route", "off_site"], how).select(
-        "service_date", "person", "card", F.col("ts_ms").alias("on_ms"), "vehicle",
-        *[F.col(c).alias(f"on_{c}") for c in ("route_id", "route", "site_id", "site", "site_name")],
-        "direction", F.col("lon").alias("on_lon"), F.col("lat").alias("on_lat"), "off_ms",
-        "off_route_id", F.col("route").alias("off_route"), "off_site_id", "off_site",
-        "off_site_name", "off_lon", "off_lat", "change_type", "fare_due", "fare_paid",
+    return rides.join(stops, ["route", "off_site"], how).selectExpr(
+        "service_date", "person", "card", "ts_ms AS on_ms", "vehicle", "route_id AS on_route_id",
+        "route AS on_route", "site_id AS on_site_id", "site AS on_site",
+        "site_name AS on_site_name", "direction", "lon AS on_lon", "lat AS on_lat", "off_ms",
+        "off_route_id", "route AS off_route", "off_site_id", "off_site", "off_site_name",
+        "off_lon", "off_lat", "change_type", "fare_due", "fare_paid",
     )
 
 

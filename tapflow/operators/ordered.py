@@ -25,11 +25,8 @@ def hot_keys(frames: list[DataFrame], keys: list[str], limit: int = HOT_ROWS) ->
     There are at most rows / limit such keys. The count combines map-side before it shuffles.
     """
     rows = reduce(DataFrame.unionByName, [f.select(*keys) for f in frames])
-    hot = rows.groupBy(*keys).count().filter(F.col("count") > limit).select(*keys).persist()
-    if hot.isEmpty():
-        hot.unpersist()
-        return None
-    return broadcast_if_small(hot)
+    hot = rows.groupBy(*keys).count().filter(f"count > {limit}").select(*keys)
+    return None if hot.isEmpty() else broadcast_if_small(cut_lineage(hot))
 
 
 def split_hot(
@@ -83,11 +80,15 @@ def neighbours(
     return result.unionByName(_by_slices(slices(busy, keys, order), keys, order, wanted))
 
 
+def _struct(columns: list[str]) -> Column:
+    return F.expr(f"struct({', '.join(columns)})")
+
+
 def _looks(window, wanted: dict[str, list[str]]) -> dict[str, Column]:
     over = {"previous": F.lag, "following": F.lead, "opening": F.first}
     so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return {
-        name: over[name](F.struct(*cols)).over(so_far if name == "opening" else window)
+        name: over[name](_struct(cols)).over(so_far if name == "opening" else window)
         for name, cols in wanted.items()
     }
 
@@ -111,7 +112,7 @@ def _by_slices(sliced: DataFrame, keys, order, wanted) -> DataFrame:
     edges = (
         sliced.groupBy(*keys, SLICE)
         .agg(
-            F.min(F.struct(*edge_cols)).alias("_first"), F.max(F.struct(*edge_cols)).alias("_last")
+            F.min(_struct(edge_cols)).alias("_first"), F.max(_struct(edge_cols)).alias("_last")
         )
         .select(*keys, SLICE, *[carried[name]().alias(f"_edge_{name}") for name in wanted])
     )

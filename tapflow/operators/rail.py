@@ -1,20 +1,18 @@
 """Rail gate records to complete rail legs."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from tapflow import functions as fn
 from tapflow.functions.keys import NO_VEHICLE, RAIL
 from tapflow.operators.ordered import neighbours
-from tapflow.schemas import GATE_ORDER, LEGS, PERSON_DAY
+from tapflow.schemas import GATE_ORDER, PERSON_DAY
 
 GATE_IN, GATE_OUT = "21", "22"
 
 
 def station_join(gates: DataFrame, rail_sites: DataFrame) -> DataFrame:
     """Adds name and position of the station; records of unknown stations are dropped."""
-    stations = rail_sites.select(
-        F.substring("site_id", 13, 4).alias("station"), "site_name", "lon", "lat"
-    )
+    stations = rail_sites.selectExpr("substr(site_id, 13, 4) AS station", "site_name", "lon", "lat")
     return gates.join(stations, "station")
 
 
@@ -29,33 +27,31 @@ def rail_legs(located: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     rows = neighbours(
         located, PERSON_DAY, GATE_ORDER, following=taken, hot=hot, collapse_copies=True
     )
-    out = F.col("following")
-    pairs = rows.filter((F.col("in_out") == GATE_IN) & (out["in_out"] == GATE_OUT))
-    on, off = F.col("station"), out["station"]
-    return pairs.select(
+    out = "following.station"
+    return rows.filter(f"in_out = '{GATE_IN}' AND following.in_out = '{GATE_OUT}'").selectExpr(
         "service_date",
         "person",
-        F.greatest("card", out["card"]).alias("card"),
+        "greatest(card, following.card) AS card",
+        "ts_ms AS on_ms",
+        f"'{NO_VEHICLE}' AS vehicle",
+        f"{fn.station_route_id('station')} AS on_route_id",
+        f"{fn.station_route('station')} AS on_route",
+        f"{fn.station_site_id('station')} AS on_site_id",
+        f"{fn.station_site('station')} AS on_site",
+        "site_name AS on_site_name",
+        f"'{RAIL}' AS direction",
+        "lon AS on_lon",
+        "lat AS on_lat",
+        "following.ts_ms AS off_ms",
+        f"{fn.station_route_id(out)} AS off_route_id",
+        f"{fn.station_route(out)} AS off_route",
+        f"{fn.station_site_id(out)} AS off_site_id",
+        f"{fn.station_site(out)} AS off_site",
+        "following.site_name AS off_site_name",
+        "following.lon AS off_lon",
+        "following.lat AS off_lat",
+        "'' AS change_type",
+        "following.fare_due AS fare_due",
+        "following.fare_paid AS fare_paid",
         "card_type",
-        F.col("ts_ms").alias("on_ms"),
-        F.lit(NO_VEHICLE).alias("vehicle"),
-        fn.station_route_id(on).alias("on_route_id"),
-        fn.station_route(on).alias("on_route"),
-        fn.station_site_id(on).alias("on_site_id"),
-        fn.station_site(on).alias("on_site"),
-        F.col("site_name").alias("on_site_name"),
-        F.lit(RAIL).alias("direction"),
-        F.col("lon").alias("on_lon"),
-        F.col("lat").alias("on_lat"),
-        out["ts_ms"].alias("off_ms"),
-        fn.station_route_id(off).alias("off_route_id"),
-        fn.station_route(off).alias("off_route"),
-        fn.station_site_id(off).alias("off_site_id"),
-        fn.station_site(off).alias("off_site"),
-        out["site_name"].alias("off_site_name"),
-        out["lon"].alias("off_lon"),
-        out["lat"].alias("off_lat"),
-        F.lit("").alias("change_type"),
-        out["fare_due"].alias("fare_due"),
-        out["fare_paid"].alias("fare_paid"),
-    ).select(*LEGS, "card_type")
+    )

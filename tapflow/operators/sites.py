@@ -1,6 +1,6 @@
 """Stop dictionaries and the table of stops near each other."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tapflow import functions as fn
 from tapflow.functions.geo import EARTH_RADIUS_KM
@@ -17,15 +17,15 @@ def all_sites(bus_sites: DataFrame, rail_sites: DataFrame) -> DataFrame:
     return bus_sites.unionByName(rail_sites)
 
 
-def _cells_in_band(band: Column) -> Column:
-    """Number of cells round the globe in a latitude band, none narrower than `CELL_KM` anywhere
-    in the band or its two neighbours."""
-    lat = F.least((F.abs(band + F.lit(0.5)) + 1.5) * BAND_DEGREES, F.lit(90.0))
-    return F.greatest(F.floor(F.cos(F.radians(lat)) * 360 / BAND_DEGREES), F.lit(1)).cast("bigint")
-
-
-def _cell(lon: Column, cells: Column) -> Column:
-    return F.pmod(F.floor((lon + 180) / (F.lit(360.0) / cells)).cast("bigint"), cells)
+# Number of cells round the globe in a latitude `band`, none narrower than `CELL_KM` anywhere in the
+# band or its two neighbours, and the cell of a `lon` among them.
+_CELLS = f"""cast(greatest(1, floor(
+    cos(radians(least(90, (abs(band + 0.5D) + 1.5D) * {BAND_DEGREES}D))) * 360 / {BAND_DEGREES}D
+)) AS bigint) AS cells"""
+_CELL = "pmod(cast(floor((lon + 180) / (360D / cells)) AS bigint), cells)"
+_BAND = f"cast(floor(lat / {BAND_DEGREES}D) AS bigint)"
+_KM = fn.site_distance("lon", "lat", "lon2", "lat2")
+_IS_NEAR = f"(distance <= {NEAR_KM}D AND distance != 0)"
 
 
 def _near_points(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -34,24 +34,23 @@ def _near_points(left: DataFrame, right: DataFrame) -> DataFrame:
     Positions are binned in a latitude band / longitude cell grid; a position meets the 3 x 3 cells
     around it, wrapping round the globe, and only then is the distance computed.
     """
-    placed = (F.col("lon") != 0) & (F.col("lat") != 0)
     # Stops sharing one position meet others once, not once per stop.
-    a = left.filter(placed).select("lon", "lat").distinct()
-    b = right.filter(placed).select(F.col("lon").alias("lon2"), F.col("lat").alias("lat2")).distinct()
-    band = F.floor(F.col("lat") / BAND_DEGREES).cast("bigint")
-    a = a.select("*", F.explode(F.sequence(band - 1, band + 1)).alias("band"))
-    cells = _cells_in_band(F.col("band"))
-    home = _cell(F.col("lon"), cells)
-    around = F.array_distinct(F.array(*[F.pmod(home + step, cells) for step in (-1, 0, 1)]))
-    a = a.select("*", F.explode(around).alias("cell"))
-    b = b.withColumn("band", F.floor(F.col("lat2") / BAND_DEGREES).cast("bigint"))
-    b = b.withColumn("cell", _cell(F.col("lon2"), _cells_in_band(F.col("band"))))
-    km = fn.site_distance(*map(F.col, ("lon", "lat", "lon2", "lat2")))
-    return (
-        a.join(b, ["band", "cell"])
-        .select("lon", "lat", "lon2", "lat2", km.alias("distance"))
-        .filter((F.col("distance") <= NEAR_KM) & (F.col("distance") != 0))
+    a, b = (
+        df.filter("lon != 0 AND lat != 0").select("lon", "lat").distinct() for df in (left, right)
+    )
+    around = f"array_distinct(transform(array(-1, 0, 1), d -> pmod({_CELL} + d, cells)))"
+    a = (
+        a.selectExpr("*", f"explode(sequence({_BAND} - 1, {_BAND} + 1)) AS band")
+        .selectExpr("*", _CELLS)
+        .selectExpr("lon", "lat", "band", f"explode({around}) AS cell")
+    )
+    b = (
+        b.selectExpr("*", f"{_BAND} AS band")
+        .selectExpr("*", _CELLS)
+        .selectExpr("lon AS lon2", "lat AS lat2", "band", f"{_CELL} AS cell")
     )
+    pairs = a.join(b, ["band", "cell"]).filter(f"abs(lat - lat2) <= {BAND_DEGREES}D")
+    return pairs.selectExpr("lon", "lat", "lon2", "lat2", f"{_KM} AS distance").filter(_IS_NEAR)
 
 
 def near_sites(route_sites: DataFrame, bus_sites: DataFrame) -> DataFrame:
@@ -60,17 +59,13 @@ def near_sites(route_sites: DataFrame, bus_sites: DataFrame) -> DataFrame:
     Two equi-joins whose results cannot overlap, instead of one product of both dictionaries.
     """
     left = route_sites.select(*SITES).distinct()
-    right = bus_sites.select(*[F.col(c).alias(f"{c}2") for c in SITES]).distinct()
-    near = (
-        left.join(_near_points(left, right.toDF(*SITES)), ["lon", "lat"])
-        .join(right, ["lon2", "lat2"])
-    )
-    km = fn.site_distance(*map(F.col, ("lon", "lat", "lon2", "lat2")))
-    is_near = (F.col("distance") <= NEAR_KM) & (F.col("distance") != 0)
+    right = bus_sites.selectExpr(*[f"{c} AS {c}2" for c in SITES]).distinct()
+    columns = [*SITES, *[f"{c}2" for c in SITES], "distance"]
+    points = _near_points(route_sites, bus_sites)
+    near = left.join(points, ["lon", "lat"]).join(right, ["lon2", "lat2"])
     named = (
-        left.join(right, F.col("site_name") == F.col("site_name2"))
-        .withColumn("distance", km)
-        .filter(~is_near)
+        left.join(right, F.expr("site_name = site_name2"))
+        .selectExpr("*", f"{_KM} AS distance")
+        .filter(f"NOT {_IS_NEAR}")
     )
-    columns = [*SITES, *[f"{c}2" for c in SITES], "distance"]
     return near.select(*columns).unionByName(named.select(*columns))

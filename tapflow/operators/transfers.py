@@ -1,6 +1,6 @@
 """Transfers between consecutive legs of a person's day."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from tapflow.functions.keys import DOWN, UP
 from tapflow.operators.ordered import neighbours
@@ -17,31 +17,23 @@ PAIR = [
 ]
 
 
-def _is_bus(direction: Column) -> Column:
-    return F.coalesce(direction.isin(UP, DOWN), F.lit(False))
-
-
-def _is_transfer() -> Column:
-    """Boarded at most an hour after the previous boarding, at another stop."""
-    before = F.col("previous")
-    soon = F.col("on_ms") - before["on_ms"] <= TRANSFER_MS
-    elsewhere = ~before["on_site_id"].eqNullSafe(F.col("on_site_id"))
-    return F.coalesce(before.isNotNull() & soon & elsewhere, F.lit(False))
+_BUS = "coalesce({} IN (" + f"'{UP}', '{DOWN}'" + "), false)"
+_FROM_BUS, _TO_BUS = _BUS.format("previous.direction"), _BUS.format("direction")
+# Boarded at most an hour after the previous boarding, at another stop.
+_TRANSFER = f"""(previous IS NOT NULL AND on_ms - previous.on_ms <= {TRANSFER_MS}
+                 AND NOT (previous.on_site_id <=> on_site_id))"""
 
 
 def transfer_labels(legs: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """All legs with the kind of transfer that led to them in `change_type`."""
     look = ["on_ms", "on_site_id", "direction"]
     rows = neighbours(legs, PERSON_DAY, LEG_ORDER, previous=look, hot=hot)
-    from_bus, to_bus = _is_bus(F.col("previous.direction")), _is_bus(F.col("direction"))
-    code = (
-        F.when(~_is_transfer(), NO_TRANSFER)
-        .when(from_bus & to_bus, BUS_TO_BUS)
-        .when(from_bus, BUS_TO_RAIL)
-        .when(to_bus, RAIL_TO_BUS)
-        .otherwise(RAIL_TO_RAIL)
-    )
-    return rows.withColumn("change_type", code).select(*LEGS)
+    code = f"""CASE WHEN NOT {_TRANSFER} THEN '{NO_TRANSFER}'
+                    WHEN {_FROM_BUS} AND {_TO_BUS} THEN '{BUS_TO_BUS}'
+                    WHEN {_FROM_BUS} THEN '{BUS_TO_RAIL}'
+                    WHEN {_TO_BUS} THEN '{RAIL_TO_BUS}'
+                    ELSE '{RAIL_TO_RAIL}' END AS change_type"""
+    return rows.selectExpr(*[code if c == "change_type" else c for c in LEGS])
 
 
 def transfer_pairs(legs: DataFrame, hot: DataFrame | None = None) -> DataFrame:
@@ -50,11 +42,9 @@ def transfer_pairs(legs: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     The card is that of the previous leg, but of the current one from bus to rail.
     """
     rows = neighbours(legs, PERSON_DAY, LEG_ORDER, previous=["card", *PAIR], hot=hot)
-    before = F.col("previous")
-    bus_to_rail = _is_bus(before["direction"]) & ~_is_bus(F.col("direction"))
-    return rows.filter(_is_transfer() & (F.col("on_ms") > before["off_ms"])).select(
+    return rows.filter(f"{_TRANSFER} AND on_ms > previous.off_ms").selectExpr(
         *PERSON_DAY,
-        F.when(bus_to_rail, F.col("card")).otherwise(before["card"]).alias("card"),
-        *[before[c].alias(f"pre_{c}") for c in PAIR],
-        *[F.col(c).alias(f"curr_{c}") for c in PAIR],
+        f"IF({_FROM_BUS} AND NOT {_TO_BUS}, card, previous.card) AS card",
+        *[f"previous.{c} AS pre_{c}" for c in PAIR],
+        *[f"{c} AS curr_{c}" for c in PAIR],
     )

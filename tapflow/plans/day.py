@@ -64,7 +64,8 @@ class OdPlan:
         if self.gates is None:
             return None
         located = rail.station_join(self.gates, self.network.rail_sites)
-        return rail.rail_legs(located, self.hot_persons)
+        # Kept, because both the chain and the legs need them.
+        return rail.rail_legs(located, self.hot_persons).persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def chain(self) -> DataFrame:
@@ -130,8 +131,8 @@ class OdPlan:
 
     def release(self) -> None:
         """Frees what the run kept in memory."""
-        for name in ("inferred", "history", "hot_persons"):
+        for name in ("rail_legs", "inferred", "history"):
             kept = self.__dict__.get(name)
             if kept is not None:
                 kept.unpersist()
-        self.network.near.unpersist()
+        self.network.release()

@@ -49,7 +49,7 @@ def run(
     saved = tables.read_history(spark, history_path) if history_path else None
     plan = OdPlan(
         taps=taps, gps_fixes=gps_fixes, gates=gates, keep_unmatched=keep_unmatched, fare=fare,
-        network=Network.of(bus_sites, rail_sites, near),
+        network=Network(bus_sites, rail_sites, near),
         earlier_history=None if saved is None else on_days(saved, days),
     )
     if history_path and save_history:

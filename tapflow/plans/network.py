@@ -1,6 +1,7 @@
 """The stop dictionaries of a run, sized once and shared by all steps."""
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -11,27 +12,39 @@ from tapflow.operators.sizing import broadcast_if_small, is_small
 
 @dataclass
 class Network:
-    """Stops of the city. Frames carry a broadcast hint where a count allowed it."""
-
-    bus_sites: DataFrame
-    rail_sites: DataFrame | None
-    near: DataFrame
-    nearby: DataFrame
-
-    @staticmethod
-    def of(
-        bus_sites: DataFrame, rail_sites: DataFrame | None = None, near: DataFrame | None = None
-    ) -> "Network":
-        """`near` is a saved near-stop table; left out, it is built from the dictionaries."""
-        if near is None:
-            stops = bus_sites if rail_sites is None else all_sites(bus_sites, rail_sites)
-            near = near_sites(stops, bus_sites)
-        near = near.persist()
-        small = is_small(near)
-        nearby = nearby_stops(near)
-        return Network(
-            bus_sites=broadcast_if_small(bus_sites),
-            rail_sites=None if rail_sites is None else broadcast_if_small(rail_sites),
-            near=near,
-            nearby=nearby.hint("broadcast") if small else nearby,
-        )
+    """Stops of the city; `saved_near` is a near-stop table built earlier.
+
+    Frames carry a broadcast hint where a count allowed it.
+    """
+
+    bus_dictionary: DataFrame
+    rail_dictionary: DataFrame | None = None
+    saved_near: DataFrame | None = None
+
+    @cached_property
+    def bus_sites(self) -> DataFrame:
+        return broadcast_if_small(self.bus_dictionary)
+
+    @cached_property
+    def rail_sites(self) -> DataFrame:
+        return broadcast_if_small(self.rail_dictionary)
+
+    @cached_property
+    def near(self) -> DataFrame:
+        if self.saved_near is not None:
+            return self.saved_near
+        stops = self.bus_dictionary
+        if self.rail_dictionary is not None:
+            stops = all_sites(stops, self.rail_dictionary)
+        return near_sites(stops, self.bus_dictionary)
+
+    @cached_property
+    def nearby(self) -> DataFrame:
+        """`near` as the alighting step looks it up; kept, so that counting builds it only once."""
+        stops = nearby_stops(self.near).persist()
+        pairs = stops.selectExpr("explode(stops)")
+        return stops.hint("broadcast") if is_small(pairs) else stops
+
+    def release(self) -> None:
+        if "nearby" in self.__dict__:
+            self.nearby.unpersist()

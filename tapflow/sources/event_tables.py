@@ -10,7 +10,7 @@ one-hour rules bite; `squeeze=1` keeps the real days.
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tapflow.functions.keys import UP_TEXT
 from tapflow.operators import cleaning
@@ -20,12 +20,8 @@ START_MS = 1_704_067_200_000
 SQUEEZE = 60
 
 
-def _text(column: Column) -> Column:
-    return column.cast("string")
-
-
-def _wide(text: Column, width: int) -> Column:
-    return F.lpad(_text(text), width, "0")
+def _wide(number: str, width: int) -> str:
+    return f"lpad({number}, {width}, '0')"
 
 
 @dataclass
@@ -38,96 +34,90 @@ class EventTables:
         # Text times are read and written in the session's zone; the tables are in UTC.
         self.spark.conf.set("spark.sql.session.timeZone", "UTC")
 
+    @cached_property
+    def _all_events(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.folder}/events.parquet")
+
+    @cached_property
+    def _parts(self) -> DataFrame:
+        parts = self.spark.read.parquet(f"{self.folder}/part.parquet")
+        return parts.selectExpr("p_partkey AS p", "p_partkey div 20 AS r", "p_partkey % 20 AS n")
+
     def _events(self, *kinds: str) -> DataFrame:
-        ms = F.unix_millis(F.col("ts").cast("timestamp"))
-        squeezed = F.expr(f"{START_MS}L + (ms - {START_MS}L) div {self.squeeze}L")
-        rows = self.spark.read.parquet(f"{self.folder}/events.parquet")
-        rows = rows.filter(F.col("event_type").isin(*kinds))
-        return rows.select(
-            "user_id", "event_type", "value", ms.alias("ms"),
-            F.get_json_object("props", "$.k").cast("bigint").alias("k"),
-        ).withColumn("t", squeezed)
-
-    def _fill(self, rows: DataFrame, names: list[str], values: dict[str, Column]) -> DataFrame:
-        empty = F.lit(None).cast("string")
-        return rows.select(*[_text(values.get(c, empty)).alias(c) for c in names])
+        wanted = "', '".join(kinds)
+        ms = "unix_millis(cast(ts AS timestamp))"
+        return self._all_events.filter(f"event_type IN ('{wanted}')").selectExpr(
+            "user_id", "event_type", "value", "cast(get_json_object(props, '$.k') AS bigint) AS k",
+            f"{START_MS}L + ({ms} - {START_MS}L) div {self.squeeze}L AS t",
+        )
+
+    def _fill(self, rows: DataFrame, names: list[str], values: dict[str, str]) -> DataFrame:
+        return rows.selectExpr(*[f"cast({values.get(c, 'NULL')} AS string) AS {c}" for c in names])
 
     @cached_property
     def taps_raw(self) -> DataFrame:
-        cents = F.floor(F.col("value") * 100)
         return self._fill(self._events("purchase"), TAPS_RAW, {
-            "tap_time": F.date_format(F.timestamp_millis("t"), "yyyy-MM-dd HH:mm:ss.SSS"),
-            "card": _wide(F.col("user_id"), 16),
-            "card_type": F.col("k") % 16,
-            "fare_due": cents,
-            "fare_paid": cents,
-            "change_type": F.lit("0"),
-            "vehicle": F.col("k") % 10,
-            "route": 1 + F.col("k") % 5,
-            "site": F.lit("0"),
+            "tap_time": "date_format(timestamp_millis(t), 'yyyy-MM-dd HH:mm:ss.SSS')",
+            "card": _wide("user_id", 16),
+            "card_type": "k % 16",
+            "fare_due": "floor(value * 100)",
+            "fare_paid": "floor(value * 100)",
+            "change_type": "'0'",
+            "vehicle": "k % 10",
+            "route": "1 + k % 5",
+            "site": "'0'",
         })
 
     @cached_property
     def gates_raw(self) -> DataFrame:
-        k, at = F.col("k"), F.timestamp_millis("t")
         return self._fill(self._events("signup", "error"), GATES_KEPT, {
-            "card": F.concat(F.lit("8600"), _wide(F.col("user_id"), 16)),
-            "card_type": F.lit("1"),
-            "date": F.date_format(at, "yyyyMMdd"),
-            "time": F.date_format(at, "HHmmss"),
-            "station": F.concat(_wide(F.expr("91 + k div 20"), 2), _wide(1 + k % 20, 2)),
-            "in_out": F.when(F.col("event_type") == "signup", "21").otherwise("22"),
-            "txn_amt": F.floor(F.col("value") * 100),
-            "reward_amt": k,
+            "card": f"concat('8600', {_wide('user_id', 16)})",
+            "card_type": "'1'",
+            "date": "date_format(timestamp_millis(t), 'yyyyMMdd')",
+            "time": "date_format(timestamp_millis(t), 'HHmmss')",
+            "station": f"concat({_wide('91 + k div 20', 2)}, {_wide('1 + k % 20', 2)})",
+            "in_out": "IF(event_type = 'signup', '21', '22')",
+            "txn_amt": "floor(value * 100)",
+            "reward_amt": "k",
         })
 
     @cached_property
     def gps_raw(self) -> DataFrame:
-        late = F.when(F.col("k") % 10 == 0, 2).otherwise(0)
         return self._fill(self._events("view", "click"), GPS_RAW, {
-            "vehicle": F.col("user_id") % 10,
-            "gps_time": F.date_format(F.timestamp_millis("t"), "yyyy-MM-dd HH:mm:ss"),
-            "site": F.greatest(F.lit(0), 1 + F.expr("(t div 180000) % 20") - late),
+            "vehicle": "user_id % 10",
+            "gps_time": "date_format(timestamp_millis(t), 'yyyy-MM-dd HH:mm:ss')",
+            "site": "greatest(0, 1 + (t div 180000) % 20 - IF(k % 10 = 0, 2, 0))",
         })
 
-    @cached_property
-    def _parts(self) -> DataFrame:
-        rows = self.spark.read.parquet(f"{self.folder}/part.parquet")
-        return rows.select(F.col("p_partkey").alias("p"))
-
     @cached_property
     def bus_sites_raw(self) -> DataFrame:
-        rows = self._parts.withColumn("r", F.expr("p div 20")).withColumn("n", F.expr("p % 20"))
-        up = (F.col("r") < 5) | (F.col("r") % 2 == 0)
-        return self._fill(rows, BUS_SITES_RAW, {
-            "route_id": _wide(F.expr("1 + r"), 16),
-            "route": F.expr("1 + r"),
-            "site_id": _wide(F.expr("100 * (1 + r) + 1 + n"), 16),
-            "site_name": F.concat(F.lit("S"), _text(F.expr("(p div 120) * 40 + p % 40"))),
-            "up_down": F.when(up, UP_TEXT).otherwise("下行"),
-            "site": F.expr("1 + n"),
-            "lon": F.expr("cast(106500 + 6 * n + 200 * (r div 500) as double) / 1000"),
-            "lat": F.expr("cast(29500 + 4 * (r % 500) as double) / 1000"),
+        return self._fill(self._parts, BUS_SITES_RAW, {
+            "route_id": _wide("1 + r", 16),
+            "route": "1 + r",
+            "site_id": _wide("100 * (1 + r) + 1 + n", 16),
+            "site_name": "concat('S', (p div 120) * 40 + p % 40)",
+            "up_down": f"IF(r < 5 OR r % 2 = 0, '{UP_TEXT}', '下行')",
+            "site": "1 + n",
+            "lon": "cast(106500 + 6 * n + 200 * (r div 500) AS double) / 1000",
+            "lat": "cast(29500 + 4 * (r % 500) AS double) / 1000",
         })
 
     @cached_property
     def rail_sites_raw(self) -> DataFrame:
         """A hundred stations, the most the gate records name, out of all parts."""
-        rows = self._parts.select(F.expr("p % 100").alias("p")).distinct()
+        rows = self._parts.selectExpr("p % 100 AS p").distinct()
         return self._fill(rows, ["_c1", "_c3", "_c5", "_c6"], {
-            "_c1": F.concat(_wide(F.expr("91 + p div 20"), 2), _wide(F.expr("1 + p % 20"), 2)),
-            "_c3": F.concat(F.lit("S"), _text(F.expr("p % 40")), F.lit("R")),
-            "_c5": F.expr("cast(106500 + 6 * (p % 20) as double) / 1000"),
-            "_c6": F.expr("cast(29501 + 4 * (p div 20) as double) / 1000"),
+            "_c1": f"concat({_wide('91 + p div 20', 2)}, {_wide('1 + p % 20', 2)})",
+            "_c3": "concat('S', p % 40, 'R')",
+            "_c5": "cast(106500 + 6 * (p % 20) AS double) / 1000",
+            "_c6": "cast(29501 + 4 * (p div 20) AS double) / 1000",
         })
 
     @cached_property
     def vehicles_raw(self) -> DataFrame:
-        rows = self._events("purchase").select(
-            F.expr("k % 10").alias("v"), F.expr("1 + k % 5").alias("r")
-        ).distinct()
+        rows = self._events("purchase").selectExpr("k % 10 AS v", "1 + k % 5 AS r").distinct()
         return self._fill(rows, VEHICLES_RAW, {
-            "vehicle": F.col("v"), "route": F.col("r"), "route_id": _wide(F.col("r"), 16),
+            "vehicle": "v", "route": "r", "route_id": _wide("r", 16),
         })
 
     @cached_property

@@ -35,10 +35,10 @@ def read_or_build(
 
 def _with_text_times(df: DataFrame, times: list[str], columns: list[str]) -> DataFrame:
     """`*_ms` columns become `*_time` text; the day stays as the partition column."""
-    return df.select(
+    return df.selectExpr(
         "service_date",
         *[
-            compact_from_ms(F.col(c)).alias(c.replace("_ms", "_time")) if c in times else F.col(c)
+            f"{compact_from_ms(c)} AS {c.replace('_ms', '_time')}" if c in times else c
             for c in columns
         ],
     )
