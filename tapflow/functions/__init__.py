@@ -5,7 +5,7 @@ from tapflow.functions.fares import amount, amount_sum, free_ride
 from tapflow.functions.geo import site_distance
 from tapflow.functions.keys import (
     bus_direction, pad_route, pad_site, pad_type, pad_vehicle, person_key, rail_card,
-    station_route, station_route_id, station_site, station_site_id,
+    reserved_field, station_route, station_route_id, station_site, station_site_id,
 )
 from tapflow.functions.times import (
     compact_from_ms, month_from_ms, ms_from_compact, ms_from_text, service_day,
@@ -14,6 +14,6 @@ from tapflow.functions.times import (
 __all__ = [
     "amount", "amount_sum", "bus_direction", "compact_from_ms", "free_ride", "keys", "month_from_ms",
     "ms_from_compact", "ms_from_text", "pad_route", "pad_site", "pad_type", "pad_vehicle",
-    "person_key", "rail_card", "service_day", "site_distance", "station_route",
+    "person_key", "rail_card", "reserved_field", "service_day", "site_distance", "station_route",
     "station_route_id", "station_site", "station_site_id",
 ]

@@ -55,3 +55,8 @@ def station_site_id(code: str) -> str:
 def bus_direction(text: str) -> str:
     """`0` for the up direction, `1` for any other text, a missing one included."""
     return f"IF({text} <=> '{UP_TEXT}', '{UP}', '{DOWN}')"
+
+
+def reserved_field(text: str) -> str:
+    """Characters 17 and 18 of a gate record's reserved text, `00` where it is shorter or missing."""
+    return f"IF(length({text}) >= 18, substr({text}, 17, 2), '00')"

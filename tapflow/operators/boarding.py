@@ -56,10 +56,10 @@ def board_asof(taps: DataFrame, runs: DataFrame) -> DataFrame:
         taps.selectExpr("*", _SLOT)
         .join(fix_slots(runs), [*VEHICLE_DAY, "slot"])
         .selectExpr(*key, *kept, "array_max(filter(fixes, f -> f.ts_ms < ts_ms)) AS fix")
-        .filter("fix IS NOT NULL")
     )
+    # Taps without a fix go last; dropping them here, not before, looks up each tap's fix only once.
     closest = F.expr(f"max(struct(fix, {', '.join(kept)})) AS tap")
-    return matched.groupBy(*key).agg(closest).selectExpr(
+    return matched.groupBy(*key).agg(closest).filter("tap.fix IS NOT NULL").selectExpr(
         *key, *[f"tap.{c}" for c in kept],
         "tap.fix.ts_ms AS fix_ms", "tap.fix.site AS site", "tap.fix.run AS run",
     )

@@ -49,6 +49,8 @@ def _near_points(left: DataFrame, right: DataFrame) -> DataFrame:
         .selectExpr("*", _CELLS)
         .selectExpr("lon AS lon2", "lat AS lat2", "band", f"{_CELL} AS cell")
     )
+    # Little data but much arithmetic: spread it over all cores, whatever its size in bytes.
+    a = a.repartition(a.sparkSession.sparkContext.defaultParallelism, "band", "cell")
     pairs = a.join(b, ["band", "cell"]).filter(f"abs(lat - lat2) <= {BAND_DEGREES}D")
     return pairs.selectExpr("lon", "lat", "lon2", "lat2", f"{_KM} AS distance").filter(_IS_NEAR)
 

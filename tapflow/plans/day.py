@@ -7,13 +7,12 @@ over days.
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from tapflow.operators import alighting, boarding, chain, gps, legs, rail
 from tapflow.operators.journeys import HEAD_AND_LAST, journeys
 from tapflow.operators.ordered import HOT_ROWS, hot_keys
-from tapflow.operators.sizing import is_small
+from tapflow.operators.sizing import cut_lineage, is_small
 from tapflow.operators.transfers import transfer_labels, transfer_pairs
 from tapflow.plans.network import Network
 from tapflow.schemas import PERSON_DAY
@@ -61,11 +60,11 @@ class OdPlan:
 
     @cached_property
     def rail_legs(self) -> DataFrame | None:
+        """Written out, because both the chain and the legs need them."""
         if self.gates is None:
             return None
         located = rail.station_join(self.gates, self.network.rail_sites)
-        # Kept, because both the chain and the legs need them.
-        return rail.rail_legs(located, self.hot_persons).persist(StorageLevel.MEMORY_AND_DISK)
+        return cut_lineage(rail.rail_legs(located, self.hot_persons))
 
     @cached_property
     def chain(self) -> DataFrame:
@@ -76,9 +75,9 @@ class OdPlan:
 
     @cached_property
     def inferred(self) -> DataFrame:
-        """Kept, because the history needs it before the boardings left open can be settled."""
-        settled = alighting.infer(self.chain, self.run_fixes, self.network.nearby)
-        return settled.persist(StorageLevel.MEMORY_AND_DISK)
+        """Written out: the history is counted from it before the boardings left open are settled,
+        and losing an executor must not repeat the way from the feeds to here."""
+        return cut_lineage(alighting.infer(self.chain, self.run_fixes, self.network.nearby))
 
     @cached_property
     def settled(self) -> DataFrame:
@@ -94,15 +93,16 @@ class OdPlan:
 
     @cached_property
     def history(self) -> DataFrame:
-        """One row per day, route and stop: small, and used twice by a run that saves it."""
+        """One row per day, route and stop."""
         if self.earlier_history is None:
-            return self.weights.persist()
-        return alighting.merge_history(self.weights, self.earlier_history).persist()
+            return self.weights
+        return alighting.merge_history(self.weights, self.earlier_history)
 
     @cached_property
     def fallback(self) -> DataFrame:
-        by_route = alighting.history_by_route(self.history)
-        if is_small(self.history):
+        history = self.history.persist()
+        by_route = alighting.history_by_route(history)
+        if is_small(history):
             by_route = by_route.hint("broadcast")
         return alighting.fallback_legs(self.settled, by_route, self.keep_unmatched)
 
@@ -128,11 +128,3 @@ class OdPlan:
     @cached_property
     def journeys(self) -> DataFrame:
         return journeys(self.legs, self.fare, self.hot_persons)
-
-    def release(self) -> None:
-        """Frees what the run kept in memory."""
-        for name in ("rail_legs", "inferred", "history"):
-            kept = self.__dict__.get(name)
-            if kept is not None:
-                kept.unpersist()
-        self.network.release()

@@ -1,11 +1,13 @@
 """Runs that write their results: a day or many days, and the near-stop table."""
 
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tapflow.operators.alighting import merge_history, on_days, without_days
 from tapflow.operators.journeys import HEAD_AND_LAST, journeys
+from tapflow.operators.legs import all_legs
 from tapflow.operators.sites import all_sites, near_sites
 from tapflow.operators.transfers import transfer_pairs
 from tapflow.plans.day import OdPlan
@@ -21,6 +23,12 @@ def near_sites_table(
     return tables.read_or_build(spark, path, lambda: near_sites(stops, bus_sites))
 
 
+def service_days(feeds: list[DataFrame]) -> list[date]:
+    """Calendar days found in the feeds: as many values as there are days, not records."""
+    dated = reduce(DataFrame.unionByName, [f.select("service_date") for f in feeds])
+    return sorted(row[0] for row in dated.distinct().collect())
+
+
 def run(
     taps: DataFrame,
     gps_fixes: DataFrame,
@@ -34,17 +42,20 @@ def run(
     keep_unmatched: bool = False,
     fare: str = HEAD_AND_LAST,
     fmt: str = "parquet",
+    days: list[date] | None = None,
+    intermediates: bool = False,
 ) -> None:
     """Writes `out`/legs, `out`/transfers and `out`/journeys for all service days in the feeds.
 
     Without `gates` it is a bus-only run. The legs are written first, with their times as numbers
     (`out`/legs_ms), and the results are derived from that table: the long part of the lineage runs
-    once and a lost executor costs no more than the step in hand.
+    once and a lost executor costs no more than the step in hand. `days` are the feeds' service days;
+    left out, they are looked up. `intermediates` also writes the vehicles' runs, the boarded taps and
+    all rides with their alighting stop where it is known (`out`/runs, /boarded, /rides).
     """
     spark = taps.sparkSession
-    feeds = [taps] if gates is None else [taps, gates]
-    dated = reduce(DataFrame.unionByName, [f.select("service_date") for f in feeds])
-    days = sorted(row[0] for row in dated.distinct().collect())  # calendar days of the run
+    if days is None:
+        days = service_days([taps] if gates is None else [taps, gates])
     near = near_sites_table(spark, near_path, bus_sites, rail_sites) if near_path else None
     saved = tables.read_history(spark, history_path) if history_path else None
     plan = OdPlan(
@@ -55,6 +66,10 @@ def run(
     if history_path and save_history:
         today = without_days(plan.weights)
         tables.write_history(today if saved is None else merge_history(today, saved), history_path)
+    if intermediates:
+        tables.write_days(plan.trip_runs, f"{out}/runs", fmt)
+        tables.write_days(plan.boarded, f"{out}/boarded", fmt)
+        tables.write_days(all_legs(plan.bus_legs("left"), plan.rail_legs), f"{out}/rides", fmt)
     tables.write_days(plan.labelled, f"{out}/legs_ms")
     legs = spark.read.parquet(f"{out}/legs_ms").filter(F.col("service_date").isin(days))
     tables.write_days(tables.legs_output(legs), f"{out}/legs", fmt)
@@ -62,4 +77,3 @@ def run(
     tables.write_days(tables.transfers_output(pairs), f"{out}/transfers", fmt)
     merged = journeys(legs, fare, plan.hot_persons)
     tables.write_days(tables.journeys_output(merged), f"{out}/journeys", fmt)
-    plan.release()

@@ -7,14 +7,14 @@ from pyspark.sql import DataFrame
 
 from tapflow.operators.alighting import nearby_stops
 from tapflow.operators.sites import all_sites, near_sites
-from tapflow.operators.sizing import broadcast_if_small, is_small
+from tapflow.operators.sizing import broadcast_if_small, cut_lineage, is_small
 
 
 @dataclass
 class Network:
     """Stops of the city; `saved_near` is a near-stop table built earlier.
 
-    Frames carry a broadcast hint where a count allowed it.
+    Dictionaries are read once and carry a broadcast hint where a count allowed it.
     """
 
     bus_dictionary: DataFrame
@@ -23,28 +23,23 @@ class Network:
 
     @cached_property
     def bus_sites(self) -> DataFrame:
-        return broadcast_if_small(self.bus_dictionary)
+        return broadcast_if_small(self.bus_dictionary.persist())
 
     @cached_property
-    def rail_sites(self) -> DataFrame:
-        return broadcast_if_small(self.rail_dictionary)
+    def rail_sites(self) -> DataFrame | None:
+        if self.rail_dictionary is None:
+            return None
+        return broadcast_if_small(self.rail_dictionary.persist())
 
     @cached_property
     def near(self) -> DataFrame:
         if self.saved_near is not None:
             return self.saved_near
-        stops = self.bus_dictionary
-        if self.rail_dictionary is not None:
-            stops = all_sites(stops, self.rail_dictionary)
-        return near_sites(stops, self.bus_dictionary)
+        bus = self.bus_sites
+        return near_sites(bus if self.rail_sites is None else all_sites(bus, self.rail_sites), bus)
 
     @cached_property
     def nearby(self) -> DataFrame:
-        """`near` as the alighting step looks it up; kept, so that counting builds it only once."""
-        stops = nearby_stops(self.near).persist()
-        pairs = stops.selectExpr("explode(stops)")
-        return stops.hint("broadcast") if is_small(pairs) else stops
-
-    def release(self) -> None:
-        if "nearby" in self.__dict__:
-            self.nearby.unpersist()
+        """`near` as the alighting step looks it up."""
+        stops = cut_lineage(nearby_stops(self.near))
+        return stops.hint("broadcast") if is_small(stops.selectExpr("explode(stops)")) else stops

@@ -90,4 +90,6 @@ def test_keys(spark):
     assert value(spark, fn.station_site_id("'0102'")) == "0" * 12 + "0102"
     assert [value(spark, fn.bus_direction(t)) for t in ("'上行'", "'下行'", "NULL")] == ["0", "1", "1"]
     assert value(spark, fn.person_key("'123'")) == "00000123"
+    texts = ("'abcdefghijklmnopqrst'", "'short'", "CAST(NULL AS STRING)")
+    assert [value(spark, fn.reserved_field(t)) for t in texts] == ["qr", "00", "00"]
     assert value(spark, fn.rail_card("'9123'")) == "0" * 12 + "9123"

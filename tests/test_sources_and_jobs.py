@@ -126,6 +126,12 @@ def test_run_writes_the_three_results(spark, city, tmp_path, with_rail):
     # A second run adds the first one's history to its own weights.
     assert tables.read_history(spark, f"{out}/history").agg({"weight": "sum"}).first()[0] > 0
     once = tables.read_history(spark, f"{out}/history").agg({"weight": "sum"}).first()[0]
-    run(source.taps, source.gps_fixes, source.bus_sites, f"{out}/second", **options)
+    run(
+        source.taps, source.gps_fixes, source.bus_sites, f"{out}/second", days=[DAY],
+        intermediates=True, **options,
+    )
+    for name, step in (("runs", plan.trip_runs), ("boarded", plan.boarded)):
+        assert spark.read.csv(f"{out}/second/{name}", header=True).count() == step.count()
+    assert spark.read.csv(f"{out}/second/rides", header=True).count() >= plan.legs.count()
     assert tables.read_history(spark, f"{out}/history").agg({"weight": "sum"}).first()[0] == 2 * once
     assert DAY in {r[0] for r in spark.read.parquet(f"{out}/second/legs_ms").select("service_date").distinct().collect()}
