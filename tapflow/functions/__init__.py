@@ -1,6 +1,7 @@
 """Scalar functions as SQL text over Spark built-ins, so that they stay inside code generation."""
 
 from tapflow.functions import keys
+from tapflow.functions.binding import let
 from tapflow.functions.fares import amount, amount_sum, free_ride
 from tapflow.functions.geo import site_distance
 from tapflow.functions.keys import (
@@ -12,7 +13,7 @@ from tapflow.functions.times import (
 )
 
 __all__ = [
-    "amount", "amount_sum", "bus_direction", "compact_from_ms", "free_ride", "keys", "month_from_ms",
+    "amount", "amount_sum", "bus_direction", "compact_from_ms", "free_ride", "keys", "let", "month_from_ms",
     "ms_from_compact", "ms_from_text", "pad_route", "pad_site", "pad_type", "pad_vehicle",
     "person_key", "rail_card", "reserved_field", "service_day", "site_distance", "station_route",
     "station_route_id", "station_site", "station_site_id",

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
+from tapflow.functions import let
 from tapflow.schemas import CHAINED, PERSON_DAY, VEHICLE_DAY
 
 TAP = [*PERSON_DAY, "ts_ms"]
@@ -62,12 +63,13 @@ def infer(chain: DataFrame, run_fixes: DataFrame, nearby: DataFrame) -> DataFram
     visited = rows.selectExpr(
         *CARRIED, "target_site", "stops", "filter(fixes, f -> f.ts_ms < next_ms) AS visited"
     )
-    lowest = visited.selectExpr("*", "array_min(visited.site) AS lowest")
     usable = """s.near_site <= target_site AND s.site2 > site AND s.site_id2 >= site_id
                 AND s.site2 >= lowest"""
+    best = let("lowest", "array_min(visited.site)", f"array_min(filter(stops, s -> {usable}))")
+    off = let("reach", "best.site2", "array_max(filter(visited, f -> f.site <= reach))")
     return (
-        lowest.selectExpr(*CARRIED, "visited", f"array_min(filter(stops, s -> {usable})) AS best")
-        .selectExpr("*", "array_max(filter(visited, f -> f.site <= best.site2)) AS off")
+        visited.selectExpr(*CARRIED, "visited", f"{best} AS best")
+        .selectExpr("*", f"{off} AS off")
         .selectExpr(*CARRIED, "best", "off", "IF(off IS NULL, visited, NULL) AS visited")
     )
 
@@ -130,18 +132,28 @@ def history_by_route(weights: DataFrame) -> DataFrame:
 # A repeatable number in [0, 1) for a tap: the first 32 bits of an MD5, over 2^32.
 DRAW = "cast(conv(substr(md5(concat(person, ts_ms)), 1, 8), 16, 10) AS double) / 4294967296D"
 
-# First entry of `history` whose running share of the total weight exceeds the draw.
-PICK = """aggregate(
-    history,
-    struct(0L AS passed, cast(NULL AS struct<site: string, weight: bigint>) AS pick),
-    (acc, h) -> struct(
-        acc.passed + h.weight AS passed,
-        coalesce(
-            acc.pick,
-            IF(cast(acc.passed + h.weight AS double) / cast(total AS double) > draw, h, NULL)
-        ) AS pick
-    )
-).pick"""
+# Entries of `history` further down the route that the run visited.
+REACHABLE = let(
+    "seen", "visited.site",
+    "filter(history, h -> h.site > site AND array_contains(seen, h.site))",
+)
+
+# First reachable entry whose running share of the total weight exceeds the draw.
+PICK = let("entries", "reachable", let(
+    "v", f"struct(aggregate(entries.weight, 0L, (sum, w) -> sum + w) AS total, {DRAW} AS draw)",
+    """aggregate(
+        entries,
+        struct(0L AS passed, cast(NULL AS struct<site: string, weight: bigint>) AS pick),
+        (acc, h) -> struct(
+            acc.passed + h.weight AS passed,
+            coalesce(
+                acc.pick,
+                IF(cast(acc.passed + h.weight AS double) / cast(v.total AS double) > v.draw, h, NULL)
+            ) AS pick
+        )
+    ).pick""",
+))
+AT_PICK = let("there", "pick.site", "array_max(filter(visited, f -> f.site = there))")
 
 
 def fallback_legs(
@@ -157,22 +169,17 @@ def fallback_legs(
     rows = (
         taps.filter("off IS NULL")
         .join(history, ["service_date", "route"], "left" if keep_unmatched else "inner")
-        .selectExpr(*RIDE, "visited", "filter(history, h -> h.site > site) AS history")
     )
     if not keep_unmatched:
-        rows = rows.filter("size(history) > 0")
+        rows = rows.filter("exists(history, h -> h.site > site)")
     return (
-        rows.selectExpr("*", "visited.site AS seen")
-        .selectExpr(
-            *RIDE, "visited", "filter(history, h -> array_contains(seen, h.site)) AS history"
-        )
-        .selectExpr("*", "aggregate(history.weight, 0L, (acc, w) -> acc + w) AS total", f"{DRAW} AS draw")
+        rows.selectExpr(*RIDE, "visited", f"{REACHABLE} AS reachable")
         .selectExpr(*RIDE, "visited", f"{PICK} AS pick")
         .selectExpr(
             *RIDE,
             "pick",
             f"""coalesce(
-                array_max(filter(visited, f -> f.site = pick.site)),
+                {AT_PICK},
                 array_max(filter(visited, f -> f.site > site)),
                 struct({UNKNOWN_MS}L AS ts_ms, '{UNKNOWN_SITE}' AS site)
             ) AS off""",

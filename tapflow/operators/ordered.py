@@ -25,16 +25,23 @@ def hot_keys(frames: list[DataFrame], keys: list[str], limit: int = HOT_ROWS) ->
     There are at most rows / limit such keys. The count combines map-side before it shuffles.
     """
     rows = reduce(DataFrame.unionByName, [f.select(*keys) for f in frames])
-    hot = rows.groupBy(*keys).count().filter(f"count > {limit}").select(*keys)
-    return None if hot.isEmpty() else broadcast_if_small(cut_lineage(hot))
+    hot = rows.groupBy(*keys).count().filter(f"count > {limit}").select(*keys).persist()
+    if hot.isEmpty():
+        hot.unpersist()
+        return None
+    return broadcast_if_small(hot)
 
 
 def split_hot(
     df: DataFrame, keys: list[str], hot: DataFrame | None
 ) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of ordinary keys, rows of hot keys or None)."""
+    """(rows of ordinary keys, rows of hot keys or None).
+
+    With hot keys both ways read `df`, one of them twice to find its bounds, so it is written out.
+    """
     if hot is None:
         return df, None
+    df = cut_lineage(df)
     return same_key(df, hot, keys, "left_anti"), same_key(df, hot, keys, "left_semi")
 
 

@@ -1,6 +1,7 @@
 """Checks made before a side of a join is broadcast, and before lineage is cut."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -22,13 +23,20 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` to the checkpoint folder of the cluster and read it from there."""
-    context = df.sparkSession.sparkContext
+    """Write `df` as a table into the checkpoint folder of the cluster and read it from there.
+
+    A table rather than `checkpoint()`, which stores whole rows: readers of a few columns skip the
+    rest, and the planner knows the size.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not context.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="tapflow-checkpoint-")
         context.setCheckpointDir(folder)
-    return df.checkpoint()
+    path = f"{context.getCheckpointDir()}/table-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
