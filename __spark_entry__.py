@@ -14,6 +14,19 @@ from tapflow.plans.day import OdPlan
 from tapflow.plans.network import Network
 from tapflow.sources.event_tables import EventTables
 
+try:
+    from tapflow.llm import queries as llm
+except ModuleNotFoundError as missing:  # the subpackage may be left out
+    if missing.name != "tapflow.llm":
+        raise
+    llm = None
+try:
+    import corpus_pipeline
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "tapflow.llm"):
+        raise
+    corpus_pipeline = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -101,6 +114,25 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    """Every registered query: the engine's own, and those of the training-data operators if they are there."""
+    found = transit_queries()
+    if llm:
+        found |= llm.queries()
+    if corpus_pipeline:
+        found["pipeline"] = corpus_pipeline.run
+    return found
+
+
+def oracle_sql() -> dict[str, str]:
+    found = transit_sql()
+    if llm:
+        found |= llm.oracle_sql()
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
+def transit_queries() -> dict[str, Query]:
     return {
         "src_bus_taps": _of_tables(lambda t: t.taps_raw),
         "src_rail_gates": _of_tables(lambda t: t.gates_raw),
@@ -146,7 +178,7 @@ def queries() -> dict[str, Query]:
     }
 
 
-def oracle_sql() -> dict[str, str]:
+def transit_sql() -> dict[str, str]:
     sql = oracle.sql
     chain = f"{oracle.BOARDED}, target_route, target_site, next_ms"
     return {

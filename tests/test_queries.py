@@ -16,10 +16,10 @@ def db() -> duckdb.DuckDBPyConnection:
 
 
 def test_every_query_has_its_sql():
-    assert list(entry.queries()) == list(entry.oracle_sql())
+    assert list(entry.transit_queries()) == list(entry.transit_sql())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.transit_queries()))
 def test_query_equals_sql(spark, db, name):
     assert compare(spark, db, DATA, name).startswith("ok")
 
