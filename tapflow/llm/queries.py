@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapflow.llm import decontamination
+from tapflow.llm import decontamination, toxicity
 from tapflow.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,8 +17,19 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's score, by a model that knows only labels of rows that aren't held out."""
+    docs = table(spark, folder, "documents")
+    scored = toxicity.score(docs, toxicity.train(docs, table(spark, folder, "labels")))
+    return scored.select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"), "threshold", "toxic",
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op4_toxicity": op4_toxicity,
         "op5_decontamination": op5_decontamination,
     }
 
