@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapflow.llm import decontamination, toxicity
+from tapflow.llm import decontamination, minhash, toxicity
 from tapflow.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,11 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op2_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The class of near copies of every document."""
+    return minhash.classes(table(spark, folder, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's score, by a model that knows only labels of rows that aren't held out."""
     docs = table(spark, folder, "documents")
@@ -29,6 +34,7 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_minhash_dedup": op2_minhash_dedup,
         "op4_toxicity": op4_toxicity,
         "op5_decontamination": op5_decontamination,
     }
