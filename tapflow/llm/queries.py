@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapflow.llm import decontamination, minhash, toxicity
-from tapflow.llm.shared import table
+from tapflow.llm import decontamination, minhash, token_files, toxicity
+from tapflow.llm.shared import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,11 +33,19 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_token_files(spark: SparkSession, folder: str, vocabulary: str | None = None) -> DataFrame:
+    """All documents as token files, read back."""
+    out = shared_folder(spark)
+    token_files.write(table(spark, folder, "documents"), out, vocabulary or public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read(spark, out)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_minhash_dedup": op2_minhash_dedup,
         "op4_toxicity": op4_toxicity,
         "op5_decontamination": op5_decontamination,
+        "op7_token_files": op7_token_files,
     }
 
 
