@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapflow.llm import decontamination, minhash, token_files, toxicity
+from tapflow.llm import decontamination, minhash, mixing, token_files, toxicity
 from tapflow.llm.shared import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,12 +40,18 @@ def op7_token_files(spark: SparkSession, folder: str, vocabulary: str | None = N
     return token_files.read(spark, out)
 
 
+def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents mixed by temperature, at as many tokens as there are."""
+    return mixing.draws(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_minhash_dedup": op2_minhash_dedup,
         "op4_toxicity": op4_toxicity,
         "op5_decontamination": op5_decontamination,
         "op7_token_files": op7_token_files,
+        "op8_mixing": op8_mixing,
     }
 
 
@@ -76,7 +82,50 @@ LEFT JOIN (SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_i
 """
 
 
+MIXING_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(source, '') AS source,
+         len(regexp_extract_all(coalesce(text, ''), '[^\\x09-\\x0D\\x20]+'))::BIGINT AS n_tokens
+  FROM documents),
+sums AS (SELECT source, sum(n_tokens)::BIGINT AS tokens FROM d GROUP BY 1),
+shares AS (
+  SELECT list(tokens / total) AS p, min(tokens / total) AS least, any_value(total) AS total
+  FROM (SELECT tokens, sum(tokens) OVER () AS total FROM sums WHERE tokens > 0)),
+halved AS (
+  SELECT 0 AS i, 0.0::DOUBLE AS low, 1.0::DOUBLE AS high
+  UNION ALL
+  SELECT i + 1, CASE WHEN ok THEN low ELSE (low + high) / 2 END, CASE WHEN ok THEN (low + high) / 2 ELSE high END
+  FROM (SELECT i, low, high, pow(least, (low + high) / 2 - 1)
+               / list_sum(list_transform(p, lambda x: pow(x, (low + high) / 2))) <= {mixing.MAX_REPEATS} AS ok
+        FROM halved, shares WHERE i < {mixing.SECTIONS.bit_length() * mixing.ROUNDS - mixing.ROUNDS})),
+ends AS (
+  SELECT CASE WHEN pow(least, -1) / len(p) <= {mixing.MAX_REPEATS} THEN 0.0 ELSE high END AS a, p
+  FROM shares, (SELECT high FROM halved ORDER BY i DESC LIMIT 1)),
+quotas AS (
+  SELECT source, tokens,
+         CASE WHEN tokens > 0 THEN floor(total * (pow(tokens / total, a) / list_sum(list_transform(p, lambda x: pow(x, a)))))::BIGINT
+              ELSE 0 END AS quota
+  FROM sums, ends, (SELECT total FROM shares)),
+plan AS (
+  SELECT *, CASE WHEN tokens > 0 THEN quota // tokens ELSE 0 END AS epochs,
+         CASE WHEN tokens > 0 THEN quota % tokens ELSE 0 END AS rest,
+         greatest(1, ceil(sum(quota) OVER () / {mixing.BLOCK_TOKENS}))::BIGINT AS blocks
+  FROM quotas),
+copies AS (
+  SELECT *, ('0x' || substr(md5('{mixing.SEED}:' || epoch || ':' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS sort_key
+  FROM (SELECT d.doc_id, d.source, n_tokens, tokens, quota, epochs, rest, blocks, unnest(range(0, epochs + 1)) AS epoch
+        FROM d JOIN plan ON d.source = plan.source)),
+paid AS (
+  SELECT *, sum(n_tokens) OVER (PARTITION BY source, epoch ORDER BY sort_key RANGE UNBOUNDED PRECEDING) AS cost FROM copies)
+SELECT doc_id, source, n_tokens, epoch::BIGINT AS epoch,
+       least(blocks - 1, floor((epoch + (sort_key >> 30) / 1073741824::DOUBLE) * greatest(tokens, 1) / greatest(quota, 1)
+             * blocks::DOUBLE))::BIGINT AS block, sort_key
+FROM paid WHERE epoch < epochs OR cost <= rest
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_decontamination": DECONTAMINATION_SQL,
+        "op8_mixing": MIXING_SQL,
     }
