@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapflow.llm import decontamination, minhash, mixing, token_files, toxicity
+from tapflow.llm import decontamination, minhash, mixing, token_files, toxicity, warc
 from tapflow.llm.shared import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,13 @@ def op2_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.classes(table(spark, folder, "documents"))
 
 
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages as archives, read back."""
+    out = shared_folder(spark)
+    warc.write(table(spark, folder, "pages"), out)
+    return warc.read(spark, out).drop("url", "payload")
+
+
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's score, by a model that knows only labels of rows that aren't held out."""
     docs = table(spark, folder, "documents")
@@ -48,6 +55,7 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op2_minhash_dedup": op2_minhash_dedup,
+        "op3_warc": op3_warc,
         "op4_toxicity": op4_toxicity,
         "op5_decontamination": op5_decontamination,
         "op7_token_files": op7_token_files,
@@ -124,8 +132,25 @@ FROM paid WHERE epoch < epochs OR cost <= rest
 """
 
 
+WARC_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h,
+         max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last
+  FROM pages),
+digests AS (
+  SELECT *, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(h, 1 + (i // 4) * 5, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::BIGINT, 1)), '') AS digest
+  FROM p)
+SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM last THEN last END AS refers_to
+FROM digests
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_warc": WARC_SQL,
         "op5_decontamination": DECONTAMINATION_SQL,
         "op8_mixing": MIXING_SQL,
     }
