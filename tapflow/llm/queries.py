@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapflow.llm import decontamination, minhash, mixing, token_files, toxicity, warc
+from tapflow.llm import decontamination, fingerprints, minhash, mixing, token_files, toxicity, warc
 from tapflow.llm.shared import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,11 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op1_spotsigs(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return fingerprints.edited_and_next(table(spark, folder, "documents"))
+
+
 def op2_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """The class of near copies of every document."""
     return minhash.classes(table(spark, folder, "documents"))
@@ -54,6 +59,7 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_spotsigs": op1_spotsigs,
         "op2_minhash_dedup": op2_minhash_dedup,
         "op3_warc": op3_warc,
         "op4_toxicity": op4_toxicity,
