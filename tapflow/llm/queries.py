@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapflow.llm import decontamination, fingerprints, minhash, mixing, token_files, toxicity, warc
+from tapflow.llm import decontamination, fingerprints, minhash, mixing, personal, token_files, toxicity, warc
 from tapflow.llm.shared import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,11 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.draws(table(spark, folder, "documents"))
 
 
+def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document."""
+    return personal.find(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_spotsigs": op1_spotsigs,
@@ -66,6 +71,7 @@ def queries() -> dict[str, Query]:
         "op5_decontamination": op5_decontamination,
         "op7_token_files": op7_token_files,
         "op8_mixing": op8_mixing,
+        "op9_personal_data": op9_personal_data,
     }
 
 
