@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapflow.llm import decontamination, fingerprints, minhash, mixing, personal, token_files, toxicity, warc
+from tapflow.llm import decontamination, fingerprints, line_dedup, minhash, mixing, personal, token_files, toxicity, warc
 from tapflow.llm.shared import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,14 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the lines that an earlier one has: counts and digest of what stays."""
+    kept = line_dedup.without_repeats(table(spark, folder, "documents"))
+    return kept.select(
+        "doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256")
+    )
+
+
 def op7_token_files(spark: SparkSession, folder: str, vocabulary: str | None = None) -> DataFrame:
     """All documents as token files, read back."""
     out = shared_folder(spark)
@@ -69,6 +77,7 @@ def queries() -> dict[str, Query]:
         "op3_warc": op3_warc,
         "op4_toxicity": op4_toxicity,
         "op5_decontamination": op5_decontamination,
+        "op6_line_dedup": op6_line_dedup,
         "op7_token_files": op7_token_files,
         "op8_mixing": op8_mixing,
         "op9_personal_data": op9_personal_data,
