@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapflow.llm import decontamination, fingerprints, line_dedup, minhash, mixing, personal, token_files, toxicity, warc
+from tapflow.llm import decontamination, fingerprints, line_dedup, lm_scoring, minhash, mixing, personal, token_files, toxicity, warc
 from tapflow.llm.shared import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,11 @@ def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return personal.find(table(spark, folder, "documents"))
 
 
+def op10_lm_scoring(spark: SparkSession, folder: str, vocabulary: str | None = None) -> DataFrame:
+    """Every document's score by a unigram and by an attention model of those that aren't held out."""
+    return lm_scoring.score(table(spark, folder, "documents"), vocabulary or public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_spotsigs": op1_spotsigs,
@@ -81,6 +86,7 @@ def queries() -> dict[str, Query]:
         "op7_token_files": op7_token_files,
         "op8_mixing": op8_mixing,
         "op9_personal_data": op9_personal_data,
+        "op10_lm_scoring": op10_lm_scoring,
     }
 
 
