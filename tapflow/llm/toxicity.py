@@ -58,14 +58,17 @@ def word_ids(texts: W.Flat) -> tuple[np.ndarray, np.ndarray]:
     return np.stack(rows), words.first
 
 
-def padded(ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words with padding behind each text, so that no filter reaches into the next text or stays empty."""
+def padded(ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words with padding behind each text, and where filters begin in it: at its words and the padding next to them.
+
+    So no filter reaches into the next text or stays empty. The ends are exclusive.
+    """
     counts, gap = np.diff(first), max(WIDTHS)
     at = first[:-1] + np.arange(len(counts)) * gap
     out = np.full((len(ids), len(ids[0]) + len(counts) * gap), PAD, np.int32)
     if len(ids[0]):
         out[:, W.ragged(at, counts)] = ids
-    return out, at
+    return out, at, at + counts + 1
 
 
 def _embedded(model: Model, ids: np.ndarray) -> np.ndarray:
@@ -76,7 +79,7 @@ def _embedded(model: Model, ids: np.ndarray) -> np.ndarray:
 
 
 def _responses(model: Model, x: np.ndarray) -> list[np.ndarray]:
-    """Of each width, filters by places; the last places of a text see its padding."""
+    """Of each width, filters by places."""
     out = []
     for kernel in model.kernels:
         r = kernel[0].T @ x.T
@@ -86,6 +89,11 @@ def _responses(model: Model, x: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def _largest(responses: np.ndarray, at: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Filters by texts: the largest response from `at` to `ends`."""
+    return np.maximum.reduceat(responses, np.stack([at, ends], axis=1).reshape(-1), axis=1)[:, ::2]
+
+
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
@@ -94,8 +102,8 @@ def scores(model: Model, texts: W.Flat) -> np.ndarray:
     """The score of each text, from all of its words."""
     out = np.empty(len(texts.offsets) - 1)
     for start, piece in W.pieces(texts, 1 << 20):
-        ids, at = padded(*word_ids(piece))
-        pooled = np.concatenate([np.maximum.reduceat(r, at, axis=1) for r in _responses(model, _embedded(model, ids))])
+        ids, at, ends = padded(*word_ids(piece))
+        pooled = np.concatenate([_largest(r, at, ends) for r in _responses(model, _embedded(model, ids))])
         z = model.weights @ np.maximum(pooled, 0) + model.bias
         out[start : start + len(at)] = _sigmoid(z.astype(np.float64))
     return out
@@ -122,10 +130,9 @@ def fit(examples: list[np.ndarray], labels: np.ndarray, rate: float, seed: int =
         for begin in range(0, len(order), BATCH):
             chosen = order[begin : begin + BATCH]
             first = np.cumsum([0, *(examples[i].shape[1] for i in chosen)])
-            ids, at = padded(np.concatenate([examples[i] for i in chosen], axis=1), first)
+            ids, at, ends = padded(np.concatenate([examples[i] for i in chosen], axis=1), first)
             ids[0, rng.random(ids.shape[1]) < DROPPED] = PAD
             x = _embedded(model, ids)
-            ends = np.append(at[1:], x.shape[0])
             tops, places = [], []
             for r in _responses(model, x):
                 place = np.stack([a + r[:, a:e].argmax(axis=1) for a, e in zip(at, ends, strict=True)])
@@ -218,8 +225,8 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLA
     model = fit([e for e, x in zip(examples, last, strict=True) if not x], marks[~last], rate)
     seen: list[float] = []
     for i in np.flatnonzero(last):
-        ids, at = padded(examples[i], np.array([0, examples[i].shape[1]]))
-        pooled = np.concatenate([np.maximum.reduceat(r, at, axis=1) for r in _responses(model, _embedded(model, ids))])
+        ids, at, ends = padded(examples[i], np.array([0, examples[i].shape[1]]))
+        pooled = np.concatenate([_largest(r, at, ends) for r in _responses(model, _embedded(model, ids))])
         seen.append(float(_sigmoid(model.weights @ np.maximum(pooled, 0) + model.bias)[0]))
     seen_scores, seen_marks = np.array(seen), marks[last]
     langs = np.array([found[i].lang or "" for i in np.flatnonzero(last)])
