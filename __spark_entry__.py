@@ -27,6 +27,9 @@ except ModuleNotFoundError as missing:
         raise
     corpus_pipeline = None
 
+#: Records of a person and day from which the *_hot queries take the other way; some persons have more at every scale.
+HOT = 36
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -39,24 +42,15 @@ def _plain(df: DataFrame) -> DataFrame:
     ])
 
 
-_networks: dict[tuple[str, str, bool], Network] = {}
-
-
-def _network(tables: EventTables, with_rail: bool) -> Network:
-    """Stop dictionaries change rarely; like a saved near-stop table they serve many runs."""
-    key = (tables.spark.sparkContext.applicationId, tables.folder, with_rail)
-    if key not in _networks:
-        _networks[key] = Network(tables.bus_sites, tables.rail_sites if with_rail else None)
-    return _networks[key]
-
-
-def _plan(spark: SparkSession, folder: str, with_rail: bool = True, squeeze: int = 60) -> OdPlan:
+def _plan(spark: SparkSession, folder: str, with_rail: bool = True, squeeze: int = 60, **options) -> OdPlan:
+    """The plan of a query; each builds its own stop network."""
     tables = EventTables(spark, folder, squeeze)
     return OdPlan(
         taps=tables.taps,
         gps_fixes=tables.gps_fixes,
-        network=_network(tables, with_rail),
+        network=Network(tables.bus_sites, tables.rail_sites if with_rail else None),
         gates=tables.gates if with_rail else None,
+        **options,
     )
 
 
@@ -175,6 +169,13 @@ def transit_queries() -> dict[str, Query]:
         "od_bus_day": _of_plan(lambda p: p.labelled, with_rail=False),
         "od_bus_rail_day": _of_plan(lambda p: legs.off_before_on(p.labelled)),
         "od_month": _of_plan(lambda p: p.journeys, squeeze=1),
+        # the same steps with part of the persons taken as too large for one task
+        "rail_legs_hot": _of_plan(lambda p: p.rail_legs, hot_rows=HOT),
+        "travel_chain_hot": _of_plan(lambda p: p.chain.drop("shared_tap"), hot_rows=HOT),
+        "transfer_labels_hot": _of_plan(lambda p: p.labelled, hot_rows=HOT),
+        "transfer_pairs_hot": _of_plan(lambda p: p.transfers, hot_rows=HOT),
+        "journeys_hot": _of_plan(lambda p: p.journeys, hot_rows=HOT),
+        "feed_rejects": _of_tables(lambda t: cleaning.feed_rejects(t.taps_raw, t.gps_raw, t.gates_raw)),
     }
 
 
@@ -252,4 +253,16 @@ def transit_sql() -> dict[str, str]:
         "od_bus_day": sql("SELECT * FROM labelled", rail=False),
         "od_bus_rail_day": sql("SELECT *, off_ms < on_ms AS off_before_on FROM labelled"),
         "od_month": sql("SELECT * FROM journeys", squeeze=1),
+        "rail_legs_hot": sql("SELECT * FROM rail_legs"),
+        "travel_chain_hot": sql(f"SELECT {chain} FROM chain"),
+        "transfer_labels_hot": sql("SELECT * FROM labelled"),
+        "transfer_pairs_hot": sql("SELECT * FROM transfers"),
+        "journeys_hot": sql("SELECT * FROM journeys"),
+        "feed_rejects": sql(
+            """SELECT feed, n AS rows, 0::BIGINT AS bad_time, 0::BIGINT AS bad_card, 0::BIGINT AS wide_vehicle,
+                      0::BIGINT AS wide_route, 0::BIGINT AS wide_site
+               FROM (SELECT 'taps' AS feed, count(*) AS n FROM taps_raw
+                     UNION ALL SELECT 'gps', count(*) FROM gps_raw
+                     UNION ALL SELECT 'gates', count(*) FROM gates_raw)"""
+        ),
     }

@@ -8,20 +8,33 @@ UP, DOWN, RAIL = "0", "1", "2"
 NO_VEHICLE = "00000000"
 
 
+VEHICLE, ROUTE, SITE, TYPE = 8, 8, 6, 2  # widths
+
+
+def padded(text: str, width: int) -> str:
+    """Zeros in front up to `width`; what is wider stays whole, so that no two keys fall together."""
+    return f"lpad({text}, greatest(length({text}), {width}), '0')"
+
+
 def pad_vehicle(text: str) -> str:
-    return f"lpad({text}, 8, '0')"
+    return padded(text, VEHICLE)
 
 
 def pad_route(text: str) -> str:
-    return f"lpad({text}, 8, '0')"
+    return padded(text, ROUTE)
 
 
 def pad_site(text: str) -> str:
-    return f"lpad({text}, 6, '0')"
+    return padded(text, SITE)
 
 
 def pad_type(text: str) -> str:
-    return f"lpad({text}, 2, '0')"
+    return padded(text, TYPE)
+
+
+def no_card(text: str) -> str:
+    """Whether a record names no card: it can't be told from other riders' then."""
+    return f"coalesce(trim({text}), '') = ''"
 
 
 def rail_card(text: str) -> str:

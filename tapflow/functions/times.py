@@ -5,15 +5,16 @@ zone (`spark.sql.session.timeZone`). Unreadable text gives NULL rather than an e
 can be counted.
 """
 
-TEXT_PATTERN = "yyyy-MM-dd HH:mm:ss"
+TEXT_PATTERN = "yyyy-M-d H:m:s"
+TEXT_TIME = r"^\\s*(\\d{1,4}-\\d{1,2}-\\d{1,2} \\d{1,2}:\\d{1,2}:\\d{1,2})"
 COMPACT_PATTERN = "yyyyMMddHHmmss"
 NO_TIME = "0" * 14
 NO_MONTH = "0" * 6
 
 
 def ms_from_text(text: str) -> str:
-    """`yyyy-MM-dd HH:mm:ss[.fraction]` to epoch ms; whatever follows the seconds is ignored."""
-    return f"unix_millis(try_to_timestamp(substr({text}, 1, 19), '{TEXT_PATTERN}'))"
+    """`yyyy-MM-dd HH:mm:ss[.fraction]` to epoch ms; fields may have one digit, what follows the seconds is ignored."""
+    return f"unix_millis(try_to_timestamp(nullif(regexp_extract({text}, '{TEXT_TIME}', 1), ''), '{TEXT_PATTERN}'))"
 
 
 def ms_from_compact(text: str) -> str:

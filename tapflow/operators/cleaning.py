@@ -1,9 +1,11 @@
 """Raw text feeds to typed tables.
 
 `service_date` names the day of a one-day file; left out, it is the day of the record. Records whose
-time cannot be read are left out (see the `*_rejects` functions).
+time cannot be read, and taps and gate records without a card, are left out; `feed_rejects` counts them.
 """
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 
 from tapflow import functions as fn
@@ -17,7 +19,7 @@ def _dated(rows: DataFrame, service_date: str | None) -> DataFrame:
 
 def clean_taps(raw: DataFrame, service_date: str | None = None) -> DataFrame:
     """Bus taps with padded keys; free card types owe and pay nothing."""
-    rows = raw.selectExpr(
+    rows = raw.filter(f"NOT ({fn.no_card('card')})").selectExpr(
         "card",
         f"{fn.person_key('card')} AS person",
         f"{fn.pad_type('card_type')} AS card_type",
@@ -34,7 +36,7 @@ def clean_taps(raw: DataFrame, service_date: str | None = None) -> DataFrame:
 
 def clean_gates(raw: DataFrame, service_date: str | None = None) -> DataFrame:
     """Rail gate records; the amount due is the amount paid plus the reward."""
-    rows = raw.selectExpr(
+    rows = raw.filter(f"NOT ({fn.no_card('card')})").selectExpr(
         f"{fn.rail_card('card')} AS card",
         f"{fn.person_key(fn.rail_card('card'))} AS person",
         f"{fn.pad_type('card_type')} AS card_type",
@@ -107,3 +109,29 @@ def gate_rejects(raw: DataFrame) -> DataFrame:
         f"count_if({fn.amount_sum('txn_amt', 'reward_amt')} IS NULL) AS bad_amount",
         "count(*) AS rows",
     )
+
+
+def _wider(column: str, width: int) -> str:
+    return f"count_if(length({column}) > {width}) AS wide_{column}"
+
+
+def feed_rejects(taps: DataFrame, gps: DataFrame, gates: DataFrame | None = None) -> DataFrame:
+    """One row per raw feed: rows, and how many have an unreadable time, no card, or keys wider than usual.
+
+    Rows with the first two are left out by cleaning; wide keys are kept whole.
+    """
+    wide = [_wider("vehicle", fn.keys.VEHICLE), _wider("route", fn.keys.ROUTE), _wider("site", fn.keys.SITE)]
+    none = ["CAST(0 AS bigint) AS wide_vehicle", "CAST(0 AS bigint) AS wide_route", "CAST(0 AS bigint) AS wide_site"]
+
+    def counted(feed: str, raw: DataFrame, time: str, card: str, keys: list[str]) -> DataFrame:
+        return raw.selectExpr(
+            f"'{feed}' AS feed", "count(*) AS rows", f"count_if({time} IS NULL) AS bad_time", f"count_if({card}) AS bad_card", *keys
+        )
+
+    parts = [
+        counted("taps", taps, fn.ms_from_text("tap_time"), fn.no_card("card"), wide),
+        counted("gps", gps, fn.ms_from_text("gps_time"), "false", [wide[0], none[1], wide[2]]),
+    ]
+    if gates is not None:
+        parts.append(counted("gates", gates, fn.ms_from_compact("concat(date, time)"), fn.no_card("card"), none))
+    return reduce(DataFrame.unionByName, parts)

@@ -37,12 +37,11 @@ def split_hot(
 ) -> tuple[DataFrame, DataFrame | None]:
     """(rows of ordinary keys, rows of hot keys or None).
 
-    With hot keys both ways read `df`, one of them twice to find its bounds, so it is written out.
+    Only the rows of hot keys are written out, because cutting them into slices reads them twice.
     """
     if hot is None:
         return df, None
-    df = cut_lineage(df)
-    return same_key(df, hot, keys, "left_anti"), same_key(df, hot, keys, "left_semi")
+    return same_key(df, hot, keys, "left_anti"), cut_lineage(same_key(df, hot, keys, "left_semi"))
 
 
 def same_key(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:

@@ -10,8 +10,8 @@ BROADCAST_ROWS = 500_000
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether `df` has at most `max_rows` rows; the count stops one row later."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether `df` has at most `max_rows` rows, by a count that combines in the tasks."""
+    return df.count() <= max_rows
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

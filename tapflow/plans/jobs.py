@@ -5,7 +5,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapflow.operators.alighting import merge_history, on_days, without_days
+from tapflow.operators.alighting import on_days, without_days
 from tapflow.operators.journeys import HEAD_AND_LAST, journeys
 from tapflow.operators.legs import all_legs
 from tapflow.operators.sites import all_sites, near_sites
@@ -56,24 +56,28 @@ def run(
     spark = taps.sparkSession
     if days is None:
         days = service_days([taps] if gates is None else [taps, gates])
+    else:  # all steps see the same days
+        taps, gps_fixes = (x.filter(F.col("service_date").isin(days)) for x in (taps, gps_fixes))
+        gates = None if gates is None else gates.filter(F.col("service_date").isin(days))
     near = near_sites_table(spark, near_path, bus_sites, rail_sites) if near_path else None
     saved = tables.read_history(spark, history_path) if history_path else None
+    if saved is not None:  # what an earlier run of the same days saved is replaced
+        saved = saved.filter(~F.col("service_date").isin(days))
     plan = OdPlan(
         taps=taps, gps_fixes=gps_fixes, gates=gates, keep_unmatched=keep_unmatched, fare=fare,
         network=Network(bus_sites, rail_sites, near),
-        earlier_history=None if saved is None else on_days(saved, days),
+        earlier_history=None if saved is None else on_days(without_days(saved), days),
     )
     if history_path and save_history:
-        today = without_days(plan.weights)
-        tables.write_history(today if saved is None else merge_history(today, saved), history_path)
+        tables.write_history(plan.weights if saved is None else saved.unionByName(plan.weights), history_path)
     if intermediates:
-        tables.write_days(plan.trip_runs, f"{out}/runs", fmt)
-        tables.write_days(plan.boarded, f"{out}/boarded", fmt)
-        tables.write_days(all_legs(plan.bus_legs("left"), plan.rail_legs), f"{out}/rides", fmt)
-    tables.write_days(plan.labelled, f"{out}/legs_ms")
-    legs = spark.read.parquet(f"{out}/legs_ms").filter(F.col("service_date").isin(days))
-    tables.write_days(tables.legs_output(legs), f"{out}/legs", fmt)
+        tables.write_days(plan.trip_runs, f"{out}/runs", fmt, days)
+        tables.write_days(plan.boarded, f"{out}/boarded", fmt, days)
+        tables.write_days(all_legs(plan.bus_legs("left"), plan.rail_legs), f"{out}/rides", fmt, days)
+    tables.write_days(plan.labelled, f"{out}/legs_ms", days=days)
+    legs = spark.read.schema(plan.labelled.schema).parquet(f"{out}/legs_ms").filter(F.col("service_date").isin(days))
+    tables.write_days(tables.legs_output(legs), f"{out}/legs", fmt, days)
     pairs = transfer_pairs(legs, plan.hot_persons)
-    tables.write_days(tables.transfers_output(pairs), f"{out}/transfers", fmt)
+    tables.write_days(tables.transfers_output(pairs), f"{out}/transfers", fmt, days)
     merged = journeys(legs, fare, plan.hot_persons)
-    tables.write_days(tables.journeys_output(merged), f"{out}/journeys", fmt)
+    tables.write_days(tables.journeys_output(merged), f"{out}/journeys", fmt, days)

@@ -1,6 +1,7 @@
 """Derived tables kept between runs, and the results."""
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -60,17 +61,37 @@ def journeys_output(journeys: DataFrame) -> DataFrame:
     return _with_text_times(journeys, ["on_ms", "off_ms"], columns)
 
 
-def write_days(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+def _day_files(spark: SparkSession, path: str, days: list[date]) -> dict[date, tuple]:
+    """Folder and names of its files, for each of the days that has a folder."""
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(path)
+    system = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = {}
+    for day in days:
+        folder = jvm.org.apache.hadoop.fs.Path(top, f"service_date={day}")
+        if system.exists(folder):
+            found[day] = (system, folder, {str(f.getPath().getName()) for f in system.listStatus(folder)})
+    return found
+
+
+def write_days(df: DataFrame, path: str, fmt: str = "parquet", days: list[date] | None = None) -> None:
     """Overwrites the days found in `df` and leaves other days under `path` alone.
 
+    `days` are the days that a run covers: those of them that have no rows now lose what an earlier run wrote.
+    Files have names of their own in each write, so a day whose files are still the same is such a day.
+
     Rows are rebalanced by day first, so that a day ends up in well-sized files whatever the number
     of tasks that computed it, and a large day in many.
     """
+    before = _day_files(df.sparkSession, path, days or [])
     writer = df.hint("rebalance", "service_date").write.format(fmt).mode("overwrite")
     writer = writer.partitionBy("service_date").option("partitionOverwriteMode", "dynamic")
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.save(path)
+    for day, (system, folder, names) in _day_files(df.sparkSession, path, days or []).items():
+        if day in before and names == before[day][2]:
+            system.delete(folder, True)
 
 
 # Alighting history --------------------------------------------------------------------------------
@@ -86,7 +107,7 @@ def read_history(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def write_history(weights: DataFrame, path: str) -> None:
-    """Saves a new version beside the earlier ones, so the version being read is never overwritten.
+    """Saves weights per service_date, route and site as a new version beside the earlier ones, so the version being read is never overwritten.
 
     Files of a version appear only when its job commits, so a failed write is never the newest one.
     """
