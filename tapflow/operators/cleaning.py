@@ -1,6 +1,7 @@
 """Raw text feeds to typed tables.
 
-`service_date` names the day of a one-day file; left out, it is the day of the record. Records whose
+`service_date` names the day of a one-day file; `day` is SQL over the raw row that gives it, for many files at once
+(for instance a column, or a part of `_metadata.file_path`); without both it is the day of the record. Records whose
 time cannot be read, and taps and gate records without a card, are left out; `feed_rejects` counts them.
 """
 
@@ -12,14 +13,16 @@ from tapflow import functions as fn
 from tapflow.schemas import TAPS
 
 
-def _dated(rows: DataFrame, service_date: str | None) -> DataFrame:
-    day = fn.service_day("ts_ms") if service_date is None else f"DATE '{service_date}'"
-    return rows.filter("ts_ms IS NOT NULL").selectExpr(f"{day} AS service_date", "*")
+def _dated(raw: DataFrame, columns: list[str], service_date: str | None, day: str | None) -> DataFrame:
+    """`columns` of the raw rows that have a time, with the service day first."""
+    given = day or (f"DATE '{service_date}'" if service_date else "CAST(NULL AS date)")
+    rows = raw.selectExpr(f"CAST({given} AS date) AS file_day", *columns).filter("ts_ms IS NOT NULL")
+    return rows.selectExpr(f"coalesce(file_day, {fn.service_day('ts_ms')}) AS service_date", "* EXCEPT (file_day)")
 
 
-def clean_taps(raw: DataFrame, service_date: str | None = None) -> DataFrame:
+def clean_taps(raw: DataFrame, service_date: str | None = None, day: str | None = None) -> DataFrame:
     """Bus taps with padded keys; free card types owe and pay nothing."""
-    rows = raw.filter(f"NOT ({fn.no_card('card')})").selectExpr(
+    return _dated(raw.filter(f"NOT ({fn.no_card('card')})"), [
         "card",
         f"{fn.person_key('card')} AS person",
         f"{fn.pad_type('card_type')} AS card_type",
@@ -30,13 +33,12 @@ def clean_taps(raw: DataFrame, service_date: str | None = None) -> DataFrame:
         "change_type",
         f"{fn.free_ride('card_type', fn.amount('fare_due'))} AS fare_due",
         f"{fn.free_ride('card_type', fn.amount('fare_paid'))} AS fare_paid",
-    )
-    return _dated(rows, service_date).select(*TAPS)
+    ], service_date, day).select(*TAPS)
 
 
-def clean_gates(raw: DataFrame, service_date: str | None = None) -> DataFrame:
+def clean_gates(raw: DataFrame, service_date: str | None = None, day: str | None = None) -> DataFrame:
     """Rail gate records; the amount due is the amount paid plus the reward."""
-    rows = raw.filter(f"NOT ({fn.no_card('card')})").selectExpr(
+    return _dated(raw.filter(f"NOT ({fn.no_card('card')})"), [
         f"{fn.rail_card('card')} AS card",
         f"{fn.person_key(fn.rail_card('card'))} AS person",
         f"{fn.pad_type('card_type')} AS card_type",
@@ -45,18 +47,16 @@ def clean_gates(raw: DataFrame, service_date: str | None = None) -> DataFrame:
         "in_out",
         f"{fn.amount_sum('txn_amt', 'reward_amt')} AS fare_due",
         f"{fn.amount('txn_amt')} AS fare_paid",
-    )
-    return _dated(rows, service_date)
+    ], service_date, day)
 
 
-def clean_gps(raw: DataFrame, service_date: str | None = None) -> DataFrame:
+def clean_gps(raw: DataFrame, service_date: str | None = None, day: str | None = None) -> DataFrame:
     """GPS fixes taken at a stop (`0`, as written, means between stops)."""
-    rows = raw.filter("site != '0'").selectExpr(
+    return _dated(raw.filter("site != '0'"), [
         f"{fn.pad_vehicle('vehicle')} AS vehicle",
         f"{fn.ms_from_text('gps_time')} AS ts_ms",
         f"{fn.pad_site('site')} AS site",
-    )
-    return _dated(rows, service_date)
+    ], service_date, day)
 
 
 def clean_bus_sites(raw: DataFrame) -> DataFrame:

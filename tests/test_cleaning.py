@@ -93,3 +93,27 @@ def test_keys(spark):
     texts = ("'abcdefghijklmnopqrst'", "'short'", "CAST(NULL AS STRING)")
     assert [value(spark, fn.reserved_field(t)) for t in texts] == ["qr", "00", "00"]
     assert value(spark, fn.rail_card("'9123'")) == "0" * 12 + "9123"
+
+
+def test_times_with_one_digit_and_wide_keys_are_kept(spark):
+    feed = raw(spark, TAPS_RAW, tap("1", tap_time="2024-1-1 0:0:1.5"), tap("1", vehicle="123456789"), tap("1", vehicle="123456780"))
+    rows = cleaning.clean_taps(feed).collect()
+    assert [r.ts_ms for r in rows] == [DAY_MS + 1000] * 3
+    assert sorted(r.vehicle for r in rows) == ["00000007", "123456780", "123456789"]
+
+
+def test_records_without_a_card_are_counted(spark):
+    taps = raw(spark, TAPS_RAW, tap("1"), tap("1", card=None), tap("1", card=" "), tap("1", tap_time="soon"), tap("1", route="123456789"))
+    gps = raw(spark, GPS_RAW, {"vehicle": "1", "gps_time": "2024-01-01 0:00:03", "site": "4"}, {"vehicle": "1", "gps_time": "", "site": "4"})
+    assert cleaning.clean_taps(taps).count() == 2
+    found = {r.feed: tuple(r)[1:] for r in cleaning.feed_rejects(taps, gps).collect()}
+    assert found == {"taps": (5, 1, 2, 0, 1, 0), "gps": (2, 1, 0, 0, 0, 0)}
+
+
+def test_day_of_each_file(spark, tmp_path):
+    for day in ("2024-01-01", "2024-01-02"):
+        rows = raw(spark, TAPS_RAW, tap("1", tap_time=f"{day} 23:50:00"), tap("1", tap_time="2024-01-03 00:20:00"))
+        rows.coalesce(1).write.option("header", True).option("sep", "\t").csv(f"{tmp_path}/{day}")
+    feed = spark.read.option("header", True).option("sep", "\t").csv([f"{tmp_path}/2024-01-01", f"{tmp_path}/2024-01-02"])
+    taps = cleaning.clean_taps(feed, day="regexp_extract(_metadata.file_path, '[0-9]{4}-[0-9]{2}-[0-9]{2}', 0)")
+    assert sorted(str(r.service_date) for r in taps.collect()) == ["2024-01-01"] * 2 + ["2024-01-02"] * 2

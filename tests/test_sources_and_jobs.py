@@ -100,6 +100,10 @@ def test_writing_a_day_leaves_other_days(spark, tmp_path):
     tables.write_days(table, path)
     tables.write_days(table.filter("x = 2").selectExpr("service_date", "3 AS x"), path)
     assert sorted(r.x for r in spark.read.parquet(path).collect()) == [1, 3]
+    # a run of both days that finds rows of the first only leaves none of the second
+    days = [r[0] for r in table.select("service_date").distinct().collect()]
+    tables.write_days(table.filter("x = 1"), path, days=days)
+    assert [r.x for r in spark.read.parquet(path).collect()] == [1]
 
 
 @pytest.mark.parametrize("with_rail", [False, True])
