@@ -158,6 +158,11 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.unhex(F.md5("text")).alias("key"), "text")
 
 
+def _lists(values: np.ndarray) -> pa.Array:
+    flat = pa.array(np.ascontiguousarray(values).view(np.int64).reshape(-1))
+    return pa.FixedSizeListArray.from_arrays(flat, values.shape[1]).cast(pa.list_(pa.int64()))
+
+
 def _banded(rows: DataFrame) -> DataFrame:
     """row, doc_id, key of the text, and the bands of its signature (null without words)."""
 
@@ -165,9 +170,8 @@ def _banded(rows: DataFrame) -> DataFrame:
         for batch in batches:
             bands = bands_of(W.flat(batch.column(3)), BANDS, ROWS)
             none = pa.array((bands == 0).all(axis=1))
-            lists = pa.FixedSizeListArray.from_arrays(pa.array(bands.view(np.int64).reshape(-1)), BANDS).cast(pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.compute.if_else(none, pa.scalar(None, pa.list_(pa.int64())), lists)],
+                [*batch.columns[:3], pa.compute.if_else(none, pa.scalar(None, pa.list_(pa.int64())), _lists(bands))],
                 names=["row", "doc_id", "key", "bands"],
             )
 
@@ -176,17 +180,19 @@ def _banded(rows: DataFrame) -> DataFrame:
 
 
 def _sketched(texts: DataFrame) -> DataFrame:
-    """key, size and the sketch as numbers s0, s1, ..., written down."""
+    """key, size, bands and the sketch as numbers s0, s1, ..., written down."""
     names = [f"s{i}" for i in range(_LONGS)]
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, bits = sketches_of(W.flat(batch.column(1)))
+            texts = W.flat(batch.column(1))
+            sizes, bits = sketches_of(texts)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes), *(pa.array(np.ascontiguousarray(x)) for x in bits.T)], names=["key", "size", *names]
+                [batch.column(0), pa.array(sizes), _lists(bands_of(texts, BANDS, ROWS)), *(pa.array(np.ascontiguousarray(x)) for x in bits.T)],
+                names=["key", "size", "bands", *names],
             )
 
-    schema = shared.struct(key="binary", size="long", **dict.fromkeys(names, "long"))
+    schema = shared.struct(key="binary", size="long", bands="array<long>", **dict.fromkeys(names, "long"))
     return shared.stored(shared.map_arrow(texts.select("key", "text"), sketched, schema))
 
 
@@ -261,7 +267,10 @@ def _placed(rows: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _unconnected(placed: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs of a bucket in different components that may still be alike."""
+    """Pairs of a bucket in different components that may still be alike, each in the first of the bands that both have.
+
+    If one of them is the text that all of that bucket were compared with, the pair is known already.
+    """
     mixed = shared.stored(
         placed.groupBy("band").agg(F.min("component").alias("m"), F.max("component").alias("n")).where("m != n").select("band")
     )
@@ -271,7 +280,8 @@ def _unconnected(placed: DataFrame, texts: DataFrame) -> DataFrame:
     apart = " + ".join(f"bit_count(x.s{i} ^ y.s{i})" for i in range(_LONGS))
     return open_.alias("x").join(open_.alias("y"), F.expr(
         f"x.band = y.band AND x.key > y.key AND x.component != y.component AND abs(x.far - y.far) <= {REACH!r}D "
-        f"AND least(x.size, y.size) >= {SIMILARITY}D * greatest(x.size, y.size) AND {apart} <= {SKETCH - AGREEING}"
+        f"AND least(x.size, y.size) >= {SIMILARITY}D * greatest(x.size, y.size) AND {apart} <= {SKETCH - AGREEING} "
+        "AND array_min(array_intersect(x.bands, y.bands)) = x.band"
     )).select(F.col("x.key").alias("a"), F.col("y.key").alias("b"))
 
 
