@@ -285,6 +285,15 @@ def _unconnected(placed: DataFrame, texts: DataFrame) -> DataFrame:
     )).select(F.col("x.key").alias("a"), F.col("y.key").alias("b"))
 
 
+def _stored_groups(rows: DataFrame) -> DataFrame:
+    """The groups written down, and what led to them removed."""
+    with shared.recorded() as paths:
+        grouped = _grouped(rows)
+    result = shared.stored(grouped)
+    shared.remove(rows.sparkSession, paths)
+    return result
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, class_id (the smallest doc_id of its class), class_size in rows.
 
@@ -293,7 +302,7 @@ def classes(docs: DataFrame) -> DataFrame:
     give a class its id only where no other does (null then). Repeated rows are copies.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", shared.text_of())
-    grouped = shared.stored(_grouped(rows))
+    grouped = _stored_groups(rows)
     ids = shared.stored(grouped.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")))
     return grouped.join(ids, "component").select("doc_id", "class_id", "class_size")
 
@@ -301,7 +310,7 @@ def classes(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents, all columns, one of each class: that with the smallest doc_id, of repeated rows any one."""
     held = shared.stored(docs.withColumn(_ROW, F.monotonically_increasing_id()))
-    grouped = _grouped(held.select(F.col(_ROW).alias("row"), "doc_id", shared.text_of()))
+    grouped = _stored_groups(held.select(F.col(_ROW).alias("row"), "doc_id", shared.text_of()))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
     kept = shared.stored(grouped.groupBy("component").agg(F.min(order).alias("best")).select(F.col("best.row").alias(_ROW)))
     return held.join(kept, _ROW, "left_semi").select(*docs.columns)

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -26,7 +27,24 @@ def shared_folder(spark: SparkSession) -> str:
         top = context.getCheckpointDir()
     if "://" not in top and not top.startswith("file:"):
         top = f"file://{top}" if top.startswith("/") else top
-    return f"{top.rstrip('/')}/llm-{uuid.uuid4()}"
+    path = f"{top.rstrip('/')}/llm-{uuid.uuid4()}"
+    for paths in _recording:
+        paths.append(path)
+    return path
+
+
+_recording: list[list[str]] = []
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The folders that are named inside, in a list."""
+    paths: list[str] = []
+    _recording.append(paths)
+    try:
+        yield paths
+    finally:
+        _recording[:] = [x for x in _recording if x is not paths]
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -36,11 +54,12 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Remove a folder that this library has written."""
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Remove folders that this library has written and that nothing reads any more."""
     jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
