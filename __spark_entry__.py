@@ -14,18 +14,14 @@ from tapflow.plans.day import OdPlan
 from tapflow.plans.network import Network
 from tapflow.sources.event_tables import EventTables
 
-try:
-    from tapflow.llm import queries as llm
-except ModuleNotFoundError as missing:  # the subpackage may be left out
-    if missing.name != "tapflow.llm":
-        raise
-    llm = None
-try:
+llm = corpus_pipeline = None
+try:  # the subpackage and its pipeline may be left out
+    import tapflow.llm.queries as llm
+
     import corpus_pipeline
 except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "tapflow.llm"):
+    if missing.name not in ("tapflow.llm", "tapflow.llm.queries", "corpus_pipeline"):
         raise
-    corpus_pipeline = None
 
 #: Records of a person and day from which the *_hot queries take the other way; some persons have more at every scale.
 HOT = 36
