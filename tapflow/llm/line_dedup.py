@@ -1,10 +1,12 @@
 """Line dedup by pairwise alignment: passages that an earlier document has go from the later one.
 
 Overlapping documents are found through lines they share. A rare line (few documents hold it) pairs each of its documents with
-every earlier one; any other pairs each with the first that holds it, which grows in proportion however common
-it is. A pair is aligned by patience diff: lines that both documents hold once anchor the alignment, what lies next to and between
-them follows. Runs of aligned lines of five words or more in all are deleted from the later document. The first document with a line
-has no earlier one to be aligned with there, so one copy always stays.
+every earlier one; any other pairs each with the first that holds it, and so does a run of short lines that has five words only
+together; both grow in proportion however common they are. A pair is aligned by patience diff: lines that both documents hold once
+anchor the alignment, what lies next to and between them follows. Runs of aligned lines of five words or more in all are deleted from
+the later document, then all other runs of that size that both have, moved or repeated, which no alignment takes. So a line goes
+exactly if it is in a run of five words or more that any earlier document has: the first to have the run's shortest part around
+the line is among the partners. The first document with a line has no earlier one there, so one copy always stays.
 
 Documents are ordered by doc_id, then by a hash of the text. Lines are compared without white space around them; blank lines don't
 count and don't interrupt a run.
@@ -87,8 +89,36 @@ def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
+def runs(lines: list[tuple[int, int, int]], min_words: int = MIN_WORDS) -> set[tuple[int, int]]:
+    """The shortest runs of neighbouring lines with `min_words` words that begin or end at each line, as (from, to).
+
+    They cover every line of any longer run without leaving it.
+    """
+    out = set()
+    for step in (1, -1):
+        for i in range(len(lines)):
+            j, size = i, lines[i][2]
+            while size < min_words and 0 <= j + step < len(lines) and lines[j + step][0] == lines[j][0] + step:
+                j += step
+                size += lines[j][2]
+            if size >= min_words:
+                out.add((min(i, j), max(i, j) + 1))
+    return out
+
+
 def doomed(earlier: list[tuple[int, int, int]], later: list[tuple[int, int, int]], min_words: int = MIN_WORDS) -> list[int]:
     """Lines to delete from the later of two documents, given as (place, hash, words) of the lines that any other document has."""
+    out = _aligned_runs(earlier, later, min_words)
+    if len(out) == len(later):
+        return out
+    held = {tuple(x[1] for x in earlier[a:b]) for a, b in runs(earlier, min_words)}
+    moved = {
+        later[j][0] for a, b in runs(later, min_words) if tuple(x[1] for x in later[a:b]) in held for j in range(a, b)
+    }
+    return out + sorted(moved.difference(out))
+
+
+def _aligned_runs(earlier: list[tuple[int, int, int]], later: list[tuple[int, int, int]], min_words: int) -> list[int]:
     out: list[int] = []
     run: list[int] = []
     size, last = 0, (-2, -2)
@@ -140,11 +170,14 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     star = shown.where("first != struct(id, k)").select(F.col("first").alias("e"), holder)
     rare = shown.where(f"n <= {RARE}").groupBy("line").agg(F.array_sort(F.collect_set(holder)).alias("all"))
     each = rare.selectExpr("explode(all) AS d", "all").selectExpr("explode(filter(all, x -> x < d)) AS e", "d")
-    pairs = star.unionAll(each).select(
-        F.col("e.id").alias("ia"), F.col("e.k").alias("ka"), F.col("d.id").alias("ib"), F.col("d.k").alias("kb")
-    ).distinct()
     # a document's own lines only; equal rows of a repeated document fall together
     own = shared.stored(shown.groupBy("id", "k").agg(F.array_sort(F.collect_set(F.struct("place", "line", "words"))).alias("lines")))
+    several = _short_runs(own, min_words)
+    begun = several.groupBy("run").agg(F.min(F.struct("id", "k")).alias("e"), F.max(F.struct("id", "k")).alias("last")).where("e != last")
+    by_run = several.join(begun.select("run", "e"), "run").where("e != struct(id, k)").select("e", holder)
+    pairs = star.unionAll(each).unionAll(by_run).select(
+        F.col("e.id").alias("ia"), F.col("e.k").alias("ka"), F.col("d.id").alias("ib"), F.col("d.k").alias("kb")
+    ).distinct()
     sides = shared.stored(pairs).join(
         own.select(F.col("id").alias("ia"), F.col("k").alias("ka"), F.col("lines").alias("earlier")), ["ia", "ka"]
     ).join(own.select(F.col("id").alias("ib"), F.col("k").alias("kb"), F.col("lines").alias("later")), ["ib", "kb"])
@@ -164,6 +197,24 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     ))
 
 
+def _short_runs(own: DataFrame, min_words: int) -> DataFrame:
+    """run (hash), id, k: the runs of two lines or more of each document; a run of one line is paired by the line."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashed = [
+                list({hash(tuple(x[1] for x in lines[a:b])) for a, b in runs(lines, min_words) if b > a + 1})
+                for lines in _triples(batch.column(2))
+            ]
+            of = pa.array(np.repeat(np.arange(len(hashed)), [len(x) for x in hashed]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x for own in hashed for x in own], pa.int64()), batch.column(0).take(of), batch.column(1).take(of)],
+                names=["run", "id", "k"],
+            )
+
+    return shared.stored(shared.map_arrow(own.select("id", "k", "lines"), found, shared.struct(run="long", id="long", k="long")))
+
+
 def _triples(column: pa.Array) -> Iterator[list[tuple[int, int, int]]]:
     values = column.flatten()
     rows = list(zip(*(values.field(i).to_pylist() for i in range(3)), strict=True))

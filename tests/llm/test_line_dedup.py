@@ -63,6 +63,39 @@ def test_equal_to_brute_force(spark):
     assert all(not found[i].text.strip() for i in range(50, 52))
 
 
+def in_any_earlier(texts, min_words=X.MIN_WORDS):
+    """Places in runs of so many words that any earlier text has."""
+    split = [[x.strip(X._BLANK) for x in t.split("\n") if x.strip(X._BLANK)] for t in texts]
+    out = []
+    for d, own in enumerate(split):
+        gone = set()
+        for other in split[:d]:
+            for i in range(len(other)):
+                for j in range(len(own)):
+                    n = 0
+                    while i + n < len(other) and j + n < len(own) and other[i + n] == own[j + n]:
+                        n += 1
+                    if sum(len(x.split()) for x in own[j : j + n]) >= min_words:
+                        gone |= set(range(j, j + n))
+        out.append(gone)
+    return out
+
+
+def test_equal_to_brute_force_over_all_earlier_documents(spark):
+    a, b, c = (prose(n, 9) for n in (1, 2, 3))
+    short = ["one", "two", "three four", "five", "six"]
+    texts = [f"{a}\n{b}\n{a}", f"{b}\n{prose(10, 9)}\n{a}\n{a}"]  # twice among others, in another order
+    texts += [f"{x}\n{prose(20 + n, 9)}" for n, x in enumerate(short)]  # each short line has another first holder
+    texts += [f"{c}\n{prose(30 + n, 9)}\n{a}\n{b}" for n in range(6)]
+    texts += ["\n".join([prose(40 + n, 9), *short, prose(50 + n, 9)]) for n in range(4)]
+    rnd = random.Random(4)
+    pool = [*short, a, b, c, *(prose(60 + n, rnd.choice([1, 2, 3, 6])) for n in range(6))]
+    texts += ["\n".join(rnd.choice(pool) if rnd.random() < 0.8 else prose(100 + 50 * d + n, 4) for n in range(9)) for d in range(40)]
+    found = {r.doc_id: r for r in X.without_repeats(docs(spark, texts)).collect()}
+    for n, (text, gone) in enumerate(zip(texts, in_any_earlier(texts), strict=True)):
+        assert found[n].text == (X._without(text, gone) if gone else text) and found[n].n_removed == len(gone)
+
+
 def test_odd_rows_and_empty_tables(spark):
     odd = odd_docs(spark).unionAll(docs(spark, ["one two three four five six\nnew line"] * 2, [200, 201]))
     rows = X.without_repeats(odd).collect()
