@@ -3,7 +3,8 @@
 A word's embedding is the sum of hashed vectors of the word and of its first four and five bytes, so
 inflected and compound forms share what they begin with. Filters one, two and three words wide run over the
 whole text, each keeps its largest response, and a logistic layer weighs these. Thresholds are
-calibrated by language on labelled rows that the fit hasn't seen; language is no input of the score.
+calibrated by language on all labelled rows that the fit hasn't seen, from their numbers by language, label and score bin;
+language is no input of the score.
 """
 
 from __future__ import annotations
@@ -18,10 +19,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tapflow.llm import shared, words as W
 
-#: Labelled rows of either class that a model is fitted and calibrated on, at most.
+#: Labelled rows of either class that a model is fitted on, at most, with those of them that only calibrate.
 ROWS_PER_CLASS = 4_000
-#: Every so many-th of them calibrates thresholds.
+#: Every so many-th of them calibrates thresholds, with all labelled rows beyond them.
 CALIBRATE = 5
+#: Bins of scores that thresholds are chosen from.
+BINS = 1_000
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 16, 8, 8, (1, 2, 3)
 EPOCHS, BATCH, RATE = 8, 40, 0.15
 #: Share of words whose own vector is left out in training, so that their beginnings have to carry it too.
@@ -170,15 +173,20 @@ def fit(examples: list[np.ndarray], labels: np.ndarray, rate: float, seed: int =
     return model
 
 
-def calibrated(scored: np.ndarray, labels: np.ndarray, default: float = 0.5) -> float:
-    """The threshold with the best mean of both classes' accuracy; the middle of all that are equally good."""
+def calibrated(scored: np.ndarray, labels: np.ndarray, default: float = 0.5, times: np.ndarray | None = None) -> float:
+    """The threshold with the best mean of both classes' accuracy; the middle of all that are equally good.
+
+    Each score counts so many `times`, once if left out.
+    """
     if len(set(labels.tolist())) < 2:
         return default
-    values = np.unique(scored)
+    times = np.ones(len(scored), np.int64) if times is None else times
+    values, at = np.unique(scored, return_inverse=True)
     cuts = np.concatenate([[0.0], values, [1.0]])
     cuts = (cuts[1:] + cuts[:-1]) / 2
-    ones, zeros = np.sort(scored[labels == 1]), np.sort(scored[labels == 0])
-    right = (len(ones) - np.searchsorted(ones, cuts)) / len(ones) + np.searchsorted(zeros, cuts) / len(zeros)
+    # of each class, how many are below each cut
+    ones, zeros = (np.cumsum(np.append(0, np.bincount(at, times * (labels == x), len(values)))) for x in (1, 0))
+    right = (ones[-1] - ones) / ones[-1] + zeros / zeros[-1]
     best = cuts[right >= right.max() - 1e-12]
     return float(np.clip((best.min() + best.max()) / 2, 0.2, 0.8))
 
@@ -190,7 +198,8 @@ def held_out() -> Column:
 def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS) -> Model:
     """A model from the labelled documents that aren't held out.
 
-    `rows_per_class` bounds the rows collected to the driver; they're taken by a hash of the id, alike at every size.
+    `rows_per_class` bounds the rows collected to the driver for the fit; they're taken by a hash of the id, alike at every
+    size. Thresholds see all other labelled rows: those are scored where they are, and only their sums come to the driver.
     Null ids and labels are left out; of several labels of an id the largest counts. Without both
     classes every score is the share of label 1.
     """
@@ -223,19 +232,35 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLA
     rate = n.get(1, 0) / max(1, sum(n.values()))
     last = np.arange(len(found)) % CALIBRATE == CALIBRATE - 1
     model = fit([e for e, x in zip(examples, last, strict=True) if not x], marks[~last], rate)
-    seen: list[float] = []
-    for i in np.flatnonzero(last):
-        ids, at, ends = padded(examples[i], np.array([0, examples[i].shape[1]]))
-        pooled = np.concatenate([_largest(r, at, ends) for r in _responses(model, _embedded(model, ids))])
-        seen.append(float(_sigmoid(model.weights @ np.maximum(pooled, 0) + model.bias)[0]))
-    seen_scores, seen_marks = np.array(seen), marks[last]
-    langs = np.array([found[i].lang or "" for i in np.flatnonzero(last)])
-    model.threshold = calibrated(seen_scores, seen_marks)
+    fitted = [(r.key,) for r, x in zip(found, last, strict=True) if not x]
+    sums = _score_bins(own, known, fitted, model)
+    bins, marks, times = (np.array([r[c] for r in sums], np.int64) for c in ("bin", "toxic", "n"))
+    middles, langs = (bins + 0.5) / BINS, np.array([r.lang or "" for r in sums])
+    model.threshold = calibrated(middles, marks, times=times)
     for lang in set(langs.tolist()) - {""}:
-        model.thresholds[lang] = calibrated(seen_scores[langs == lang], seen_marks[langs == lang], model.threshold)
+        is_own = langs == lang
+        model.thresholds[lang] = calibrated(middles[is_own], marks[is_own], model.threshold, times[is_own])
     return model
 
 
+def _score_bins(own: DataFrame, known: DataFrame, fitted: list[tuple[str]], model: Model) -> list:
+    """Numbers of labelled documents that the fit hasn't seen: lang, toxic, bin, n, one row per language and bin at most."""
+    spark = own.sparkSession
+    used = spark.createDataFrame(fitted, "key string")  # bounded by the rows of the fit
+    rest = known.join(F.broadcast(used), F.col("doc_id").cast("string") == F.col("key"), "left_anti")
+    rows = own.where("doc_id IS NOT NULL").select("doc_id", "lang", "text")
+    sent = spark.sparkContext.broadcast(model)
+
+    def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bins = np.minimum((scores(sent.value, W.flat(batch.column(2))) * BINS).astype(np.int32), BINS - 1)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(bins)], names=["doc_id", "lang", "bin"])
+
+    # scored before the join, so that no text is shuffled
+    found = shared.map_arrow(rows, binned, shared.with_fields(rows.drop("text").schema, bin="int"))
+    return found.join(rest, "doc_id").groupBy("lang", "toxic", "bin").agg(F.count("*").alias("n")).collect()
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """One row per document: doc_id, score, threshold (of its language), toxic (whether the score reaches it).
 

@@ -70,6 +70,23 @@ def test_odd_rows_and_empty_tables(spark):
     assert spark.read.parquet(f"{DATA}/labels.parquet").columns == ["doc_id", "quality", "toxic"]
 
 
+def test_thresholds_see_all_labelled_rows_that_the_fit_has_not_seen(spark, tables):
+    docs, labels = tables
+    model = X.train(docs, labels, 20)
+    known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~X.held_out())
+    by_hash = [X.F.xxhash64(X.F.col("doc_id").cast("string")), "doc_id"]
+    sample = sorted(str(r.doc_id) for c in (0, 1) for r in known.where(f"toxic = {c}").orderBy(*by_hash).limit(20).collect() if r.doc_id < 900)
+    fitted = {x for n, x in enumerate(sample) if n % X.CALIBRATE != X.CALIBRATE - 1}
+    rows = [r for r in docs.join(known, "doc_id").collect() if str(r.doc_id) not in fitted]
+    assert len(rows) > 500
+    found = X.scores(model, W.flat(pa.array([r.text for r in rows])))
+    middles = (np.minimum((found * X.BINS).astype(int), X.BINS - 1) + 0.5) / X.BINS
+    marks, langs = np.array([r.toxic for r in rows]), np.array([r.lang for r in rows])
+    assert model.threshold == pytest.approx(X.calibrated(middles, marks))
+    for lang in ("en", "de"):
+        assert model.thresholds[lang] == pytest.approx(X.calibrated(middles[langs == lang], marks[langs == lang], model.threshold))
+
+
 def test_thresholds():
     assert X.calibrated(np.array([0.1, 0.2, 0.8, 0.9]), np.array([0, 0, 1, 1])) == pytest.approx(0.5)
     assert X.calibrated(np.array([0.1, 0.2]), np.array([0, 0]), 0.6) == 0.6
