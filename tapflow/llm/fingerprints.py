@@ -2,9 +2,9 @@
 
 Each common word of a text (an anchor) with the next two words that aren't common is a signature; where common
 words are far off, every word is an anchor. A text without any such chain has one signature of all its words. A text's
-fingerprint is the set of its signatures, as sorted 32-bit hashes. Likeness is the Jaccard similarity of two sets. Sets
-whose lengths differ so much that their likeness can't reach a limit aren't compared: they fall in length
-classes that aren't neighbours, or fail the bound min / max.
+fingerprint is the set of its signatures, as sorted 32-bit hashes. Likeness is the Jaccard similarity of two sets. A text
+is compared with its edited text and with the next one only; there is no join over all pairs, and length classes are written
+out for one.
 """
 
 from __future__ import annotations
