@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapflow.llm import decontamination, fingerprints, line_dedup, lm_scoring, minhash, mixing, personal, token_files, toxicity, warc
+from tapflow.llm import decontamination, fingerprints, line_dedup, lm_scoring, minhash, mixing, personal, token_files, toxicity, url_filters, warc
 from tapflow.llm.shared import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,12 @@ def op10_lm_scoring(spark: SparkSession, folder: str, vocabulary: str | None = N
     return lm_scoring.score(table(spark, folder, "documents"), vocabulary or public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page judged by the fixed rules, else by the rules FP-growth mines from the pages that those label."""
+    judged = url_filters.judge(table(spark, folder, "pages"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "mined_verdict", "confidence")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_spotsigs": op1_spotsigs,
@@ -87,6 +93,7 @@ def queries() -> dict[str, Query]:
         "op8_mixing": op8_mixing,
         "op9_personal_data": op9_personal_data,
         "op10_lm_scoring": op10_lm_scoring,
+        "op11_url_filters": op11_url_filters,
     }
 
 
