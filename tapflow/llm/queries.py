@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapflow.llm import decontamination, fingerprints, line_dedup, lm_scoring, minhash, mixing, personal, token_files, toxicity, url_filters, warc
+from tapflow.llm import decontamination, fingerprints, line_dedup, lm_scoring, minhash, mixing, personal, spelling, token_files, toxicity, url_filters, warc
 from tapflow.llm.shared import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,11 @@ def op11_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "mined_verdict", "confidence")
 
 
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """Every word of all documents with its near words, form and root."""
+    return spelling.variants(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_spotsigs": op1_spotsigs,
@@ -94,6 +99,7 @@ def queries() -> dict[str, Query]:
         "op9_personal_data": op9_personal_data,
         "op10_lm_scoring": op10_lm_scoring,
         "op11_url_filters": op11_url_filters,
+        "op12_spelling": op12_spelling,
     }
 
 
