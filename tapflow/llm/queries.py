@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapflow.llm import decontamination, fingerprints, line_dedup, lm_scoring, minhash, mixing, personal, spelling, token_files, toxicity, url_filters, warc
+from tapflow.llm import conversations, decontamination, fingerprints, line_dedup, lm_scoring, minhash, mixing, personal, spelling, token_files, toxicity, url_filters, warc
 from tapflow.llm.shared import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +86,11 @@ def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(table(spark, folder, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation after planted damage: its faults and the cheapest repair."""
+    return conversations.repair(table(spark, folder, "conversations"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_spotsigs": op1_spotsigs,
@@ -100,6 +105,7 @@ def queries() -> dict[str, Query]:
         "op10_lm_scoring": op10_lm_scoring,
         "op11_url_filters": op11_url_filters,
         "op12_spelling": op12_spelling,
+        "op13_conversation_repair": op13_conversation_repair,
     }
 
 
