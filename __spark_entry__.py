@@ -12,7 +12,9 @@ from tapflow.operators import alighting, boarding, cleaning, gps, legs, rail
 from tapflow.operators.sites import all_sites, near_sites
 from tapflow.plans.day import OdPlan
 from tapflow.plans.network import Network
-from tapflow.sources.event_tables import EventTables
+from tapflow.operators.sizing import scratch_path
+from tapflow.sources import feeds
+from tapflow.sources.event_tables import EventTables, write_feed_files
 
 llm = corpus_pipeline = None
 try:  # the subpackage and its pipeline may be left out
@@ -62,6 +64,24 @@ def _of_plan(step: Callable[[OdPlan], DataFrame], **options) -> Query:
     return lambda spark, folder: _plain(step(_plan(spark, folder, **options)))
 
 
+def _feed_files(spark: SparkSession, folder: str, feed: str) -> str:
+    """The adapter's rows of a feed written as its text files, some lines damaged; their folder."""
+    tables = EventTables(spark, folder)
+    path = scratch_path(spark, f"feed-{feed}")
+    write_feed_files({"taps": tables.taps_raw, "gates": tables.gates_raw, "gps": tables.gps_raw}[feed], feed, path)
+    return path
+
+
+def _read_back(feed: str) -> Query:
+    """Every line of a feed's files through its reader: the columns, and the text of a rejected line."""
+    return lambda spark, folder: _plain(feeds.read_lines(spark, _feed_files(spark, folder, feed), feed).drop("file"))
+
+
+def _feed_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    lines = {f: feeds.read_lines(spark, _feed_files(spark, folder, f), f) for f in ("taps", "gps", "gates")}
+    return cleaning.feed_rejects(lines["taps"], lines["gps"], lines["gates"])
+
+
 def _time_format_roundtrip(t: EventTables) -> DataFrame:
     rows = t.gates_raw.selectExpr("card", "station", "concat(date, time) AS text")
     return rows.selectExpr("*", f"{fn.ms_from_compact('text')} AS ms").selectExpr(
@@ -171,7 +191,10 @@ def transit_queries() -> dict[str, Query]:
         "transfer_labels_hot": _of_plan(lambda p: p.labelled, hot_rows=HOT),
         "transfer_pairs_hot": _of_plan(lambda p: p.transfers, hot_rows=HOT),
         "journeys_hot": _of_plan(lambda p: p.journeys, hot_rows=HOT),
-        "feed_rejects": _of_tables(lambda t: cleaning.feed_rejects(t.taps_raw, t.gps_raw, t.gates_raw)),
+        "feed_rejects": _feed_rejects,
+        "read_bus_taps": _read_back("taps"),
+        "read_rail_gates": _read_back("gates"),
+        "read_gps": _read_back("gps"),
     }
 
 
@@ -254,11 +277,8 @@ def transit_sql() -> dict[str, str]:
         "transfer_labels_hot": sql("SELECT * FROM labelled"),
         "transfer_pairs_hot": sql("SELECT * FROM transfers"),
         "journeys_hot": sql("SELECT * FROM journeys"),
-        "feed_rejects": sql(
-            """SELECT feed, n AS rows, 0::BIGINT AS bad_time, 0::BIGINT AS bad_card, 0::BIGINT AS wide_vehicle,
-                      0::BIGINT AS wide_route, 0::BIGINT AS wide_site
-               FROM (SELECT 'taps' AS feed, count(*) AS n FROM taps_raw
-                     UNION ALL SELECT 'gps', count(*) FROM gps_raw
-                     UNION ALL SELECT 'gates', count(*) FROM gates_raw)"""
-        ),
+        "feed_rejects": sql(oracle.feed_rejects_sql()),
+        "read_bus_taps": sql("SELECT * FROM taps_read"),
+        "read_rail_gates": sql("SELECT * FROM gates_read"),
+        "read_gps": sql("SELECT * FROM gps_read"),
     }

@@ -64,6 +64,49 @@ PAIR = [
 ]
 
 
+#: The feeds as written by `event_tables.write_feed_files`: view, columns in file order, kept columns, separator
+#: (code point), fields of a cut line, time column, card column.
+def _feed_files() -> dict[str, tuple]:
+    from tapflow.schemas import GATES_KEPT, GATES_RAW, GPS_RAW, TAPS_RAW
+
+    return {
+        "taps": ("taps_raw", TAPS_RAW, TAPS_RAW, 9, 5, "tap_time", "card"),
+        "gates": ("gates_raw", GATES_RAW, GATES_KEPT, 44, 20, "time", "card"),
+        "gps": ("gps_raw", GPS_RAW, GPS_RAW, 44, 3, "gps_time", "card"),
+    }
+
+
+FEED_FILES = _feed_files()
+
+
+def raw_columns(view: str) -> set[str]:
+    """Columns of the raw feed views below."""
+    from tapflow.schemas import GATES_KEPT, GPS_RAW, TAPS_RAW
+
+    return set({"taps_raw": TAPS_RAW, "gates_raw": GATES_KEPT, "gps_raw": GPS_RAW}[view])
+
+
+def feed_rejects_sql() -> str:
+    """Counts of the read feeds: rejected lines, and among the others unreadable times, missing cards, wide keys."""
+    from tapflow.functions.keys import ROUTE, SITE, VEHICLE
+
+    def part(feed: str, time: str, card: str, wide: tuple[str, str, str]) -> str:
+        return f"""SELECT '{feed}' AS feed, count(*) AS rows, count_if(line IS NOT NULL) AS rejected,
+                  count_if(line IS NULL AND {time}) AS bad_time, count_if(line IS NULL AND {card}) AS bad_card,
+                  {wide[0]} AS wide_vehicle, {wide[1]} AS wide_route, {wide[2]} AS wide_site FROM {feed}_read"""
+
+    def wide(column: str, width: int) -> str:
+        return f"count_if(line IS NULL AND length({column}) > {width})"
+
+    zero = "0::BIGINT"
+    return " UNION ALL ".join([
+        part("taps", "tap_time = 'not a time'", "coalesce(trim(card), '') = ''",
+             (wide("vehicle", VEHICLE), wide("route", ROUTE), wide("site", SITE))),
+        part("gps", "gps_time = 'not a time'", "false", (wide("vehicle", VEHICLE), zero, wide("site", SITE))),
+        part("gates", "time = 'not a time'", "coalesce(trim(card), '') = ''", (zero, zero, zero)),
+    ])
+
+
 def blocks(squeeze: int = 60, rail: bool = True) -> dict[str, str]:
     """All named blocks in dependency order."""
     b: dict[str, str] = {}
@@ -94,6 +137,19 @@ def blocks(squeeze: int = 60, rail: bool = True) -> dict[str, str]:
            greatest(0, 1 + (t // 180000) % 20 - CASE WHEN k % 10 = 0 THEN 2 ELSE 0 END)::VARCHAR
              AS site, t
     FROM ev WHERE event_type IN ('view', 'click')"""
+    for feed, (raw, names, kept, sep, cut, time, card) in FEED_FILES.items():
+        fields = [f"coalesce({c}, '')" if c in raw_columns(raw) else "''" for c in names]
+        joined = lambda xs: f"concat_ws(chr({sep}), {', '.join(xs)})"
+        b[f"{feed}_lines"] = f"""
+        SELECT *, substr(md5(line_text), 1, 1) AS digit, {joined(fields[:cut])} AS cut_text
+        FROM (SELECT *, {joined(fields)} AS line_text FROM {raw})"""
+        b[f"{feed}_read"] = f"""
+        SELECT {', '.join(
+            f"CASE WHEN digit = '0' THEN NULL WHEN digit = '1' THEN 'not a time' ELSE {c} END AS {c}" if c == time else
+            f"CASE WHEN digit IN ('0', '2') THEN NULL ELSE {c} END AS {c}" if c == card else
+            f"CASE WHEN digit = '0' THEN NULL ELSE {c} END AS {c}" if c in raw_columns(raw) else f"NULL::VARCHAR AS {c}"
+            for c in kept)}, CASE WHEN digit = '0' THEN cut_text END AS line
+        FROM {feed}_lines"""
     b["parts"] = "SELECT p_partkey AS p, p_partkey // 20 AS r, p_partkey % 20 AS n FROM part"
     b["bus_sites"] = f"""
     SELECT {_pad('1 + r', 16)} AS route_id, {_pad('1 + r', 8)} AS route,

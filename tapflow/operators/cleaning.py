@@ -116,16 +116,20 @@ def _wider(column: str, width: int) -> str:
 
 
 def feed_rejects(taps: DataFrame, gps: DataFrame, gates: DataFrame | None = None) -> DataFrame:
-    """One row per raw feed: rows, and how many have an unreadable time, no card, or keys wider than usual.
+    """One row per raw feed: rows, rejected lines, and how many others have an unreadable time, no card, or keys wider than usual.
 
-    Rows with the first two are left out by cleaning; wide keys are kept whole.
+    A feed read by `feeds.read_lines` has `line`, the text of a line with the wrong number of fields; those are rejected.
+    Rows with an unreadable time or without a card are left out by cleaning; wide keys are kept whole.
     """
     wide = [_wider("vehicle", fn.keys.VEHICLE), _wider("route", fn.keys.ROUTE), _wider("site", fn.keys.SITE)]
     none = ["CAST(0 AS bigint) AS wide_vehicle", "CAST(0 AS bigint) AS wide_route", "CAST(0 AS bigint) AS wide_site"]
 
     def counted(feed: str, raw: DataFrame, time: str, card: str, keys: list[str]) -> DataFrame:
+        read = "line IS NULL" if "line" in raw.columns else "true"
         return raw.selectExpr(
-            f"'{feed}' AS feed", "count(*) AS rows", f"count_if({time} IS NULL) AS bad_time", f"count_if({card}) AS bad_card", *keys
+            f"'{feed}' AS feed", "count(*) AS rows", f"count_if(NOT ({read})) AS rejected",
+            f"count_if({read} AND {time} IS NULL) AS bad_time", f"count_if({read} AND {card}) AS bad_card",
+            *[k.replace("count_if(", f"count_if({read} AND ") for k in keys],
         )
 
     parts = [

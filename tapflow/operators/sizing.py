@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Rows of a dictionary-like table (a few hundred bytes each) that every executor can hold.
 BROADCAST_ROWS = 500_000
@@ -29,6 +29,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     rest, and the planner knows the size.
     """
     spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path below the cluster's checkpoint folder, which every executor and the driver can reach."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -37,6 +44,4 @@ def cut_lineage(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="tapflow-checkpoint-")
         context.setCheckpointDir(folder)
-    path = f"{context.getCheckpointDir()}/table-{uuid.uuid4()}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return f"{context.getCheckpointDir()}/{name}-{uuid.uuid4()}"

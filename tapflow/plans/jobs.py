@@ -1,9 +1,12 @@
 """Runs that write their results: a day or many days, and the near-stop table."""
 
+import uuid
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+
+from tapflow import functions as fn
 
 from tapflow.operators.alighting import on_days, without_days
 from tapflow.operators.journeys import HEAD_AND_LAST, journeys
@@ -12,7 +15,8 @@ from tapflow.operators.sites import all_sites, near_sites
 from tapflow.operators.transfers import transfer_pairs
 from tapflow.plans.day import OdPlan
 from tapflow.plans.network import Network
-from tapflow.sources import tables
+from tapflow.operators import cleaning
+from tapflow.sources import feeds, tables
 
 
 def near_sites_table(
@@ -81,3 +85,48 @@ def run(
     tables.write_days(tables.transfers_output(pairs), f"{out}/transfers", fmt, days)
     merged = journeys(legs, fare, plan.hot_persons)
     tables.write_days(tables.journeys_output(merged), f"{out}/journeys", fmt, days)
+
+
+#: Per feed: its cleaning, and SQL over its raw text columns that tells an unreadable time and a missing card.
+_CLEANING = {
+    "taps": (cleaning.clean_taps, fn.ms_from_text("tap_time") + " IS NULL", fn.no_card("card")),
+    "gps": (cleaning.clean_gps, fn.ms_from_text("gps_time") + " IS NULL", "false"),
+    "gates": (cleaning.clean_gates, fn.ms_from_compact("concat(date, time)") + " IS NULL", fn.no_card("card")),
+}
+
+
+def observed_feed(spark: SparkSession, path: str, feed: str, fmt: str = "csv") -> tuple[DataFrame, Observation]:
+    """Every line of a feed's files (`feeds.read_lines`) with counts that the first pass over it observes:
+    rows, rejected (wrong number of fields), and among the others bad_time and bad_card."""
+    _, time, card = _CLEANING[feed]
+    seen = Observation(f"{feed}-{uuid.uuid4()}")
+    read = "line IS NULL"
+    lines = feeds.read_lines(spark, path, feed, fmt).observe(
+        seen,
+        F.count(F.lit(1)).alias("rows"),
+        F.expr(f"count_if(NOT ({read}))").alias("rejected"),
+        F.expr(f"count_if({read} AND {time})").alias("bad_time"),
+        F.expr(f"count_if({read} AND {card})").alias("bad_card"),
+    )
+    return lines, seen
+
+
+def run_files(
+    spark: SparkSession, paths: dict[str, str], bus_sites: DataFrame, out: str, rail_sites: DataFrame | None = None,
+    fmt: str = "csv", **options,
+) -> dict[str, dict[str, int]]:
+    """`run` over the feed files at `paths` (keys taps, gps and gates; without gates a bus-only run).
+
+    Lines with the wrong number of fields go to `out`/rejects/<feed> (`file`, `line`); the pass that writes them counts,
+    for each feed, its rows, rejected lines, unreadable times and missing cards, which are returned. Cleaning leaves out
+    the last two as before.
+    """
+    counts, cleaned = {}, {}
+    for feed, path in paths.items():
+        lines, seen = observed_feed(spark, path, feed, fmt)
+        lines.filter("line IS NOT NULL").select("file", "line").write.mode("overwrite").parquet(f"{out}/rejects/{feed}")
+        counts[feed] = seen.get
+        clean = _CLEANING[feed][0]
+        cleaned[feed] = clean(lines.filter("line IS NULL").select(*feeds.FEEDS[feed][1]))
+    run(cleaned["taps"], cleaned["gps"], bus_sites, out, cleaned.get("gates"), rail_sites, **options)
+    return counts

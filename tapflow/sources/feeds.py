@@ -5,7 +5,10 @@ feeds come in; at scale, converting them to parquet once lets every job read onl
 uses).
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from tapflow.schemas import BUS_SITES_RAW, GATES_KEPT, GATES_RAW, GPS_RAW, TAPS_RAW, VEHICLES_RAW
 
@@ -41,3 +44,53 @@ def read_rail_sites(spark: SparkSession, path, fmt: str = "csv") -> DataFrame:
 
 def read_vehicles(spark: SparkSession, path, fmt: str = "csv") -> DataFrame:
     return _read(spark, path, VEHICLES_RAW, fmt, header=True)
+
+
+# Readers that keep what they can't read --------------------------------------------------------
+
+#: Column of a line whose number of fields isn't the feed's; Spark's CSV reader puts the whole line there.
+REJECTED = "_rejected_line"
+
+#: Per feed: its columns in file order, the columns kept, and the options of its files (fixed by the feeds).
+FEEDS = {
+    "taps": (TAPS_RAW, TAPS_RAW, {"header": True, "sep": "\t"}),
+    "gates": (GATES_RAW, GATES_KEPT, {"header": True, "sep": ","}),
+    "gps": (GPS_RAW, GPS_RAW, {"header": True, "sep": ","}),
+    "bus_sites": (BUS_SITES_RAW, BUS_SITES_RAW, {"header": True, "sep": ","}),
+    "vehicles": (VEHICLES_RAW, VEHICLES_RAW, {"header": True, "sep": ","}),
+}
+
+
+class Checked(NamedTuple):
+    """Lines of a feed with the feed's number of fields, as text columns; the others with their file and text."""
+
+    rows: DataFrame
+    rejects: DataFrame
+
+
+def read_lines(spark: SparkSession, path, feed: str, fmt: str = "csv") -> DataFrame:
+    """Every line of a feed in one scan, with an explicit all-text schema: the kept columns, `line` and `file`.
+
+    A line with too few or too many fields has its text in `line` and nulls in the columns; good lines have `line` null.
+    """
+    names, kept, options = FEEDS[feed]
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, REJECTED]])
+    raw = (
+        spark.read.format(fmt).schema(schema)
+        .options(mode="PERMISSIVE", columnNameOfCorruptRecord=REJECTED, **options).load(path)
+    )
+    bad = F.col(REJECTED).isNotNull()
+    # A line's fields are counted only where all its columns are parsed, and Spark refuses a scan that needs nothing but
+    # the rejected text: an empty piece of all fields keeps every column needed.
+    line = F.concat(F.col(REJECTED), F.substring(F.concat_ws("", *[F.col(n) for n in names]), 1, 0))
+    return raw.select(
+        *[F.when(~bad, F.col(c)).alias(c) for c in kept], line.alias("line"),
+        F.col("_metadata.file_path").alias("file"),
+    )
+
+
+def read_checked(spark: SparkSession, path, feed: str, fmt: str = "csv") -> Checked:
+    """The feed's good rows (its kept columns) and its rejected lines (`file`, `line`)."""
+    lines = read_lines(spark, path, feed, fmt)
+    names = FEEDS[feed][1]
+    return Checked(lines.filter(F.col("line").isNull()).select(*names), lines.filter(F.col("line").isNotNull()).select("file", "line"))

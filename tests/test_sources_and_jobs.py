@@ -4,10 +4,10 @@ import pytest
 from tests.frames import DAY, frame, rows_of
 
 from tapflow.operators import cleaning
-from tapflow.plans.jobs import near_sites_table, run
+from tapflow.plans.jobs import near_sites_table, run, run_files
 from tapflow.schemas import BUS_SITES_RAW, GATES_KEPT, GATES_RAW, GPS_RAW, TAPS_RAW, VEHICLES_RAW
 from tapflow.sources import feeds, tables
-from tapflow.sources.event_tables import EventTables
+from tapflow.sources.event_tables import EventTables, feed_text, write_feed_files
 
 DATA = "/root/testdata/sf0.001"
 
@@ -139,3 +139,41 @@ def test_run_writes_the_three_results(spark, city, tmp_path, with_rail):
     assert spark.read.csv(f"{out}/second/rides", header=True).count() >= plan.legs.count()
     assert tables.read_history(spark, f"{out}/history").agg({"weight": "sum"}).first()[0] == once
     assert DAY in {r[0] for r in spark.read.parquet(f"{out}/second/legs_ms").select("service_date").distinct().collect()}
+
+
+@pytest.fixture(scope="module")
+def damaged(spark, city, tmp_path_factory):
+    """The taps, gps and gate feeds as the adapter writes them, some lines cut, some times and cards spoiled."""
+    folder, source = tmp_path_factory.mktemp("damaged"), city[0]
+    paths = {f: str(folder / f) for f in ("taps", "gps", "gates")}
+    for feed, rows in (("taps", source.taps_raw), ("gps", source.gps_raw), ("gates", source.gates_raw)):
+        write_feed_files(rows, feed, paths[feed])
+    return paths
+
+
+def test_rejected_lines_keep_their_file_and_text(spark, city, damaged):
+    source = city[0]
+    for feed, raw, sep, cut in (("taps", source.taps_raw, "\t", 5), ("gates", source.gates_raw, ",", 20), ("gps", source.gps_raw, ",", 3)):
+        checked = feeds.read_checked(spark, damaged[feed], feed)
+        rejects = checked.rejects.collect()
+        texts = {r.value for r in feed_text(raw, feed).collect()}
+        assert rejects and all(r.line in texts and len(r.line.split(sep)) == cut for r in rejects)
+        assert all(r.file.startswith("file:") and damaged[feed] in r.file for r in rejects)
+        assert checked.rows.count() + len(rejects) == raw.count()
+        assert checked.rows.columns == feeds.FEEDS[feed][1]
+
+
+def test_run_files_counts_what_it_rejects(spark, city, damaged, tmp_path):
+    import __spark_entry__ as entry
+
+    source, out = city[0], str(tmp_path / "out")
+    counts = run_files(spark, damaged, source.bus_sites, out, source.rail_sites)
+    lines = {f: feeds.read_lines(spark, damaged[f], f) for f in damaged}
+    expected = {r.feed: r for r in cleaning.feed_rejects(lines["taps"], lines["gps"], lines["gates"]).collect()}
+    for feed, seen in counts.items():
+        e = expected[feed]
+        assert seen == {"rows": e.rows, "rejected": e.rejected, "bad_time": e.bad_time, "bad_card": e.bad_card}
+        assert seen["rejected"] > 0 and seen["bad_time"] > 0
+        assert spark.read.parquet(f"{out}/rejects/{feed}").count() == seen["rejected"]
+    assert spark.read.parquet(f"{out}/legs").count() > 0
+    assert entry.queries()["feed_rejects"] is not None
