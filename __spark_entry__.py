@@ -13,7 +13,8 @@ from tapflow.operators.sites import all_sites, near_sites
 from tapflow.plans.day import OdPlan
 from tapflow.plans.network import Network
 from tapflow.operators.sizing import scratch_path
-from tapflow.sources import feeds
+from tapflow.plans import jobs
+from tapflow.sources import feeds, tables
 from tapflow.sources.event_tables import EventTables, write_feed_files
 
 llm = corpus_pipeline = None
@@ -82,6 +83,14 @@ def _feed_rejects(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.feed_rejects(lines["taps"], lines["gps"], lines["gates"])
 
 
+def _write_read_results(spark: SparkSession, folder: str) -> DataFrame:
+    """The bus and rail job with its results published together, and its legs read back through the manifest."""
+    t = EventTables(spark, folder)
+    out = scratch_path(spark, "results")
+    jobs.run(t.taps, t.gps_fixes, t.bus_sites, out, gates=t.gates, rail_sites=t.rail_sites, publish=True)
+    return _plain(tables.read_published(spark, out, "legs_ms"))
+
+
 def _time_format_roundtrip(t: EventTables) -> DataFrame:
     rows = t.gates_raw.selectExpr("card", "station", "concat(date, time) AS text")
     return rows.selectExpr("*", f"{fn.ms_from_compact('text')} AS ms").selectExpr(
@@ -195,6 +204,7 @@ def transit_queries() -> dict[str, Query]:
         "read_bus_taps": _read_back("taps"),
         "read_rail_gates": _read_back("gates"),
         "read_gps": _read_back("gps"),
+        "write_read_results": _write_read_results,
     }
 
 
@@ -281,4 +291,5 @@ def transit_sql() -> dict[str, str]:
         "read_bus_taps": sql("SELECT * FROM taps_read"),
         "read_rail_gates": sql("SELECT * FROM gates_read"),
         "read_gps": sql("SELECT * FROM gps_read"),
+        "write_read_results": sql("SELECT * FROM labelled"),
     }

@@ -48,6 +48,7 @@ def run(
     fmt: str = "parquet",
     days: list[date] | None = None,
     intermediates: bool = False,
+    publish: bool = False,
 ) -> None:
     """Writes `out`/legs, `out`/transfers and `out`/journeys for all service days in the feeds.
 
@@ -56,6 +57,10 @@ def run(
     once and a lost executor costs no more than the step in hand. `days` are the feeds' service days;
     left out, they are looked up. `intermediates` also writes the vehicles' runs, the boarded taps and
     all rides with their alighting stop where it is known (`out`/runs, /boarded, /rides).
+
+    With `publish`, every result of the run is staged and all become visible at once through a new manifest under
+    `out` (`tables.Publication`); read them with `tables.read_published`. A run that fails on the way changes nothing
+    that readers see.
     """
     spark = taps.sparkSession
     if days is None:
@@ -74,17 +79,31 @@ def run(
     )
     if history_path and save_history:
         tables.write_history(plan.weights if saved is None else saved.unionByName(plan.weights), history_path)
+    publication = tables.Publication(spark, out, days) if publish else None
+
+    def sink(df: DataFrame, name: str, kind: str = fmt) -> None:
+        if publication is None:
+            tables.write_days(df, f"{out}/{name}", kind, days)
+        else:
+            publication.stage(df, name, kind)
+
     if intermediates:
-        tables.write_days(plan.trip_runs, f"{out}/runs", fmt, days)
-        tables.write_days(plan.boarded, f"{out}/boarded", fmt, days)
-        tables.write_days(all_legs(plan.bus_legs("left"), plan.rail_legs), f"{out}/rides", fmt, days)
-    tables.write_days(plan.labelled, f"{out}/legs_ms", days=days)
-    legs = spark.read.schema(plan.labelled.schema).parquet(f"{out}/legs_ms").filter(F.col("service_date").isin(days))
-    tables.write_days(tables.legs_output(legs), f"{out}/legs", fmt, days)
+        sink(plan.trip_runs, "runs")
+        sink(plan.boarded, "boarded")
+        sink(all_legs(plan.bus_legs("left"), plan.rail_legs), "rides")
+    if publication is None:
+        tables.write_days(plan.labelled, f"{out}/legs_ms", days=days)
+        legs = spark.read.schema(plan.labelled.schema).parquet(f"{out}/legs_ms").filter(F.col("service_date").isin(days))
+    else:
+        legs = publication.stage(plan.labelled, "legs_ms", "parquet")
+    sink(tables.legs_output(legs), "legs")
     pairs = transfer_pairs(legs, plan.hot_persons)
-    tables.write_days(tables.transfers_output(pairs), f"{out}/transfers", fmt, days)
+    sink(tables.transfers_output(pairs), "transfers")
     merged = journeys(legs, fare, plan.hot_persons)
-    tables.write_days(tables.journeys_output(merged), f"{out}/journeys", fmt, days)
+    sink(tables.journeys_output(merged), "journeys")
+    if publication is not None:
+        publication.commit()
+        tables.retire(spark, out)
 
 
 #: Per feed: its cleaning, and SQL over its raw text columns that tells an unreadable time and a missing card.

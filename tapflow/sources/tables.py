@@ -1,10 +1,14 @@
 """Derived tables kept between runs, and the results."""
 
+import json
+import time
+import uuid
 from collections.abc import Callable
 from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from tapflow.functions import compact_from_ms
 from tapflow.operators.journeys import JOURNEYS
@@ -116,3 +120,147 @@ def write_history(weights: DataFrame, path: str) -> None:
     if _exists(spark, path, "parquet"):
         newest = spark.read.parquet(path).agg(F.max("version")).first()[0]
     weights.write.mode("errorifexists").parquet(f"{path}/version={newest + 1}")
+
+
+# Results published together -----------------------------------------------------------------------
+
+MANIFESTS = "_manifests"
+
+
+def _system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), top
+
+
+def _manifests(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Versions and paths of the manifests under `path`, oldest first."""
+    jvm, system, top = _system(spark, path)
+    folder = jvm.org.apache.hadoop.fs.Path(top, MANIFESTS)
+    if not system.exists(folder):
+        return []
+    found = []
+    for status in system.listStatus(folder):
+        name = str(status.getPath().getName())
+        if name.startswith("v") and name.endswith(".json"):
+            found.append((int(name[1:-5]), str(status.getPath())))
+    return sorted(found)
+
+
+def _read_text(spark: SparkSession, file: str) -> str:
+    jvm, system, target = _system(spark, file)
+    stream = system.open(target)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def manifest(spark: SparkSession, path: str) -> dict:
+    """The newest manifest: `version` and, per result, its format, schema and the run whose files hold each day."""
+    found = _manifests(spark, path)
+    return json.loads(_read_text(spark, found[-1][1])) if found else {"version": 0, "results": {}}
+
+
+def read_published(spark: SparkSession, path: str, result: str) -> DataFrame | None:
+    """The published days of `result`, as the newest manifest names them; None if it names none of it.
+
+    Files of a run that isn't published yet, or that failed, are never read.
+    """
+    entry = manifest(spark, path)["results"].get(result)
+    if entry is None:
+        return None
+    schema = T.StructType.fromJson(json.loads(entry["schema"]))
+    folders = [f"{path}/{result}/service_date={day}/run={run}" for day, run in sorted(entry["days"].items())]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.format(entry["format"]).option("basePath", f"{path}/{result}")
+    if entry["format"] == "csv":
+        reader = reader.option("header", True)
+    return reader.load(folders).drop("run")
+
+
+class Publication:
+    """Results of one run, staged beside the published ones, that become visible together by one new manifest.
+
+    `stage` writes a result's days into folders of this run (`<result>/service_date=<day>/run=<run>`), which no reader
+    follows yet; `commit` creates manifest version n + 1, in which the days of this run (and, among `days`, those left
+    without rows) replace what version n said. A manifest is created, never overwritten: if another run published in
+    between, commit fails and nothing changes. Folders that no kept manifest names are removed by `retire`.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, days: list[date] | None = None):
+        self.spark, self.path, self.days = spark, path, [str(d) for d in days or []]
+        self.base = manifest(spark, path)
+        self.run = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        self.staged: dict[str, dict] = {}
+
+    def stage(self, df: DataFrame, result: str, fmt: str = "parquet") -> DataFrame:
+        """Writes `df` (with `service_date`) as this run's days of `result`, and returns them read back."""
+        out = f"{self.path}/{result}"
+        writer = df.withColumn("run", F.lit(self.run)).hint("rebalance", "service_date").write.format(fmt).mode("append")
+        if fmt == "csv":
+            writer = writer.option("header", True)
+        writer.partitionBy("service_date", "run").save(out)
+        jvm, system, top = _system(self.spark, out)
+        days = []
+        if system.exists(top):
+            for status in system.listStatus(top):
+                name = str(status.getPath().getName())
+                if name.startswith("service_date=") and system.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), f"run={self.run}")):
+                    days.append(name.split("=", 1)[1])
+        self.staged[result] = {"format": fmt, "schema": df.schema.json(), "days": sorted(days)}
+        folders = [f"{out}/service_date={day}/run={self.run}" for day in sorted(days)]
+        if not folders:
+            return self.spark.createDataFrame([], df.schema)
+        reader = self.spark.read.format(fmt).option("basePath", out)
+        if fmt == "csv":
+            reader = reader.option("header", True)
+        return reader.load(folders).drop("run")
+
+    def commit(self) -> int:
+        """Publishes all staged results at once; returns the new manifest's version."""
+        results = {name: dict(entry) for name, entry in self.base["results"].items()}
+        for name, staged in self.staged.items():
+            days = {d: r for d, r in results.get(name, {}).get("days", {}).items() if d not in self.days}
+            days |= {d: self.run for d in staged["days"]}
+            results[name] = {"format": staged["format"], "schema": staged["schema"], "days": days}
+        version = self.base["version"] + 1
+        text = json.dumps({"version": version, "run": self.run, "results": results}, sort_keys=True)
+        jvm, system, top = _system(self.spark, self.path)
+        target = jvm.org.apache.hadoop.fs.Path(top, f"{MANIFESTS}/v{version:09d}.json")
+        stream = system.create(target, False)  # fails if another run took this version
+        try:
+            stream.write(bytearray(text.encode("utf-8")))
+        finally:
+            stream.close()
+        return version
+
+
+def retire(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Removes manifests older than the newest `keep`, and run folders that none of those names and that are older than
+    the oldest kept run (younger ones may belong to a run in progress). Returns the removed folders."""
+    found = _manifests(spark, path)
+    if not found:
+        return []
+    kept = [json.loads(_read_text(spark, file)) for _, file in found[-keep:]]
+    named = {(name, day, run) for m in kept for name, entry in m["results"].items() for day, run in entry["days"].items()}
+    oldest = min(m.get("run", "") for m in kept)
+    jvm, system, top = _system(spark, path)
+    removed = []
+    for name in {name for m in kept for name in m["results"]}:
+        result = jvm.org.apache.hadoop.fs.Path(top, name)
+        if not system.exists(result):
+            continue
+        for day_status in system.listStatus(result):
+            day_name = str(day_status.getPath().getName())
+            if not day_name.startswith("service_date="):
+                continue
+            for run_status in system.listStatus(day_status.getPath()):
+                run = str(run_status.getPath().getName()).removeprefix("run=")
+                if (name, day_name.split("=", 1)[1], run) not in named and run < oldest:
+                    system.delete(run_status.getPath(), True)
+                    removed.append(str(run_status.getPath()))
+    for _, file in found[:-keep]:
+        system.delete(jvm.org.apache.hadoop.fs.Path(file), False)
+    return removed

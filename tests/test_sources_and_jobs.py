@@ -1,6 +1,7 @@
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 from tests.frames import DAY, frame, rows_of
 
 from tapflow.operators import cleaning
@@ -177,3 +178,39 @@ def test_run_files_counts_what_it_rejects(spark, city, damaged, tmp_path):
         assert spark.read.parquet(f"{out}/rejects/{feed}").count() == seen["rejected"]
     assert spark.read.parquet(f"{out}/legs").count() > 0
     assert entry.queries()["feed_rejects"] is not None
+
+
+def test_published_results_change_only_together(spark, city, tmp_path, monkeypatch):
+    from tapflow.plans import jobs
+
+    source, out = city[0], str(tmp_path / "published")
+    rail = {"gates": source.gates, "rail_sites": source.rail_sites}
+    run(source.taps, source.gps_fixes, source.bus_sites, out, publish=True, **rail)
+    first = {name: rows_of(tables.read_published(spark, out, name)) for name in ("legs", "transfers", "journeys", "legs_ms")}
+    assert all(first.values()) and tables.manifest(spark, out)["version"] == 1
+
+    # A second run fails after its legs are staged and before transfers: readers see the first run only.
+    def broken(*args, **kwargs):
+        raise RuntimeError("lost between two sinks")
+
+    monkeypatch.setattr(jobs, "transfer_pairs", broken)
+    with pytest.raises(RuntimeError, match="between two sinks"):
+        run(source.taps.limit(10), source.gps_fixes, source.bus_sites, out, publish=True, **rail)
+    assert {name: rows_of(tables.read_published(spark, out, name)) for name in first} == first
+    monkeypatch.undo()
+
+    # A run of one day with no taps and gate records publishes that day as empty; other days stay as they were.
+    days = sorted({r[0] for r in source.taps.select("service_date").distinct().collect()})
+    others = rows_of(tables.read_published(spark, out, "legs").filter(F.col("service_date") != days[0]))
+    run(source.taps.filter("false"), source.gps_fixes, source.bus_sites, out, publish=True, days=[days[0]],
+        gates=source.gates.filter("false"), rail_sites=source.rail_sites)
+    assert tables.manifest(spark, out)["version"] == 2
+    legs = tables.read_published(spark, out, "legs")
+    assert legs.filter(F.col("service_date") == days[0]).count() == 0
+    assert rows_of(legs.filter(F.col("service_date") != days[0])) == others
+
+    # An older manifest version is never overwritten.
+    publication = tables.Publication(spark, out)
+    publication.base = {"version": 1, "results": {}}
+    with pytest.raises(Exception):
+        publication.commit()
