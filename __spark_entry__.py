@@ -91,6 +91,18 @@ def _write_read_results(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(tables.read_published(spark, out, "legs_ms"))
 
 
+def _history_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs into a history log: all days' weights, then the first day again one higher; read back, newest per day."""
+    weights = _plan(spark, folder).weights
+    out = scratch_path(spark, "history")
+    tables.write_history_log(weights, out)
+    first = weights.agg(F.min("service_date")).first()[0]
+    again = weights.filter(F.col("service_date") == first).withColumn("weight", F.col("weight") + 1)
+    tables.write_history_log(again, out, [first] if first else [])
+    read = tables.read_history_log(spark, out)
+    return _plain(read if read is not None else weights.limit(0))
+
+
 def _time_format_roundtrip(t: EventTables) -> DataFrame:
     rows = t.gates_raw.selectExpr("card", "station", "concat(date, time) AS text")
     return rows.selectExpr("*", f"{fn.ms_from_compact('text')} AS ms").selectExpr(
@@ -205,6 +217,7 @@ def transit_queries() -> dict[str, Query]:
         "read_rail_gates": _read_back("gates"),
         "read_gps": _read_back("gps"),
         "write_read_results": _write_read_results,
+        "history_log": _history_log,
     }
 
 
@@ -292,4 +305,9 @@ def transit_sql() -> dict[str, str]:
         "read_rail_gates": sql("SELECT * FROM gates_read"),
         "read_gps": sql("SELECT * FROM gps_read"),
         "write_read_results": sql("SELECT * FROM labelled"),
+        "history_log": sql(
+            """SELECT service_date, route, site,
+                      weight + CASE WHEN service_date = (SELECT min(service_date) FROM weights) THEN 1 ELSE 0 END AS weight
+               FROM weights"""
+        ),
     }

@@ -49,6 +49,7 @@ def run(
     days: list[date] | None = None,
     intermediates: bool = False,
     publish: bool = False,
+    history_log: bool = False,
 ) -> None:
     """Writes `out`/legs, `out`/transfers and `out`/journeys for all service days in the feeds.
 
@@ -60,7 +61,8 @@ def run(
 
     With `publish`, every result of the run is staged and all become visible at once through a new manifest under
     `out` (`tables.Publication`); read them with `tables.read_published`. A run that fails on the way changes nothing
-    that readers see.
+    that readers see. With `history_log`, the history at `history_path` is a log: the run adds its own days only
+    (`tables.write_history_log`) instead of a new full copy.
     """
     spark = taps.sparkSession
     if days is None:
@@ -69,7 +71,10 @@ def run(
         taps, gps_fixes = (x.filter(F.col("service_date").isin(days)) for x in (taps, gps_fixes))
         gates = None if gates is None else gates.filter(F.col("service_date").isin(days))
     near = near_sites_table(spark, near_path, bus_sites, rail_sites) if near_path else None
-    saved = tables.read_history(spark, history_path) if history_path else None
+    if history_path and history_log:
+        saved = tables.read_history_log(spark, history_path)
+    else:
+        saved = tables.read_history(spark, history_path) if history_path else None
     if saved is not None:  # what an earlier run of the same days saved is replaced
         saved = saved.filter(~F.col("service_date").isin(days))
     plan = OdPlan(
@@ -77,7 +82,10 @@ def run(
         network=Network(bus_sites, rail_sites, near),
         earlier_history=None if saved is None else on_days(without_days(saved), days),
     )
-    if history_path and save_history:
+    if history_path and save_history and history_log:
+        tables.write_history_log(plan.weights, history_path, days)
+        tables.compact_history_log(spark, history_path)
+    elif history_path and save_history:
         tables.write_history(plan.weights if saved is None else saved.unionByName(plan.weights), history_path)
     publication = tables.Publication(spark, out, days) if publish else None
 

@@ -264,3 +264,64 @@ def retire(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
     for _, file in found[:-keep]:
         system.delete(jvm.org.apache.hadoop.fs.Path(file), False)
     return removed
+
+
+# Alighting history as a log -----------------------------------------------------------------------
+
+EMPTY_DAY = "_EMPTY"
+
+
+def _runs_by_day(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Run folders of each day of a log, oldest first, by listing folders (no data is read)."""
+    jvm, system, top = _system(spark, path)
+    found: dict[str, list[str]] = {}
+    if not system.exists(top):
+        return found
+    for day in system.listStatus(top):
+        name = str(day.getPath().getName())
+        if name.startswith("service_date="):
+            runs = [str(r.getPath().getName()).removeprefix("run=") for r in system.listStatus(day.getPath())]
+            found[name.split("=", 1)[1]] = sorted(r for r in runs if not r.startswith("_"))
+    return found
+
+
+def write_history_log(weights: DataFrame, path: str, days: list[date] | None = None) -> str:
+    """Appends one run's weights: a folder `service_date=<day>/run=<run>` per day it has rows for, and an empty marked
+    folder for each of `days` that has none. Nothing written before is read or rewritten, so what a run writes grows
+    with its own days only. Returns the run's name (ordered by time)."""
+    spark = weights.sparkSession
+    run = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    weights.withColumn("run", F.lit(run)).hint("rebalance", "service_date").write.mode("append") \
+        .partitionBy("service_date", "run").parquet(path)
+    written = {day for day, runs in _runs_by_day(spark, path).items() if run in runs}
+    jvm, system, top = _system(spark, path)
+    for day in {str(d) for d in days or []} - written:
+        marker = jvm.org.apache.hadoop.fs.Path(top, f"service_date={day}/run={run}/{EMPTY_DAY}")
+        system.create(marker, False).close()
+    return run
+
+
+def read_history_log(spark: SparkSession, path: str) -> DataFrame | None:
+    """For each day, the weights of the newest run that wrote it; None if the log has no rows."""
+    jvm, system, top = _system(spark, path)
+    folders = []
+    for day, runs in sorted(_runs_by_day(spark, path).items()):
+        if runs:
+            folder = f"{path}/service_date={day}/run={runs[-1]}"
+            if not system.exists(jvm.org.apache.hadoop.fs.Path(folder, EMPTY_DAY)):
+                folders.append(folder)
+    if not folders:
+        return None
+    return spark.read.option("basePath", path).parquet(*folders).drop("run")
+
+
+def compact_history_log(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Removes all but the newest `keep` runs of each day (the newest alone is read); returns what was removed."""
+    jvm, system, top = _system(spark, path)
+    removed = []
+    for day, runs in _runs_by_day(spark, path).items():
+        for run in runs[:-keep]:
+            folder = jvm.org.apache.hadoop.fs.Path(top, f"service_date={day}/run={run}")
+            system.delete(folder, True)
+            removed.append(str(folder))
+    return removed

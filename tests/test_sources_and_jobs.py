@@ -214,3 +214,29 @@ def test_published_results_change_only_together(spark, city, tmp_path, monkeypat
     publication.base = {"version": 1, "results": {}}
     with pytest.raises(Exception):
         publication.commit()
+
+
+def test_history_log_writes_only_its_days(spark, tmp_path):
+    from datetime import date as day
+
+    path = str(tmp_path / "log")
+    rows = [(day(2024, 1, d), f"R{d}", f"S{i}", i) for d in (1, 2, 3) for i in range(50)]
+    weights = spark.createDataFrame(rows, "service_date date, route string, site string, weight long")
+
+    def size(run):
+        return sum(f.stat().st_size for f in Path(path).glob(f"service_date=*/run={run}/*.parquet"))
+
+    first = tables.write_history_log(weights, path)
+    d1 = weights.filter("service_date = DATE'2024-01-01'")
+    sizes = [size(tables.write_history_log(d1.withColumn("weight", F.col("weight") + k), path, [day(2024, 1, 1)])) for k in range(1, 4)]
+    assert max(sizes) <= 1.05 * min(sizes) and max(sizes) < size(first)  # a run writes its own days, however many came before
+    read = {(r.service_date.day, r.site): r.weight for r in tables.read_history_log(spark, path).collect()}
+    assert read[(1, "S5")] == 8 and read[(2, "S5")] == 5 and len(read) == 150
+
+    tables.write_history_log(weights.filter("false"), path, [day(2024, 1, 2)])  # day 2 has no weights now
+    assert {d for d, _ in {(r.service_date.day, 0) for r in tables.read_history_log(spark, path).collect()}} == {1, 3}
+    removed = tables.compact_history_log(spark, path, keep=1)
+    assert len(removed) == 3 + 1  # three older runs of day 1, one of day 2
+    assert sorted(tables.read_history_log(spark, path).collect()) == sorted(
+        tables.read_history_log(spark, path).collect())
+    assert tables.read_history_log(spark, str(tmp_path / "none")) is None
