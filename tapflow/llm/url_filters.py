@@ -16,6 +16,8 @@ its url; other columns pass through, and those named like the added ones are rep
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -97,22 +99,51 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     return shared.stored(rules.withColumn("rule_id", F.monotonically_increasing_id()))
 
 
+def _in_row(rules: list, tokens: Column) -> Column:
+    """The best firing rule of a row, by an inverted index (token -> rule numbers) held as one constant map."""
+    index: dict[str, list[int]] = {}
+    for number, rule in enumerate(rules):
+        for item in rule["antecedent"]:
+            index.setdefault(item, []).append(number)
+    listed = F.from_json(F.lit(json.dumps(index)), "map<string, array<int>>")
+    kinds = "array<struct<antecedent: array<string>, confidence: double, support: double, size: int, blocks: boolean, verdict: string>>"
+    table = F.from_json(F.lit(json.dumps([
+        {"antecedent": r["antecedent"], "confidence": r["confidence"], "support": r["support"], "size": r["size"],
+         "blocks": r["verdict"] == "block", "verdict": r["verdict"]} for r in rules
+    ])), kinds)
+    candidates = F.array_distinct(F.flatten(F.transform(tokens, lambda t: F.coalesce(F.try_element_at(listed, t), F.array().cast("array<int>")))))
+    fired = F.filter(candidates, lambda r: F.forall(F.get(table, r)["antecedent"], lambda x: F.array_contains(tokens, x)))
+    return F.array_max(F.transform(fired, lambda r: F.get(table, r).dropFields("antecedent")))
+
+
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, min_support: float = MIN_SUPPORT,
           min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """Every page with host, path, rule, verdict, and the mined verdict and its confidence (null where no mined rule fires)."""
-    rows = shared.stored(_parsed(pages, rules).withColumn("_row", F.monotonically_increasing_id()))
-    mined = mine(rows.where(F.col("_label").isNotNull()), min_support, min_confidence)
-    index = mined.select(F.explode("antecedent").alias("item"), "rule_id", "size", "verdict", "confidence", "support")
-    if index.count() <= BROADCAST_ITEMS:
-        index = F.broadcast(index)
-    hits = rows.select("_row", F.explode("tokens").alias("item")).join(index, "item")
-    fired = hits.groupBy("_row", "rule_id", "size", "verdict", "confidence", "support").count().where(F.col("count") == F.col("size"))
-    order = F.struct("confidence", "support", "size", (F.col("verdict") == "block").alias("blocks"), "verdict")
-    best = fired.groupBy("_row").agg(F.max(order).alias("_best"))
-    judged = rows.join(best, "_row", "left")
+    """Every page with host, path, rule, verdict, and the mined verdict and its confidence (null where no mined rule fires).
+
+    Where the mined rules hold at most `BROADCAST_ITEMS` tokens in all, their index goes to every task as a constant and
+    pages are matched where they are read, without a shuffle; otherwise pages and rules meet in a join on the token.
+    """
+    rows = _parsed(pages, rules)
+    mined = mine(rows.where(F.col("_label").isNotNull()).select("tokens", "_label"), min_support, min_confidence)
+    items = mined.select(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    if items <= BROADCAST_ITEMS:
+        judged = rows.withColumn("_best", _in_row(mined.orderBy("rule_id").collect(), F.col("tokens")))
+    else:
+        judged = _joined(rows, mined)
     mined_verdict = F.col("_best.verdict")
     return judged.select(
         *[c for c in rows.columns if c not in ("_row", "_label")],
         F.coalesce(F.col("_label"), mined_verdict, F.lit(DEFAULT)).alias("verdict"),
         mined_verdict.alias("mined_verdict"), F.col("_best.confidence").alias("confidence"),
     )
+
+
+def _joined(rows: DataFrame, mined: DataFrame) -> DataFrame:
+    """The same match for many rules: page tokens join the rules' tokens, a count per (page, rule) tells which fire."""
+    rows = shared.stored(rows.withColumn("_row", F.monotonically_increasing_id()))
+    index = mined.select(F.explode("antecedent").alias("item"), "rule_id", "size", "verdict", "confidence", "support")
+    hits = rows.select("_row", F.explode("tokens").alias("item")).join(index, "item")
+    fired = hits.groupBy("_row", "rule_id", "size", "verdict", "confidence", "support").count().where(F.col("count") == F.col("size"))
+    order = F.struct("confidence", "support", "size", (F.col("verdict") == "block").alias("blocks"), "verdict")
+    best = fired.groupBy("_row").agg(F.max(order).alias("_best"))
+    return rows.join(best, "_row", "left")

@@ -83,3 +83,12 @@ def test_nulls_repeats_empty_and_no_labels(spark):
     rows = X.judge(odd).collect()
     assert len(rows) == 5 and all(r.verdict == "allow" and r.rule is None for r in rows)
     assert X.judge(pages(spark, [])).count() == 0
+
+
+def test_join_path_equals_the_constant_index(spark, monkeypatch):
+    urls = [f"https://{h}/{lang}/{i}" for i, (h, lang) in enumerate((h, l) for h in ("a.com", "b.org", "example.org", "c.net") for l in ("en", "de", "fr", "es"))] * 4
+    table = pages(spark, urls)
+    small = sorted((r.page_id, r.verdict, r.mined_verdict, r.confidence) for r in X.judge(table, min_support=0.05).collect())
+    monkeypatch.setattr(X, "BROADCAST_ITEMS", -1)
+    large = sorted((r.page_id, r.verdict, r.mined_verdict, r.confidence) for r in X.judge(table, min_support=0.05).collect())
+    assert small == large and any(m is not None for _, _, m, _ in small)
