@@ -15,7 +15,7 @@ from tapflow.plans.network import Network
 from tapflow.operators.sizing import scratch_path
 from tapflow.plans import jobs
 from tapflow.sources import feeds, tables
-from tapflow.sources.event_tables import EventTables, write_feed_files
+from tapflow.sources.event_tables import DAY_STARTS, EventTables, write_day_files, write_feed_files
 
 llm = corpus_pipeline = None
 try:  # the subpackage and its pipeline may be left out
@@ -103,6 +103,25 @@ def _history_log(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(read if read is not None else weights.limit(0))
 
 
+def _od_month_files(spark: SparkSession, folder: str) -> DataFrame:
+    """A month of journeys from feeds that come as one folder per day: each record's day is its file's, so rides after
+    midnight stay in the day before; all days are read at once and the day comes from `_metadata.file_path`."""
+    t = EventTables(spark, folder, squeeze=1)
+    top = scratch_path(spark, "month")
+    for feed, rows in (("taps", t.taps_raw), ("gps", t.gps_raw), ("gates", t.gates_raw)):
+        write_day_files(rows, feed, f"{top}/{feed}")
+
+    def read(feed: str) -> DataFrame:
+        return feeds.read_day_folders(spark, f"{top}/{feed}", feed).filter("line IS NULL")
+
+    day = feeds.day_of_file()
+    plan = OdPlan(
+        taps=cleaning.clean_taps(read("taps"), day=day), gps_fixes=cleaning.clean_gps(read("gps"), day=day),
+        gates=cleaning.clean_gates(read("gates"), day=day), network=Network(t.bus_sites, t.rail_sites),
+    )
+    return _plain(plan.journeys)
+
+
 def _time_format_roundtrip(t: EventTables) -> DataFrame:
     rows = t.gates_raw.selectExpr("card", "station", "concat(date, time) AS text")
     return rows.selectExpr("*", f"{fn.ms_from_compact('text')} AS ms").selectExpr(
@@ -218,6 +237,7 @@ def transit_queries() -> dict[str, Query]:
         "read_gps": _read_back("gps"),
         "write_read_results": _write_read_results,
         "history_log": _history_log,
+        "od_month_files": _od_month_files,
     }
 
 
@@ -305,6 +325,7 @@ def transit_sql() -> dict[str, str]:
         "read_rail_gates": sql("SELECT * FROM gates_read"),
         "read_gps": sql("SELECT * FROM gps_read"),
         "write_read_results": sql("SELECT * FROM labelled"),
+        "od_month_files": sql("SELECT * FROM journeys", squeeze=1, day_starts_ms=DAY_STARTS * 3_600_000),
         "history_log": sql(
             """SELECT service_date, route, site,
                       weight + CASE WHEN service_date = (SELECT min(service_date) FROM weights) THEN 1 ELSE 0 END AS weight

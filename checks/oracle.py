@@ -107,7 +107,7 @@ def feed_rejects_sql() -> str:
     ])
 
 
-def blocks(squeeze: int = 60, rail: bool = True) -> dict[str, str]:
+def blocks(squeeze: int = 60, rail: bool = True, day_starts_ms: int = 0) -> dict[str, str]:
     """All named blocks in dependency order."""
     b: dict[str, str] = {}
     b["ev"] = _events(squeeze)
@@ -171,7 +171,7 @@ def blocks(squeeze: int = 60, rail: bool = True) -> dict[str, str]:
 
     # Cleaned feeds.
     b["taps"] = f"""
-    SELECT {_day('t')} AS service_date, card, substr(card, 9, 8) AS person,
+    SELECT {_day(f't - {day_starts_ms}')} AS service_date, card, substr(card, 9, 8) AS person,
            {_pad('card_type', 2)} AS card_type, t // 1000 * 1000 AS ts_ms,
            {_pad('vehicle', 8)} AS vehicle, {_pad('route', 8)} AS route, {_pad('site', 6)} AS site,
            change_type,
@@ -179,13 +179,13 @@ def blocks(squeeze: int = 60, rail: bool = True) -> dict[str, str]:
            CASE WHEN card_type IN ('3', '14', '15') THEN 0 ELSE fare_paid::BIGINT END AS fare_paid
     FROM taps_raw"""
     b["gates"] = f"""
-    SELECT {_day('t')} AS service_date, right(card, 16) AS card,
+    SELECT {_day(f't - {day_starts_ms}')} AS service_date, right(card, 16) AS card,
            substr(right(card, 16), 9, 8) AS person, '01' AS card_type, t // 1000 * 1000 AS ts_ms,
            station, in_out, txn_amt::BIGINT + reward_amt::BIGINT AS fare_due,
            txn_amt::BIGINT AS fare_paid
     FROM gates_raw"""
     b["gps"] = f"""
-    SELECT {_day('t')} AS service_date, {_pad('vehicle', 8)} AS vehicle, t // 1000 * 1000 AS ts_ms,
+    SELECT {_day(f't - {day_starts_ms}')} AS service_date, {_pad('vehicle', 8)} AS vehicle, t // 1000 * 1000 AS ts_ms,
            {_pad('site', 6)} AS site
     FROM gps_raw WHERE site <> '0'"""
 
@@ -432,8 +432,8 @@ def _needed(all_blocks: dict[str, str], text: str) -> list[str]:
     return [n for n in all_blocks if n in found]
 
 
-def sql(select: str, squeeze: int = 60, rail: bool = True) -> str:
-    all_blocks = blocks(squeeze, rail)
+def sql(select: str, squeeze: int = 60, rail: bool = True, day_starts_ms: int = 0) -> str:
+    all_blocks = blocks(squeeze, rail, day_starts_ms)
     import re
 
     direct = " ".join(re.findall(r"\b(?:FROM|JOIN)\s+(?:\()?([a-z_0-9]+)", select))

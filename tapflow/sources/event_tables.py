@@ -13,6 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tapflow.functions.keys import UP_TEXT
+from tapflow import functions as fn
 from tapflow.operators import cleaning
 from tapflow.sources.feeds import FEEDS
 from tapflow.schemas import BUS_SITES_RAW, GATES_KEPT, GPS_RAW, TAPS_RAW, VEHICLES_RAW
@@ -148,7 +149,7 @@ TIME = {"taps": "tap_time", "gates": "time", "gps": "gps_time"}
 CARD = {"taps": "card", "gates": "card", "gps": "card"}
 
 
-def feed_text(rows: DataFrame, feed: str) -> DataFrame:
+def feed_text(rows: DataFrame, feed: str, damage: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
     """The rows of a raw feed as the lines of its file (`value`), some damaged by the first hex digit of the line's md5:
     0 cuts the line after `CUT[feed]` fields, 1 makes its time `not a time`, 2 empties its card."""
     names, _, options = FEEDS[feed]
@@ -161,9 +162,26 @@ def feed_text(rows: DataFrame, feed: str) -> DataFrame:
         for c, f in zip(names, fields)
     ]
     text = F.when(digit == "0", F.concat_ws(options["sep"], *fields[: CUT[feed]])).otherwise(F.concat_ws(options["sep"], *damaged))
-    return rows.select(text.alias("value"))
+    return rows.select(*carry, (text if damage else line).alias("value"))
 
 
 def write_feed_files(rows: DataFrame, feed: str, path: str) -> None:
     """Lines of `feed_text` written as text files with a header line each, as the feeds come."""
     feed_text(rows, feed).write.mode("overwrite").options(header=True, sep="\u0001", quote="", escape="").csv(path)
+
+
+#: Hour at which a file's service day begins: records before it belong to the file of the day before.
+DAY_STARTS = 3
+#: Epoch ms of each feed's raw record, as SQL over its text columns.
+RECORD_MS = {
+    "taps": fn.ms_from_text("tap_time"), "gps": fn.ms_from_text("gps_time"),
+    "gates": fn.ms_from_compact("concat(date, time)"),
+}
+
+
+def write_day_files(rows: DataFrame, feed: str, path: str) -> None:
+    """The feed's lines (undamaged) in one folder per service day, `path/day=<yyyy-MM-dd>/`, as a day's files arrive:
+    a day runs from `DAY_STARTS` o'clock to the same hour of the next, so rides after midnight are in the day before."""
+    day = F.expr(f"to_date(timestamp_millis({RECORD_MS[feed]} - {DAY_STARTS * 3_600_000}L))")
+    lines = feed_text(rows.withColumn("day", day), feed, damage=False, carry=("day",))
+    lines.write.mode("overwrite").partitionBy("day").options(header=True, sep="\u0001", quote="", escape="").csv(path)

@@ -68,16 +68,17 @@ class Checked(NamedTuple):
     rejects: DataFrame
 
 
-def read_lines(spark: SparkSession, path, feed: str, fmt: str = "csv") -> DataFrame:
+def read_lines(spark: SparkSession, path, feed: str, fmt: str = "csv", **extra_options) -> DataFrame:
     """Every line of a feed in one scan, with an explicit all-text schema: the kept columns, `line` and `file`.
 
     A line with too few or too many fields has its text in `line` and nulls in the columns; good lines have `line` null.
     """
     names, kept, options = FEEDS[feed]
+    extra = dict(extra_options)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, REJECTED]])
     raw = (
         spark.read.format(fmt).schema(schema)
-        .options(mode="PERMISSIVE", columnNameOfCorruptRecord=REJECTED, **options).load(path)
+        .options(mode="PERMISSIVE", columnNameOfCorruptRecord=REJECTED, **(dict(options) | extra)).load(path)
     )
     bad = F.col(REJECTED).isNotNull()
     # A line's fields are counted only where all its columns are parsed, and Spark refuses a scan that needs nothing but
@@ -94,3 +95,18 @@ def read_checked(spark: SparkSession, path, feed: str, fmt: str = "csv") -> Chec
     lines = read_lines(spark, path, feed, fmt)
     names = FEEDS[feed][1]
     return Checked(lines.filter(F.col("line").isNull()).select(*names), lines.filter(F.col("line").isNotNull()).select("file", "line"))
+
+
+#: A day in a file's path: a folder named by it (`2024-01-31`, `day=2024-01-31`, or `2019-11-1` as some feeds name it).
+PATH_DAY = r"/(?:[a-z_]+=)?([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})/[^/]*$"
+
+
+def day_of_file(file: str = "file") -> str:
+    """SQL: the service day that the folder of a line's file names (`file` is `_metadata.file_path`)."""
+    return f"to_date(nullif(regexp_extract({file}, '{PATH_DAY}', 1), ''), 'yyyy-M-d')"
+
+
+def read_day_folders(spark: SparkSession, path, feed: str, fmt: str = "csv") -> DataFrame:
+    """All day folders below `path` in one read (`recursiveFileLookup`, so folder names aren't taken as columns); each
+    line has `file`, from which `day_of_file` gives its day."""
+    return read_lines(spark, path, feed, fmt, recursiveFileLookup=True)

@@ -8,7 +8,7 @@ from tapflow.operators import cleaning
 from tapflow.plans.jobs import near_sites_table, run, run_files
 from tapflow.schemas import BUS_SITES_RAW, GATES_KEPT, GATES_RAW, GPS_RAW, TAPS_RAW, VEHICLES_RAW
 from tapflow.sources import feeds, tables
-from tapflow.sources.event_tables import EventTables, feed_text, write_feed_files
+from tapflow.sources.event_tables import EventTables, feed_text, write_day_files, write_feed_files
 
 DATA = "/root/testdata/sf0.001"
 
@@ -240,3 +240,20 @@ def test_history_log_writes_only_its_days(spark, tmp_path):
     assert sorted(tables.read_history_log(spark, path).collect()) == sorted(
         tables.read_history_log(spark, path).collect())
     assert tables.read_history_log(spark, str(tmp_path / "none")) is None
+
+
+def test_day_of_a_file_comes_from_its_folder(spark, city, tmp_path):
+    from datetime import date as day
+
+    paths = ["s3a://b/taps/2019-11-1/part-0.csv", "file:/x/day=2024-01-31/part-1.csv", "file:/x/2024-01-31x/a.csv", "file:/x/a.csv"]
+    got = [r[0] for r in spark.createDataFrame([(p,) for p in paths], "file string").selectExpr(feeds.day_of_file()).collect()]
+    assert got == [day(2019, 11, 1), day(2024, 1, 31), None, None]
+
+    # Records before three o'clock are written to the day before, and read back with that day.
+    source = EventTables(spark, DATA, squeeze=1)
+    write_day_files(source.taps_raw, "taps", str(tmp_path / "taps"))
+    read = feeds.read_day_folders(spark, str(tmp_path / "taps"), "taps").filter("line IS NULL")
+    taps = cleaning.clean_taps(read, day=feeds.day_of_file())
+    hours = taps.selectExpr("service_date", "hour(timestamp_millis(ts_ms)) AS h", "to_date(timestamp_millis(ts_ms)) AS d").collect()
+    assert len(hours) == source.taps.count()
+    assert all((r.service_date == r.d) == (r.h >= 3) for r in hours) and any(r.h < 3 for r in hours)
