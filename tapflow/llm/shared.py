@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
@@ -15,36 +16,40 @@ from pyspark.sql import types as T
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder name below `spark.checkpoint.dir`; only where that is unset, in a local temporary folder.
+    """A new folder name below the session's checkpoint folder (`spark.checkpoint.dir`), qualified by Hadoop.
 
-    Unset is meant for tests in one machine: a cluster has to name a folder that all executors share.
+    A folder without a scheme means the cluster's default file system, as Spark itself reads it. Where nothing is set,
+    a local run (tests) gets a local temporary folder; any other master has to name a folder all executors share.
     """
     context = spark.sparkContext
-    top = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if top is None:
-        top = "file://" + tempfile.mkdtemp(prefix="tapflow-shared-")
-        context.setCheckpointDir(top)
-        top = context.getCheckpointDir()
-    if "://" not in top and not top.startswith("file:"):
-        top = f"file://{top}" if top.startswith("/") else top
-    path = f"{top.rstrip('/')}/llm-{uuid.uuid4()}"
-    for paths in _recording:
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="tapflow-shared-")
+        context.setCheckpointDir(folder)
+    path = f"{context.getCheckpointDir().rstrip('/')}/llm-{uuid.uuid4()}"
+    for paths in getattr(_recording, "lists", []):
         paths.append(path)
     return path
 
 
-_recording: list[list[str]] = []
+#: Lists of folders being recorded, per thread: queries run side by side in one driver don't see each other's.
+_recording = threading.local()
 
 
 @contextmanager
 def recorded() -> Iterator[list[str]]:
-    """The folders that are named inside, in a list."""
+    """The folders that this thread names inside, in a list."""
     paths: list[str] = []
-    _recording.append(paths)
+    if not hasattr(_recording, "lists"):
+        _recording.lists = []
+    _recording.lists.append(paths)
     try:
         yield paths
     finally:
-        _recording[:] = [x for x in _recording if x is not paths]
+        _recording.lists = [x for x in _recording.lists if x is not paths]
 
 
 def stored(df: DataFrame) -> DataFrame:

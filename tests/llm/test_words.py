@@ -70,3 +70,26 @@ def test_encoder_forgets_and_goes_on(monkeypatch):
         assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [
             own.tokenizer.encode(t, add_special_tokens=False).ids for t in part
         ]
+
+
+def test_shared_folders_are_qualified_and_recorded_per_thread(spark):
+    import threading
+
+    from tapflow.llm.shared import recorded, shared_folder
+
+    seen: dict[str, list[str]] = {}
+
+    def query(name):
+        with recorded() as paths:
+            shared_folder(spark)
+            shared_folder(spark)
+        seen[name] = paths
+
+    threads = [threading.Thread(target=query, args=(n,)) for n in "ab"]
+    with recorded() as outer:
+        for t in threads:
+            t.start()
+        for t in threads:
+            t.join()
+    assert outer == [] and len(seen["a"]) == len(seen["b"]) == 2 and not set(seen["a"]) & set(seen["b"])
+    assert all(p.startswith("file:/") for p in seen["a"])  # qualified by Hadoop, not by hand
