@@ -25,9 +25,33 @@ _CELLS = f"""cast(greatest(1, floor(
 _CELL = "pmod(cast(floor((lon + 180) / (360D / cells)) AS bigint), cells)"
 _BAND = f"cast(floor(lat / {BAND_DEGREES}D) AS bigint)"
 _KM = fn.site_distance("lon", "lat", "lon2", "lat2")
+#: Rows of one key on the left side of a near-stop join that one task takes; a key with more is dealt in pieces.
+SPLIT_ROWS = 5_000
+#: Hot keys (one row each) up to which their table is broadcast to both sides; above, it is joined by a shuffle.
+BROADCAST_KEYS = 100_000
 _IS_NEAR = f"(distance <= {NEAR_KM}D AND distance != 0)"
 
 
+def split_join(a: DataFrame, b: DataFrame, keys: list[str], split_rows: int | None = None) -> DataFrame:
+    """`a` joined with `b` on `keys`, where a key with more than `split_rows` rows in `a` is dealt over that many pieces:
+    its `a` rows go to a piece by a hash of the row, and its `b` rows are copied to every piece.
+
+    One cell full of stops, or one name that thousands of stops share, so spreads over many tasks; other keys join as
+    before (one piece). The result is the same rows as the plain join.
+    """
+    split_rows = split_rows or SPLIT_ROWS
+    hot = (
+        a.groupBy(*keys).count().filter(F.col("count") > split_rows)
+        .select(*keys, F.ceil(F.col("count") / split_rows).cast("int").alias("_pieces"))
+    )
+    if hot.count() <= BROADCAST_KEYS:
+        hot = F.broadcast(hot)
+    pieces = F.coalesce(F.col("_pieces"), F.lit(1))
+    a = a.join(hot, keys, "left").withColumn("_piece", F.pmod(F.xxhash64(*[F.col(c) for c in a.columns]), pieces))
+    b = b.join(hot, keys, "left").withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
+    return a.drop("_pieces").join(b.drop("_pieces"), [*keys, "_piece"]).drop("_piece")
+
+
 def _near_points(left: DataFrame, right: DataFrame) -> DataFrame:
     """Pairs of distinct positions at most `NEAR_KM` but not 0.00 km apart (lon, lat, lon2, lat2).
 
@@ -49,16 +73,17 @@ def _near_points(left: DataFrame, right: DataFrame) -> DataFrame:
         .selectExpr("*", _CELLS)
         .selectExpr("lon AS lon2", "lat AS lat2", "band", f"{_CELL} AS cell")
     )
-    # Little data but much arithmetic: spread it over all cores, whatever its size in bytes.
+    # Little data but much arithmetic: spread it over all cores, whatever its size in bytes; a full cell in pieces.
     a = a.repartition(a.sparkSession.sparkContext.defaultParallelism, "band", "cell")
-    pairs = a.join(b, ["band", "cell"]).filter(f"abs(lat - lat2) <= {BAND_DEGREES}D")
+    pairs = split_join(a, b, ["band", "cell"]).filter(f"abs(lat - lat2) <= {BAND_DEGREES}D")
     return pairs.selectExpr("lon", "lat", "lon2", "lat2", f"{_KM} AS distance").filter(_IS_NEAR)
 
 
 def near_sites(route_sites: DataFrame, bus_sites: DataFrame) -> DataFrame:
     """Pairs of a stop and a bus stop that are near each other or share their name, without copies.
 
-    Two equi-joins whose results cannot overlap, instead of one product of both dictionaries.
+    Two equi-joins whose results cannot overlap, instead of one product of both dictionaries. A grid cell or a name held
+    by very many stops is dealt over several tasks (`split_join`).
     """
     left = route_sites.select(*SITES).distinct()
     right = bus_sites.selectExpr(*[f"{c} AS {c}2" for c in SITES]).distinct()
@@ -66,7 +91,8 @@ def near_sites(route_sites: DataFrame, bus_sites: DataFrame) -> DataFrame:
     points = _near_points(route_sites, bus_sites)
     near = left.join(points, ["lon", "lat"]).join(right, ["lon2", "lat2"])
     named = (
-        left.join(right, F.expr("site_name = site_name2"))
+        split_join(left.withColumn("_name", F.col("site_name")), right.withColumn("_name", F.col("site_name2")), ["_name"])
+        .drop("_name")
         .selectExpr("*", f"{_KM} AS distance")
         .filter(f"NOT {_IS_NEAR}")
     )

@@ -1,6 +1,8 @@
 import math
 import random
 
+from pyspark.sql import functions as F
+
 from tapflow.operators.sites import all_sites, near_sites
 from tapflow.schemas import SITES
 
@@ -80,3 +82,19 @@ def test_copies_of_stops_give_one_pair(spark):
 def test_all_sites(spark):
     rows = stops(spark, [("A", 1.0, 2.0)])
     assert all_sites(rows, rows).count() == 2
+
+
+def test_a_full_cell_and_a_common_name_are_dealt_in_pieces(spark, monkeypatch):
+    from tapflow.operators import sites
+
+    rnd = random.Random(4)
+    crowded = [("Main" if i % 3 else f"S{i}", 106.5 + rnd.random() * 0.005, 29.5 + rnd.random() * 0.005) for i in range(150)]
+    spread = [(f"T{i}", 106.0 + rnd.random(), 29.0 + rnd.random()) for i in range(60)]
+    rows = crowded + spread
+    plain = pairs_of(near_sites(stops(spark, rows), stops(spark, rows)))
+    monkeypatch.setattr(sites, "SPLIT_ROWS", 7)
+    assert pairs_of(near_sites(stops(spark, rows), stops(spark, rows))) == plain == by_hand(rows, rows)
+    a = spark.createDataFrame([(1, i) for i in range(40)] + [(2, 0)], "k int, v int")
+    b = spark.createDataFrame([(1, "x"), (1, "y"), (2, "z")], "k int, w string")
+    joined = sites.split_join(a.withColumn("p", F.spark_partition_id()), b, ["k"], split_rows=10)
+    assert sorted((r.k, r.v, r.w) for r in joined.collect()) == sorted((r.k, r.v, r.w) for r in a.join(b, "k").collect())
