@@ -1,7 +1,10 @@
 """Checks made before a side of a join is broadcast, and before lineage is cut."""
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -44,4 +47,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="tapflow-checkpoint-")
         context.setCheckpointDir(folder)
-    return f"{context.getCheckpointDir()}/{name}-{uuid.uuid4()}"
+    path = f"{context.getCheckpointDir()}/{name}-{uuid.uuid4()}"
+    for owned in getattr(_scopes, "stack", []):
+        owned.append(path)
+    return path
+
+
+#: Per thread, the lists of scratch paths that open scopes own: jobs side by side in one driver don't see each other's.
+_scopes = threading.local()
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Scratch tables named inside (`cut_lineage`, `scratch_path`) belong to the block and are removed when it ends,
+    also when it fails. Only what this thread named is removed."""
+    owned: list[str] = []
+    if not hasattr(_scopes, "stack"):
+        _scopes.stack = []
+    _scopes.stack.append(owned)
+    try:
+        yield owned
+    finally:
+        _scopes.stack = [x for x in _scopes.stack if x is not owned]
+        jvm = spark.sparkContext._jvm
+        for path in owned:
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

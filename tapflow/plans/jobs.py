@@ -16,6 +16,7 @@ from tapflow.operators.transfers import transfer_pairs
 from tapflow.plans.day import OdPlan
 from tapflow.plans.network import Network
 from tapflow.operators import cleaning
+from tapflow.operators.sizing import scratch_scope
 from tapflow.sources import feeds, tables
 
 
@@ -64,6 +65,12 @@ def run(
     that readers see. With `history_log`, the history at `history_path` is a log: the run adds its own days only
     (`tables.write_history_log`) instead of a new full copy.
     """
+    with scratch_scope(taps.sparkSession):  # tables cut from the lineage go when the results are written
+        _run(taps, gps_fixes, bus_sites, out, gates, rail_sites, near_path, history_path, save_history, keep_unmatched, fare, fmt, days, intermediates, publish, history_log)
+
+
+def _run(taps, gps_fixes, bus_sites, out, gates, rail_sites, near_path, history_path, save_history, keep_unmatched, fare,
+         fmt, days, intermediates, publish, history_log) -> None:
     spark = taps.sparkSession
     if days is None:
         days = service_days([taps] if gates is None else [taps, gates])

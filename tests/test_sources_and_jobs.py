@@ -257,3 +257,27 @@ def test_day_of_a_file_comes_from_its_folder(spark, city, tmp_path):
     hours = taps.selectExpr("service_date", "hour(timestamp_millis(ts_ms)) AS h", "to_date(timestamp_millis(ts_ms)) AS d").collect()
     assert len(hours) == source.taps.count()
     assert all((r.service_date == r.d) == (r.h >= 3) for r in hours) and any(r.h < 3 for r in hours)
+
+
+def test_jobs_side_by_side_leave_no_scratch_tables(spark, city, tmp_path):
+    import threading
+
+    source = city[0]
+    folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    before = set(folder.iterdir())
+    failures = []
+
+    def job(name):
+        try:
+            run(source.taps, source.gps_fixes, source.bus_sites, str(tmp_path / name), source.gates, source.rail_sites)
+        except Exception as error:  # noqa: BLE001 - reported below
+            failures.append(error)
+
+    threads = [threading.Thread(target=job, args=(n,)) for n in ("a", "b")]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert not failures
+    assert set(folder.iterdir()) == before
+    assert all(spark.read.parquet(str(tmp_path / n / "legs")).count() > 0 for n in ("a", "b"))
