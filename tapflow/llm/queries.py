@@ -194,9 +194,58 @@ FROM digests
 """
 
 
+_CRC32 = """crc(b, k, c) AS (SELECT b, 0, b::UBIGINT FROM range(256) r(b)
+  UNION ALL SELECT b, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END FROM crc WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY b) AS tab FROM crc WHERE k = 8)"""
+
+
+def _crc32(text: str) -> str:
+    """DuckDB SQL: unsigned crc32 of the UTF-8 bytes of `text` (needs `crc_table` joined as `tab`)."""
+    byte = f"('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::UBIGINT"
+    steps = f"list_transform(range(octet_length(encode({text}))), lambda i: {byte})"
+    return (f"xor(list_reduce(list_prepend(4294967295::UBIGINT, {steps}), "
+            f"lambda acc, y: xor(acc >> 8, tab[(xor(acc, y) & 255)::BIGINT + 1])), 4294967295::UBIGINT)")
+
+
+SPELLING_SQL = f"""
+WITH RECURSIVE {_CRC32},
+runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id,
+         translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz') AS low
+  FROM documents),
+hashed AS (SELECT low, {_crc32("id || ':' || low")} AS h FROM runs, crc_table),
+cut AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(low, 1, (h % length(low))::BIGINT) || substr(low, (h % length(low))::BIGINT + 2)
+              ELSE low END AS word
+  FROM hashed),
+words AS (SELECT word, count(*) AS n FROM cut WHERE length(word) >= 5 GROUP BY word HAVING count(*) >= 3),
+positions AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+dels AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS d FROM positions),
+pairs AS (
+  SELECT a.word AS w, b.word AS v, b.n AS vn FROM dels a JOIN dels b ON a.i = b.i AND a.d = b.d AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM dels a JOIN words b ON a.d = b.word
+  UNION SELECT b.word, a.word, a.n FROM dels a JOIN words b ON a.d = b.word),
+best AS (SELECT w, count(*) AS n_near, max(vn) AS best_n, min(v) FILTER (WHERE vn = best_n_all) AS v
+         FROM (SELECT *, max(vn) OVER (PARTITION BY w) AS best_n_all FROM pairs) GROUP BY w),
+forms AS (
+  SELECT words.word, words.n, coalesce(best.n_near, 0) AS n_near,
+         CASE WHEN best.best_n >= 2 * words.n THEN best.v END AS form,
+         CASE WHEN best.best_n >= 2 * words.n THEN best.best_n END AS form_n
+  FROM words LEFT JOIN best ON best.w = words.word),
+chain AS (
+  SELECT word, word AS at FROM forms
+  UNION ALL SELECT chain.word, forms.form FROM chain JOIN forms ON forms.word = chain.at WHERE forms.form IS NOT NULL)
+SELECT forms.word, forms.form, chain.at AS root, forms.n::BIGINT AS n, forms.n_near::BIGINT AS n_near,
+       forms.form_n::BIGINT AS form_n
+FROM forms JOIN chain ON chain.word = forms.word JOIN forms AS last ON last.word = chain.at AND last.form IS NULL
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_warc": WARC_SQL,
         "op5_decontamination": DECONTAMINATION_SQL,
         "op8_mixing": MIXING_SQL,
+        "op12_spelling": SPELLING_SQL,
     }
