@@ -69,6 +69,8 @@ def damaged(conversations: DataFrame) -> DataFrame:
         F.when(h == EMPTY, F.lit("")).when(h == UNPUNCTUATE, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")).alias("text"),
         F.explode(F.when(h == REPEAT, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
     )
+    # One exchange by conversation serves the window below and the Viterbi's pass (`repair`).
+    rows = rows.repartition("conv_id")
     order = [F.col("turn").asc_nulls_first(), "copy"]
     seen = Window.partitionBy("conv_id", "dropped", "role", "text").orderBy(*order)
     blank = ~F.regexp_like("text", F.lit(SPACE))
@@ -239,7 +241,7 @@ def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repair(conversations: DataFrame) -> DataFrame:
     """One row per original conv_id: conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256."""
     rows = damaged(conversations)
-    ordered = rows.repartition("conv_id").sortWithinPartitions(
+    ordered = rows.sortWithinPartitions(
         F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first(), "role", "text"
     )
     return shared.map_arrow(ordered, _stream, RESULT)
