@@ -16,8 +16,8 @@ import pyarrow as pa
 
 from tapflow.llm import words as W
 
-#: Distinct pieces that a worker remembers.
-REMEMBERED = 1_000_000
+#: Bytes of remembered pieces (their ids, hashes, places and counts) above which a worker forgets them all.
+REMEMBERED_BYTES = 64 << 20
 _SPACE, _BREAK = 32, 10
 
 _solid = W.byte_class((33, 126))
@@ -98,7 +98,7 @@ class Encoder:
         inside = at < len(self.known)
         new[inside] = self.known[at[inside]] != unique[inside]
         if new.any():
-            if len(self.known) + new.sum() > REMEMBERED:
+            if self.nbytes() + 32 * int(new.sum()) > REMEMBERED_BYTES:
                 self._forget()
                 new[:] = True
             self._learn(data, unique[new], starts[index[new]], ends[index[new]])
@@ -107,9 +107,12 @@ class Encoder:
         counts = self.counts[own]
         return self.pool[W.ragged(self.at[own], counts)], counts
 
+    def nbytes(self) -> int:
+        return self.known.nbytes + self.at.nbytes + self.counts.nbytes + self.pool.nbytes
+
     def _learn(self, data: np.ndarray, hashed: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
-        raw = data.tobytes()
-        words = [raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        # Only the new pieces are copied out of the text, not the whole text.
+        words = [data[a:b].tobytes().decode("utf-8", "surrogatepass") for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
         spaced, plain, odd = [], [], []
         for i, w in enumerate(words):
             rest = w[1:] if w[0] == " " else w

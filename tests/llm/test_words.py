@@ -61,7 +61,7 @@ def test_subword_ids_equal_the_tokenizers():
 
 
 def test_encoder_forgets_and_goes_on(monkeypatch):
-    monkeypatch.setattr(subwords, "REMEMBERED", 50)
+    monkeypatch.setattr(subwords, "REMEMBERED_BYTES", 2_000)  # about 50 pieces
     own = subwords.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
     texts = random_texts(300)
     for begin in range(0, 300, 20):
