@@ -24,7 +24,7 @@ def test_query_equals_sql(spark, db, name):
 
 def test_one_query_for_each_operator_and_the_pipeline():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)]
     assert "pipeline" in entry.queries() and len(corpus_pipeline.STAGES) == 5
 
 
