@@ -16,7 +16,7 @@ from tapflow.operators.transfers import transfer_pairs
 from tapflow.plans.day import OdPlan
 from tapflow.plans.network import Network
 from tapflow.operators import cleaning
-from tapflow.operators.sizing import scratch_scope
+from tapflow.operators.sizing import cut_lineage, scratch_scope
 from tapflow.sources import feeds, tables
 
 
@@ -72,11 +72,12 @@ def run(
 def _run(taps, gps_fixes, bus_sites, out, gates, rail_sites, near_path, history_path, save_history, keep_unmatched, fare,
          fmt, days, intermediates, publish, history_log) -> None:
     spark = taps.sparkSession
-    if days is None:
-        days = service_days([taps] if gates is None else [taps, gates])
-    else:  # all steps see the same days
+    if days is not None:  # all steps see the same days
         taps, gps_fixes = (x.filter(F.col("service_date").isin(days)) for x in (taps, gps_fixes))
         gates = None if gates is None else gates.filter(F.col("service_date").isin(days))
+    taps, gates = cut_lineage(taps), None if gates is None else cut_lineage(gates)
+    if days is None:
+        days = service_days([taps] if gates is None else [taps, gates])
     near = near_sites_table(spark, near_path, bus_sites, rail_sites) if near_path else None
     if history_path and history_log:
         saved = tables.read_history_log(spark, history_path)
@@ -85,7 +86,7 @@ def _run(taps, gps_fixes, bus_sites, out, gates, rail_sites, near_path, history_
     if saved is not None:  # what an earlier run of the same days saved is replaced
         saved = saved.filter(~F.col("service_date").isin(days))
     plan = OdPlan(
-        taps=taps, gps_fixes=gps_fixes, gates=gates, keep_unmatched=keep_unmatched, fare=fare,
+        taps=taps, gps_fixes=gps_fixes, gates=gates, feeds_stored=True, keep_unmatched=keep_unmatched, fare=fare,
         network=Network(bus_sites, rail_sites, near),
         earlier_history=None if saved is None else on_days(without_days(saved), days),
     )
