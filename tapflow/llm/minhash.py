@@ -250,8 +250,9 @@ def _grouped(rows: DataFrame) -> DataFrame:
     )
     more = _compared(apart.select(F.greatest("key", "center").alias("a"), F.least("key", "center").alias("b")), texts)
     found = shared.stored(components(_links(stars).unionAll(_links(more))))
-    rest = _compared(_unconnected(_placed(members, found), texts), texts)
-    found = shared.stored(components(_edges(found).unionAll(_links(rest))))
+    links = _links(_compared(_unconnected(_placed(members, found), texts), texts))
+    if not links.isEmpty():
+        found = shared.stored(components(_edges(found).unionAll(links)))
     return signed.select("row", "doc_id", "key").join(
         found.select(F.col("node").alias("key"), "component"), "key", "left"
     ).select("row", "doc_id", F.coalesce("component", "key").alias("component"))

@@ -9,6 +9,7 @@ pieces then occur many times.
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -18,6 +19,8 @@ from tapflow.llm import words as W
 
 #: Bytes of remembered pieces (their ids, hashes, places and counts) above which a worker forgets them all.
 REMEMBERED_BYTES = 64 << 20
+#: Characters of new pieces that the tokenizer is given at once: it holds many bytes for each of them.
+AT_ONCE = 1 << 16
 _SPACE, _BREAK = 32, 10
 
 _solid = W.byte_class((33, 126))
@@ -66,6 +69,20 @@ def cut(texts: W.Flat) -> np.ndarray:
     return np.flatnonzero(begins)
 
 
+def _runs(which: list[int], words: list[str]) -> Iterator[list[int]]:
+    """The indexes of words in runs of about AT_ONCE characters; a longer word is a run alone."""
+    run: list[int] = []
+    size = 0
+    for i in which:
+        if run and size + len(words[i]) > AT_ONCE:
+            yield run
+            run, size = [], 0
+        run.append(i)
+        size += len(words[i])
+    if run:
+        yield run
+
+
 class Encoder:
     """Ids of texts; remembers pieces that it has seen."""
 
@@ -118,15 +135,15 @@ class Encoder:
             rest = w[1:] if w[0] == " " else w
             (odd if not rest or any(c.isspace() for c in rest) or not rest.isprintable() else spaced if rest is not w else plain).append(i)
         found: list[np.ndarray | None] = [None] * len(words)
-        if spaced:
-            ids = self._ids("".join(words[i] for i in spaced))
-            for i, part in zip(spaced, np.split(ids, np.flatnonzero(self.opens[ids])[1:]), strict=True):
+        for run in _runs(spaced, words):
+            ids = self._ids("".join(words[i] for i in run))
+            for i, part in zip(run, np.split(ids, np.flatnonzero(self.opens[ids])[1:]), strict=True):
                 found[i] = part
-        if plain:
-            ids = self._ids("\n".join(words[i] for i in plain))
+        for run in _runs(plain, words):
+            ids = self._ids("\n".join(words[i] for i in run))
             marks = np.flatnonzero(ids == self.line_break)
-            for i, part in zip(plain, np.split(ids, marks), strict=True):
-                found[i] = part[1:] if i != plain[0] else part
+            for i, part in zip(run, np.split(ids, marks), strict=True):
+                found[i] = part[1:] if i != run[0] else part
         for i, e in zip(odd, self.tokenizer.encode_batch_fast([words[i] for i in odd], add_special_tokens=False), strict=True):
             found[i] = np.array(e.ids, np.int32)
         counts = np.array([len(x) for x in found], np.int64)

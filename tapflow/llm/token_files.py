@@ -27,6 +27,7 @@ from tapflow.llm.subwords import encoder
 MAGIC = b"tapflowC"
 CHUNK, BLOCK = 8, 512  # bits
 SHARD_BYTES = 16 << 20  # of text
+PIECE = 1 << 20  # bytes of text that a worker encodes at once
 END = 0  # id behind each document
 #: magic, documents, tokens, levels
 _HEADER = struct.Struct("<8sQQQ")
@@ -138,7 +139,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str, shard_bytes: int = SHAR
             own, ids, counts, names = encoder(vocabulary), [], [], []
             for _, batch in group:
                 names += batch.column(0).to_pylist()
-                for _, piece in W.pieces(W.flat(batch.column(1))):
+                for _, piece in W.pieces(W.flat(batch.column(1)), PIECE):
                     found, n = own.texts(piece)
                     ends = np.cumsum(n + 1) - 1
                     full = np.full(len(found) + len(n), END, np.int32)
