@@ -126,3 +126,17 @@ def test_a_damaged_archive_is_an_error(spark, tmp_path):
             continue
         raise AssertionError("not noticed")
     assert spark.read.parquet(f"{DATA}/pages.parquet").columns == ["page_id", "url", "html"]
+
+
+def test_the_tokenizer_is_given_little_at_once(monkeypatch):
+    from tapflow.llm import subwords
+
+    monkeypatch.setattr(subwords, "AT_ONCE", 200)
+    own, given = subwords.Encoder(VOCABULARY), []
+    ids_of = own._ids
+    monkeypatch.setattr(own, "_ids", lambda text: given.append(len(text)) or ids_of(text))
+    texts = ["", "one\ntwo\n\nthree " + "x" * 300 + " É. a,b", prose(1, 500), "\n".join(prose(i, 3) for i in range(50))]
+    found, counts = own.texts(subwords.W.flat(pa.array(texts, pa.string())))
+    plain = Tokenizer.from_file(VOCABULARY)
+    assert [x.tolist() for x in np.split(found, np.cumsum(counts)[:-1])] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(given) > 10 and sum(n > 400 for n in given) == 0
