@@ -144,8 +144,9 @@ class Encoder:
             marks = np.flatnonzero(ids == self.line_break)
             for i, part in zip(run, np.split(ids, marks), strict=True):
                 found[i] = part[1:] if i != run[0] else part
-        for i, e in zip(odd, self.tokenizer.encode_batch_fast([words[i] for i in odd], add_special_tokens=False), strict=True):
-            found[i] = np.array(e.ids, np.int32)
+        for run in _runs(odd, words):
+            for i, e in zip(run, self.tokenizer.encode_batch_fast([words[i] for i in run], add_special_tokens=False), strict=True):
+                found[i] = np.array(e.ids, np.int32)
         counts = np.array([len(x) for x in found], np.int64)
         at = len(self.pool) + np.cumsum(counts) - counts
         self.pool = np.concatenate([self.pool, *found]).astype(np.int32)

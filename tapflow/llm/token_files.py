@@ -36,17 +36,16 @@ _FLAG_NULL = np.int8(1)
 
 def coded(ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Chunks, bitmap and directory of each level; at least one level."""
-    rest, out = ids.astype(np.uint32), []
+    rest, out = ids, []
     while True:
-        more = rest >> np.uint32(CHUNK)
-        goes_on = more > 0
+        goes_on = rest > 0xFF
         bits = np.packbits(np.pad(goes_on, (0, -len(goes_on) % BLOCK)), bitorder="little")
         counts = np.bitwise_count(bits.view(np.uint64)).reshape(-1, BLOCK // 64).sum(axis=1)
         directory = np.append(0, np.cumsum(counts)).astype(np.uint64)
-        out.append(((rest & np.uint32(0xFF)).astype(np.uint8), bits, directory))
+        out.append((rest.astype(np.uint8), bits, directory))  # the lowest bits
         if not goes_on.any():
             return out
-        rest = more[goes_on]
+        rest = rest[goes_on] >> CHUNK
 
 
 class Level(NamedTuple):
@@ -137,12 +136,13 @@ def write(docs: DataFrame, folder: str, vocabulary: str, shard_bytes: int = SHAR
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, group in itertools.groupby(_by_shard(batches), key=lambda x: x[0]):
             own, ids, counts, names = encoder(vocabulary), [], [], []
+            kind = np.uint16 if own.size <= 1 << 16 else np.uint32  # a shard's ids are held until its last is known
             for _, batch in group:
                 names += batch.column(0).to_pylist()
                 for _, piece in W.pieces(W.flat(batch.column(1)), PIECE):
                     found, n = own.texts(piece)
                     ends = np.cumsum(n + 1) - 1
-                    full = np.full(len(found) + len(n), END, np.int32)
+                    full = np.full(len(found) + len(n), END, kind)
                     inside = np.ones(len(full), bool)
                     inside[ends] = False
                     full[inside] = found
@@ -150,6 +150,8 @@ def write(docs: DataFrame, folder: str, vocabulary: str, shard_bytes: int = SHAR
                     counts.append(n + 1)
             name = f"shard-{shard:06d}.dac"
             all_ids = np.concatenate(ids)
+            ids.clear()
+            shared.hand_back()
             with shards.committed(folder, name) as out:
                 write_shard(out, names, np.concatenate(counts), all_ids)
             yield pa.RecordBatch.from_pydict({

@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -140,3 +141,33 @@ def test_the_tokenizer_is_given_little_at_once(monkeypatch):
     plain = Tokenizer.from_file(VOCABULARY)
     assert [x.tolist() for x in np.split(found, np.cumsum(counts)[:-1])] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
     assert len(given) > 10 and sum(n > 400 for n in given) == 0
+
+
+def test_coding_a_shard_holds_few_bytes_per_id():
+    ids = np.random.default_rng(3).integers(0, 50257, 1 << 20).astype(np.uint16)
+    tracemalloc.start()
+    levels = T.coded(ids)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(levels) == 2 and peak < 8 * len(ids)
+    for wide in (np.int32, np.uint32, np.int64):
+        for (a, b, c), (x, y, z) in zip(levels, T.coded(ids.astype(wide)), strict=True):
+            assert (a.tobytes(), b.tobytes(), c.tobytes()) == (x.tobytes(), y.tobytes(), z.tobytes())
+
+
+def test_a_task_hands_its_memory_back(monkeypatch):
+    from tapflow.llm import shared
+
+    class Rows:
+        sparkSession = None
+
+        def mapInArrow(self, step, schema):
+            return step
+
+    said = []
+    monkeypatch.setattr(shared, "ship", lambda spark: None)
+    monkeypatch.setattr(shared, "hand_back", lambda: said.append("back"))
+    steps = shared.map_arrow(Rows(), lambda batches: (said.append(b) or b for b in batches), None)
+    assert list(steps(iter([1, 2]))) == [1, 2] and said == [1, 2, "back"]
+    monkeypatch.undo()
+    shared.hand_back()
