@@ -7,11 +7,12 @@ is context only (masked where the document hasn't begun), so each id is scored o
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 
 DIM, HIDDEN, CLASSES = 16, 32, 64
+NEAR = 24  # numbers that sum up an id's neighbours on either side
 WINDOW, STEP = 24, 12
 AT_ONCE = 512  # windows
 _LARGEST = np.float32(60)  # of what is exponentiated
@@ -29,21 +30,37 @@ class Attention:
     klass: np.ndarray
     within: np.ndarray
 
+    def copy(self) -> Attention:
+        """One whose fitted parameters may change."""
+        return Attention(self.ids.copy(), {k: v.copy() for k, v in self.dense.items()}, self.klass, self.within)
+
+
+class Neighbours:
+    """Sums of what stands beside each id: a neighbour adds its weight, under a random sign, to one of NEAR numbers a side."""
+
+    def __init__(self, counts: np.ndarray, seed: int = 5):
+        rng = np.random.default_rng(seed)
+        self.size = len(counts)
+        self.place = rng.integers(0, NEAR, self.size)
+        self.weight = rng.choice([-1.0, 1.0], self.size) / np.sqrt(counts + 1.0)  # frequent neighbours say less
+
+    def of(self, ids: np.ndarray) -> np.ndarray:
+        """One row per id of the vocabulary; rows of parts of a corpus add up."""
+        own, place, weight = ids.astype(np.int64) * NEAR, self.place[ids], self.weight[ids]
+        sides = ((own[1:], place[:-1], weight[:-1]), (own[:-1], place[1:], weight[1:]))
+        return np.concatenate([np.bincount(a + b, w, self.size * NEAR).reshape(-1, NEAR) for a, b, w in sides], axis=1)
+
 
 def classes_of(ids: np.ndarray, size: int, seed: int = 5) -> np.ndarray:
-    """Classes of ids that stand beside like ids: k-means over random projections of their neighbours."""
-    rng = np.random.default_rng(seed)
-    code = rng.normal(size=(size, 24)).astype(np.float32)
+    """Classes of ids that stand beside like ids."""
     counts = np.bincount(ids, minlength=size)
-    code /= np.sqrt(counts + 1.0)[:, None]  # frequent neighbours say less
-    near = np.zeros((size, 48), np.float32)
-    for half, own, other in ((0, ids[1:], ids[:-1]), (24, ids[:-1], ids[1:])):
-        order = np.argsort(own, kind="stable")
-        own, other = own[order], other[order]
-        begin = np.flatnonzero(np.diff(own, prepend=-1))
-        if len(begin):
-            near[own[begin], half : half + 24] = np.add.reduceat(code[other], begin, axis=0)
-    near /= np.linalg.norm(near, axis=1, keepdims=True) + 1e-6
+    return classes(Neighbours(counts, seed).of(ids), counts)
+
+
+def classes(near: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Classes by k-means over the sums of neighbours."""
+    size = len(counts)
+    near = (near / (np.linalg.norm(near, axis=1, keepdims=True) + 1e-6)).astype(np.float32)
     seen = np.flatnonzero(counts)
     out = np.zeros(size, np.int16)
     if len(seen) <= CLASSES:
@@ -173,34 +190,62 @@ def log_probabilities(model: Attention, ids: np.ndarray, counts: np.ndarray, end
     return out
 
 
-def train(model: Attention, ids: np.ndarray, counts: np.ndarray, end: int, epochs: int = 1, seed: int = 5) -> None:
-    """Fit all parameters but the classes, by Adam and (for ids) Adagrad over windows in random order."""
+@dataclass
+class Progress:
+    """What the steps so far leave to the next: Adam's means, Adagrad's sums per id, and how often an id was read."""
+
+    mean: dict[str, np.ndarray]
+    square: dict[str, np.ndarray]
+    sums: np.ndarray
+    step: int = 0
+    read: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
+
+    def copy(self) -> Progress:
+        return Progress({k: v.copy() for k, v in self.mean.items()}, {k: v.copy() for k, v in self.square.items()}, self.sums.copy(), self.step, self.read.copy())
+
+    @classmethod
+    def start(cls, model: Attention) -> Progress:
+        return cls(
+            {k: np.zeros_like(v) for k, v in model.dense.items()}, {k: np.zeros_like(v) for k, v in model.dense.items()},
+            np.full(len(model.ids), 1e-6, np.float32), 0, np.zeros(len(model.ids), np.float32),
+        )
+
+
+def train(
+    model: Attention, ids: np.ndarray, counts: np.ndarray, end: int, epochs: int = 1, seed: int = 5,
+    progress: Progress | None = None, pace: tuple[float, float] = (1.0, 0.0), batch: int = BATCH,
+) -> None:
+    """Fit all parameters but the classes, by Adam and (for ids) Adagrad over windows in random order.
+
+    `progress` goes on from earlier steps; `pace` is the share of the rate that an epoch begins and ends with (0.1 at least).
+    """
     rng = np.random.default_rng(seed)
     all_ = Windows(ids, counts, end)
-    seen_ids = np.full(len(model.ids), 1e-6, np.float32)
-    mean = {k: np.zeros_like(v) for k, v in model.dense.items()}
-    square = {k: np.zeros_like(v) for k, v in model.dense.items()}
-    step = 0
+    p = Progress.start(model) if progress is None else progress
     for _ in range(epochs):
         order = rng.permutation(len(all_.doc))
-        for at in range(0, len(order), BATCH):
-            given, opening, scored, where = all_.take(order[at : at + BATCH])
+        for at in range(0, len(order), batch):
+            given, opening, scored, where = all_.take(order[at : at + batch])
             grads, touched, rows = _gradients(model, given, opening, model.klass[ids[where]], scored)
-            step += 1
-            pace = RATE * min(1.0, step / 50) * max(0.1, 1 - at / max(1, len(order)))
+            p.step += 1
+            rate = RATE * min(1.0, p.step / 50) * max(0.1, pace[0] + (pace[1] - pace[0]) * at / len(order))
             for k, g in grads.items():
-                mean[k] += 0.1 * (g - mean[k])
-                square[k] += 0.01 * (g * g - square[k])
-                model.dense[k] -= pace * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.99**step)) + 1e-8)
-            seen_ids[touched] += (rows**2).mean(axis=1)
-            model.ids[touched] -= ID_RATE * rows / np.sqrt(seen_ids[touched])[:, None]
+                p.mean[k] += 0.1 * (g - p.mean[k])
+                p.square[k] += 0.01 * (g * g - p.square[k])
+                model.dense[k] -= rate * (p.mean[k] / (1 - 0.9**p.step)) / (np.sqrt(p.square[k] / (1 - 0.99**p.step)) + 1e-8)
+            p.sums[touched] += (rows**2).mean(axis=1)
+            p.read[touched] += 1
+            model.ids[touched] -= ID_RATE * rows / np.sqrt(p.sums[touched])[:, None]
 
 
 def _gradients(model: Attention, ids: np.ndarray, opening: np.ndarray, target: np.ndarray, inside: np.ndarray):
     p, f = model.dense, _forward(model, ids, opening)
     n = max(1, int(inside.sum()))
-    e = np.exp(_log_softmax(f["g"] @ p["out"] + p["constant"]))
-    np.put_along_axis(e, target[..., None].astype(np.int64), np.take_along_axis(e, target[..., None].astype(np.int64), 2) - 1, 2)
+    e = f["g"] @ p["out"]
+    e += p["constant"]
+    np.exp(np.minimum(e, _LARGEST, out=e), out=e)
+    e /= (e @ _ONES)[..., None] + np.float32(1e-30)
+    e.reshape(-1, CLASSES)[np.arange(target.size), target.reshape(-1)] -= 1
     e *= inside[..., None] / np.float32(n)
 
     def outer(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -223,7 +268,7 @@ def _gradients(model: Attention, ids: np.ndarray, opening: np.ndarray, target: n
     dx = dk @ p["k"].T + dv @ p["v"].T
     dx[:, WINDOW - STEP :] += dh + dq @ p["q"].T
     grads["place"] = dx.sum(axis=0)
-    touched, inverse = np.unique(ids, return_inverse=True)
-    rows = np.zeros((len(touched), DIM), np.float32)
-    np.add.at(rows, inverse.reshape(-1), dx.reshape(-1, DIM))
-    return grads, touched, rows
+    order = np.argsort(ids, axis=None, kind="stable")
+    own = ids.reshape(-1)[order]
+    begin = np.flatnonzero(np.diff(own, prepend=-1))
+    return grads, own[begin], np.add.reduceat(dx.reshape(-1, DIM)[order], begin, axis=0)
