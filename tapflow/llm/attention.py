@@ -14,11 +14,11 @@ import numpy as np
 DIM, HIDDEN, CLASSES = 16, 32, 64
 NEAR = 24  # numbers that sum up an id's neighbours on either side
 WINDOW, STEP = 24, 12
-AT_ONCE = 512  # windows
+AT_ONCE = 256  # windows
 _LARGEST = np.float32(60)  # of what is exponentiated
-_ONES = np.ones(CLASSES, np.float32)
 BATCH, RATE, ID_RATE = 128, 0.01, 0.1
-_FUTURE = np.where(np.tri(STEP, WINDOW, WINDOW - STEP, bool), 0, -1e9).astype(np.float32)
+_SCALE = np.float32(1 / np.sqrt(DIM))
+_SEEN = np.tri(STEP, WINDOW, WINDOW - STEP, dtype=np.float32)
 
 
 @dataclass
@@ -99,26 +99,49 @@ def fresh(size: int, klass: np.ndarray, within: np.ndarray, seed: int = 5) -> At
     return Attention(rng.normal(0, 0.5, (size, DIM)).astype(np.float32), dense, klass, within)
 
 
+def _sums(rows: np.ndarray) -> np.ndarray:
+    """The sum of each row (a product with ones is faster than a sum along short rows)."""
+    return rows @ np.ones(rows.shape[-1], np.float32)
+
+
+def _exp(values: np.ndarray) -> np.ndarray:
+    """Exponentials, in place, of values that are cut at the largest."""
+    if values.size and values.max() > _LARGEST:
+        np.minimum(values, _LARGEST, out=values)
+    return np.exp(values, out=values)
+
+
+def _weights(q: np.ndarray, k: np.ndarray, opening: np.ndarray) -> np.ndarray:
+    """Of windows' places (scaled queries, keys), what they attend to, not yet divided by its sum."""
+    a = _exp(np.matmul(q, k.transpose(0, 2, 1)))
+    a *= _SEEN
+    a[opening, :, : WINDOW - STEP] = 0
+    return a
+
+
 def _forward(model: Attention, ids: np.ndarray, opening: np.ndarray) -> dict[str, np.ndarray]:
-    """The last STEP places of windows attend to all places up to their own; windows that open a document have no others."""
-    p = model.dense
-    x = model.ids[ids] + p["place"]
-    y = x[:, WINDOW - STEP :]
-    q, k, v = y @ p["q"], x @ p["k"], x @ p["v"]
-    s = np.matmul(q, k.transpose(0, 2, 1))
-    s *= np.float32(1 / np.sqrt(DIM))
-    s += _FUTURE
-    s[opening, :, : WINDOW - STEP] = -1e9
-    a = np.exp(np.minimum(s, _LARGEST, out=s), out=s)
-    # the sum of the weights comes with the weighted sum
-    o = np.matmul(a, np.concatenate([v, np.ones((*v.shape[:2], 1), np.float32)], axis=2))
-    total = o[:, :, DIM:]
-    o = o[:, :, :DIM] / total
-    h = y + o @ p["o"]
-    z = h @ p["up"] + p["bias"]
-    r = np.maximum(z, 0)
-    g = h + r @ p["down"]
-    return {"x": x, "y": y, "q": q, "k": k, "v": v, "a": a, "total": total, "o": o, "h": h, "z": z, "r": r, "g": g}
+    """The last STEP places of windows attend to all places up to their own; windows that open a document have no others.
+
+    All but the attention is done on one row per place: a product of few large matrices, not one of each window.
+    """
+    p, n = model.dense, len(ids)
+    x = model.ids.take(ids, axis=0)
+    x += p["place"]
+    y = x[:, WINDOW - STEP :].reshape(-1, DIM)
+    x = x.reshape(-1, DIM)
+    q = y @ (p["q"] * _SCALE)
+    kv = (x @ np.concatenate([p["k"], p["v"]], axis=1)).reshape(n, WINDOW, 2 * DIM)
+    a = _weights(q.reshape(n, STEP, DIM), kv[:, :, :DIM], opening)
+    a /= _sums(a.reshape(-1, WINDOW)).reshape(n, STEP, 1)
+    o = np.matmul(a, kv[:, :, DIM:]).reshape(-1, DIM)
+    h = o @ p["o"]
+    h += y
+    r = h @ p["up"]
+    r += p["bias"]
+    np.maximum(r, 0, out=r)
+    g = r @ p["down"]
+    g += h
+    return {"x": x, "y": y, "q": q, "kv": kv, "a": a, "o": o, "h": h, "r": r, "g": g.reshape(n, STEP, DIM)}
 
 
 def _log_softmax(logits: np.ndarray) -> np.ndarray:
@@ -152,22 +175,21 @@ class Scorer:
     def __init__(self, model: Attention):
         p = model.dense
         both = np.concatenate([p["k"], p["v"]], axis=1)
-        self.model, self.query = model, p["q"] * np.float32(1 / np.sqrt(DIM))
+        self.model, self.query = model, p["q"] * _SCALE
         self.table = np.concatenate([model.ids @ both, np.ones((len(model.ids), 1), np.float32)], axis=1)
         self.place = np.concatenate([p["place"] @ both, np.zeros((WINDOW, 1), np.float32)], axis=1)
 
     def states(self, ids: np.ndarray, opening: np.ndarray) -> np.ndarray:
-        p = self.model.dense
-        y = self.model.ids[ids[:, WINDOW - STEP :]]
+        """One row per place of the windows' last STEP."""
+        p, n = self.model.dense, len(ids)
+        y = self.model.ids.take(ids[:, WINDOW - STEP :], axis=0)
         y += p["place"][WINDOW - STEP :]
-        both = self.table[ids]
+        y = y.reshape(-1, DIM)
+        both = self.table.take(ids, axis=0)
         both += self.place
-        s = np.matmul(y @ self.query, both[:, :, :DIM].transpose(0, 2, 1))
-        s += _FUTURE
-        s[opening, :, : WINDOW - STEP] = -1e9
-        np.minimum(s, _LARGEST, out=s)
-        o = np.matmul(np.exp(s, out=s), both[:, :, DIM:])
-        y += (o[:, :, :DIM] / o[:, :, DIM:]) @ p["o"]
+        a = _weights((y @ self.query).reshape(n, STEP, DIM), both[:, :, :DIM], opening)
+        o = np.matmul(a, both[:, :, DIM:]).reshape(-1, DIM + 1)
+        y += (o[:, :DIM] / o[:, DIM:]) @ p["o"]
         r = y @ p["up"]
         r += p["bias"]
         y += np.maximum(r, 0, out=r) @ p["down"]
@@ -178,15 +200,16 @@ def log_probabilities(model: Attention, ids: np.ndarray, counts: np.ndarray, end
     """Natural log of the probability of each id, given those before it in its document."""
     out = np.empty(len(ids), np.float32)
     all_, scorer = Windows(ids, counts, end), Scorer(model)
+    klass = model.klass[ids].astype(np.int64)
     for at in range(0, len(all_.doc), AT_ONCE):
         given, opening, scored, where = all_.take(np.arange(at, min(at + AT_ONCE, len(all_.doc))))
-        g = scorer.states(given, opening)
-        target = where[scored]
-        logits = g[scored] @ model.dense["out"] + model.dense["constant"]
-        own = ids[target]
-        np.minimum(logits, _LARGEST, out=logits)
-        chosen = logits[np.arange(len(own)), model.klass[own]]
-        out[target] = chosen - np.log(np.exp(logits, out=logits) @ _ONES) + model.within[own]
+        logits = scorer.states(given, opening) @ model.dense["out"]
+        logits += model.dense["constant"]
+        chosen = np.minimum(logits.reshape(-1)[np.arange(0, logits.size, CLASSES) + klass[where].reshape(-1)], _LARGEST)
+        chosen -= np.log(_sums(_exp(logits)))
+        scored = scored.reshape(-1)
+        out[where.reshape(-1)[scored]] = chosen[scored]
+    out += model.within[ids]
     return out
 
 
@@ -221,54 +244,91 @@ def train(
     """
     rng = np.random.default_rng(seed)
     all_ = Windows(ids, counts, end)
+    klass = model.klass[ids].astype(np.int64)
     p = Progress.start(model) if progress is None else progress
+    # side by side, so that a step is a few operations on all parameters at once; the dictionaries show parts of these
+    dense, mean, square = _side_by_side(model.dense), _side_by_side(p.mean), _side_by_side(p.square)
     for _ in range(epochs):
         order = rng.permutation(len(all_.doc))
         for at in range(0, len(order), batch):
             given, opening, scored, where = all_.take(order[at : at + batch])
-            grads, touched, rows = _gradients(model, given, opening, model.klass[ids[where]], scored)
+            grads, touched, rows = _gradients(model, given, opening, klass[where], scored)
             p.step += 1
             rate = RATE * min(1.0, p.step / 50) * max(0.1, pace[0] + (pace[1] - pace[0]) * at / len(order))
-            for k, g in grads.items():
-                p.mean[k] += 0.1 * (g - p.mean[k])
-                p.square[k] += 0.01 * (g * g - p.square[k])
-                model.dense[k] -= rate * (p.mean[k] / (1 - 0.9**p.step)) / (np.sqrt(p.square[k] / (1 - 0.99**p.step)) + 1e-8)
-            p.sums[touched] += (rows**2).mean(axis=1)
+            g = np.concatenate([grads[k].reshape(-1) for k in model.dense])
+            mean += 0.1 * (g - mean)
+            square += 0.01 * (g * g - square)
+            dense -= rate * (mean / (1 - 0.9**p.step)) / (np.sqrt(square / (1 - 0.99**p.step)) + 1e-8)
+            sums = p.sums[touched] + _sums(rows * rows) / DIM
+            p.sums[touched] = sums
             p.read[touched] += 1
-            model.ids[touched] -= ID_RATE * rows / np.sqrt(p.sums[touched])[:, None]
+            rows *= (ID_RATE / np.sqrt(sums))[:, None]
+            model.ids[touched] -= rows
 
 
-def _gradients(model: Attention, ids: np.ndarray, opening: np.ndarray, target: np.ndarray, inside: np.ndarray):
-    p, f = model.dense, _forward(model, ids, opening)
-    n = max(1, int(inside.sum()))
-    e = f["g"] @ p["out"]
-    e += p["constant"]
-    np.exp(np.minimum(e, _LARGEST, out=e), out=e)
-    e /= (e @ _ONES)[..., None] + np.float32(1e-30)
-    e.reshape(-1, CLASSES)[np.arange(target.size), target.reshape(-1)] -= 1
-    e *= inside[..., None] / np.float32(n)
+def _side_by_side(parts: dict[str, np.ndarray]) -> np.ndarray:
+    """All parts in one array; `parts` then holds views of it."""
+    whole, at = np.concatenate([x.reshape(-1) for x in parts.values()]), 0
+    for k, x in parts.items():
+        parts[k] = whole[at : at + x.size].reshape(x.shape)
+        at += x.size
+    return whole
 
-    def outer(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return a.reshape(-1, a.shape[-1]).T @ b.reshape(-1, b.shape[-1])
 
-    grads = {"out": outer(f["g"], e), "constant": e.sum(axis=(0, 1))}
+def _gradients(model: Attention, ids: np.ndarray, opening: np.ndarray, target: np.ndarray, inside: np.ndarray):
+    """Slopes of the mean loss: of each dense parameter, the distinct ids, and of each one's row."""
+    p, n, f = model.dense, len(ids), _forward(model, ids, opening)
+    # of each place and class the probability, less 1 for the target, times the sum that it is yet to be divided by
+    g = f["g"].reshape(-1, DIM)
+    e = g @ p["out"]
+    e += p["constant"]
+    total = _sums(_exp(e)) + np.float32(1e-30)
+    e.reshape(-1)[np.arange(0, e.size, CLASSES) + target.reshape(-1)] -= total
+    share = (inside.reshape(-1) / np.float32(max(1, int(inside.sum())))).astype(np.float32) / total
+    grads = {"out": (g * share[:, None]).T @ e, "constant": share @ e}
     dg = e @ p["out"].T
-    grads["down"] = outer(f["r"], dg)
-    dz = (dg @ p["down"].T) * (f["z"] > 0)
-    grads["up"], grads["bias"] = outer(f["h"], dz), dz.sum(axis=(0, 1))
-    dh = dg + dz @ p["up"].T
-    grads["o"] = outer(f["o"], dh)
+    dg *= share[:, None]
+    ones = np.ones(len(e), np.float32)
+    grads["down"] = f["r"].T @ dg
+    dz = dg @ p["down"].T
+    dz *= f["r"] > 0
+    grads["up"], grads["bias"] = f["h"].T @ dz, ones @ dz
+    dh = dz @ p["up"].T
+    dh += dg
+    grads["o"] = f["o"].T @ dh
     do = dh @ p["o"].T
-    f["a"] /= f["total"]
-    da = np.matmul(do, f["v"].transpose(0, 2, 1))
-    dv = np.matmul(f["a"].transpose(0, 2, 1), do)
-    ds = f["a"] * (da - (da * f["a"]).sum(axis=2, keepdims=True)) / np.float32(np.sqrt(DIM))
-    dq, dk = np.matmul(ds, f["k"]), np.matmul(ds.transpose(0, 2, 1), f["q"])
-    grads["q"], grads["k"], grads["v"] = outer(f["y"], dq), outer(f["x"], dk), outer(f["x"], dv)
-    dx = dk @ p["k"].T + dv @ p["v"].T
-    dx[:, WINDOW - STEP :] += dh + dq @ p["q"].T
-    grads["place"] = dx.sum(axis=0)
-    order = np.argsort(ids, axis=None, kind="stable")
-    own = ids.reshape(-1)[order]
-    begin = np.flatnonzero(np.diff(own, prepend=-1))
-    return grads, own[begin], np.add.reduceat(dx.reshape(-1, DIM)[order], begin, axis=0)
+    # what a place's weights lose by adding up to 1
+    lost = _sums(do * f["o"]).reshape(n, STEP, 1)
+    do = do.reshape(n, STEP, DIM)
+    ds = np.matmul(do, f["kv"][:, :, DIM:].transpose(0, 2, 1))
+    ds -= lost
+    ds *= f["a"]
+    dq = np.matmul(ds, f["kv"][:, :, :DIM]).reshape(-1, DIM)
+    dq *= _SCALE
+    dkv = np.empty_like(f["kv"])
+    np.matmul(ds.transpose(0, 2, 1), f["q"].reshape(n, STEP, DIM), out=dkv[:, :, :DIM])
+    np.matmul(f["a"].transpose(0, 2, 1), do, out=dkv[:, :, DIM:])
+    dkv = dkv.reshape(-1, 2 * DIM)
+    grads["q"], both = f["y"].T @ dq, f["x"].T @ dkv
+    grads["k"], grads["v"] = both[:, :DIM], both[:, DIM:]
+    dx = (dkv @ np.concatenate([p["k"], p["v"]], axis=1).T).reshape(n, WINDOW, DIM)
+    dh += dq @ p["q"].T
+    dx[:, WINDOW - STEP :] += dh.reshape(n, STEP, DIM)
+    grads["place"] = (np.ones(n, np.float32) @ dx.reshape(n, -1)).reshape(WINDOW, DIM)
+    touched, order, begin = _by_id(ids.reshape(-1), len(model.ids))
+    return grads, touched, np.add.reduceat(dx.reshape(-1, DIM).take(order, axis=0), begin, axis=0)
+
+
+def _by_id(ids: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct ids, an order of the places that brings equal ids together, and where each of them begins in it."""
+    place = np.arange(len(ids))
+    last = np.empty(size, np.int64)
+    last[ids] = place  # one of the places of an id
+    one = last[ids]
+    chosen = np.flatnonzero(one == place)
+    number = np.empty(len(ids), np.min_scalar_type(max(1, len(chosen))))  # numbers of two bytes are sorted by radix
+    number[chosen] = np.arange(len(chosen))
+    number = number[one]
+    order = np.argsort(number, kind="stable")
+    sizes = np.bincount(number, minlength=len(chosen))
+    return ids[chosen], order, np.cumsum(sizes) - sizes

@@ -416,8 +416,8 @@ def _logs(model: Model, piece: Piece, end: int):
     """Of each token the attention model's log, hash, count if frequent, and whether it is an end; tokens per text."""
     ids, counts, begin, words, is_end, tokens = piece.laid(end)
     logs = attention.log_probabilities(model.net, ids, counts, end)
-    known = model.known(words)
-    known[is_end] = model.ends
+    known = np.full(len(words), model.ends, np.int64)
+    known[~is_end] = model.known(piece.hashed)[piece.index]  # each distinct word looked up once
     return np.add.reduceat(logs.astype(np.float64), begin), words, known, is_end, tokens
 
 

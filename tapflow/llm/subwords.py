@@ -129,28 +129,39 @@ class Encoder:
 
     def _learn(self, data: np.ndarray, hashed: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         # Only the new pieces are copied out of the text, not the whole text.
-        words = [data[a:b].tobytes().decode("utf-8", "surrogatepass") for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        text = memoryview(np.ascontiguousarray(data))
+        words = [str(text[a:b], "utf-8", "surrogatepass") for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
         spaced, plain, odd = [], [], []
         for i, w in enumerate(words):
             rest = w[1:] if w[0] == " " else w
-            (odd if not rest or any(c.isspace() for c in rest) or not rest.isprintable() else spaced if rest is not w else plain).append(i)
-        found: list[np.ndarray | None] = [None] * len(words)
+            # no white space but a space is printable
+            (odd if not rest or " " in rest or not rest.isprintable() else spaced if rest is not w else plain).append(i)
+        found, sizes, which = [self.pool], [], []
         for run in _runs(spaced, words):
-            ids = self._ids("".join(words[i] for i in run))
-            for i, part in zip(run, np.split(ids, np.flatnonzero(self.opens[ids])[1:]), strict=True):
-                found[i] = part
+            ids = self._ids("".join([words[i] for i in run]))
+            begins = np.flatnonzero(self.opens[ids])
+            begins[0] = 0
+            found.append(ids)
+            sizes.append(np.diff(begins, append=len(ids)))
+            which.append(run)
         for run in _runs(plain, words):
-            ids = self._ids("\n".join(words[i] for i in run))
-            marks = np.flatnonzero(ids == self.line_break)
-            for i, part in zip(run, np.split(ids, marks), strict=True):
-                found[i] = part[1:] if i != run[0] else part
+            ids = self._ids("\n".join([words[i] for i in run]))
+            marks = ids == self.line_break
+            found.append(ids[~marks])
+            sizes.append(np.diff(np.flatnonzero(marks), prepend=-1, append=len(ids)) - 1)
+            which.append(run)
         for run in _runs(odd, words):
-            for i, e in zip(run, self.tokenizer.encode_batch_fast([words[i] for i in run], add_special_tokens=False), strict=True):
-                found[i] = np.array(e.ids, np.int32)
-        counts = np.array([len(x) for x in found], np.int64)
+            parts = [e.ids for e in self.tokenizer.encode_batch_fast([words[i] for i in run], add_special_tokens=False)]
+            found.append(np.array([x for part in parts for x in part], np.int32))
+            sizes.append(np.array([len(part) for part in parts], np.int64))
+            which.append(run)
+        for run, n in zip(which, sizes, strict=True):
+            if len(run) != len(n):
+                raise ValueError("the tokenizer didn't cut between the pieces")
+        counts = np.concatenate(sizes)
         at = len(self.pool) + np.cumsum(counts) - counts
-        self.pool = np.concatenate([self.pool, *found]).astype(np.int32)
-        known = np.concatenate([self.known, hashed])
+        self.pool = np.concatenate(found).astype(np.int32, copy=False)
+        known = np.concatenate([self.known, hashed[np.concatenate(which)]])
         order = np.argsort(known)
         self.known = known[order]
         self.at = np.concatenate([self.at, at])[order]

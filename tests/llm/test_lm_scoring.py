@@ -133,6 +133,41 @@ def test_words_as_subword_ids():
     assert ids[: counts[0]].tolist() == [*plain, own.size - 1] and counts[1] == 1 and len(begin) == 7 and words[2] == 0
 
 
+def test_each_distinct_word_is_looked_up_once(monkeypatch):
+    own, looked = encoder(VOCABULARY), []
+    monkeypatch.setattr(X.Model, "known", lambda self, hashed: looked.append(len(hashed)) or np.arange(len(hashed)))
+    texts = W.flat(pa.array(["b a b", "a a", "", "c a\n c"]))
+    none = np.zeros(4, bool)
+    net = A.fresh(own.size, np.zeros(own.size, np.int16), np.zeros(own.size, np.float32))
+    piece = X.Piece.of(own, texts, none, none)
+    _, words, known, is_end, _ = X._logs(X.Model(net, np.zeros(0, np.uint64), np.zeros(0, np.int64), 9, 0, 0), piece, own.size - 1)
+    assert looked == [3] and is_end.tolist() == [False] * 3 + [True] + [False] * 2 + [True] * 2 + [False] * 3 + [True]
+    assert known[is_end].tolist() == [9] * 4
+    assert piece.hashed[known[~is_end]].tolist() == words[~is_end].tolist()
+
+
+def test_all_but_the_attention_is_done_on_few_large_matrices():
+    rng = np.random.default_rng(0)
+    ids, counts = rng.integers(0, 50, 200).astype(np.int32), np.array([30, 100, 1, 69])
+    klass = A.classes_of(ids, 51)
+    net = A.fresh(51, klass, A.shares(klass, np.bincount(ids, minlength=51)))
+    all_ = A.Windows(ids, counts, 50)
+    given, opening, _, _ = all_.take(np.arange(len(all_.doc)))
+    found = A._forward(net, given, opening)
+    assert all(found[k].ndim == 2 for k in "xyqohr")
+    # each window worked out by itself, as the formulas stand
+    p = {k: v.astype(np.float64) for k, v in net.dense.items()}
+    for w in range(len(given)):
+        x = net.ids[given[w]] + p["place"]
+        for i in range(A.STEP):
+            seen = slice(A.WINDOW - A.STEP if opening[w] else 0, A.WINDOW - A.STEP + i + 1)
+            y = x[A.WINDOW - A.STEP + i]
+            s = np.exp((x[seen] @ p["k"]) @ (y @ p["q"]) / math.sqrt(A.DIM))
+            h = y + (s @ (x[seen] @ p["v"]) / s.sum()) @ p["o"]
+            g = h + np.maximum(h @ p["up"] + p["bias"], 0) @ p["down"]
+            assert found["g"][w, i] == pytest.approx(g, rel=1e-3, abs=1e-4)
+
+
 def test_nothing_to_learn_from(spark):
     odd = odd_docs(spark).select("doc_id", "text")
     assert X.score(odd.limit(0), VOCABULARY).count() == 0
