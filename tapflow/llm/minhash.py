@@ -314,23 +314,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     grouped = _stored_groups(held.select(F.col(_ROW).alias("row"), "doc_id", shared.text_of()))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
     kept = shared.stored(grouped.groupBy("component").agg(F.min(order).alias("best")).select(F.col("best.row").alias(_ROW)))
-    return _only(held, kept).select(*docs.columns)
+    # by a shuffle at every size: how many rows are kept grows with the input
+    return held.join(kept.hint("merge"), _ROW, "left_semi").select(*docs.columns)
 
 
 _ROW = "row of this run"
-#: Numbers of 64 rows' bits up to which all of them go to every task.
-BITMAPS = 500_000
-
-
-def _only(held: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of `held` whose numbers `kept` has: a bit for each goes to where the texts are, so these aren't shuffled.
-
-    Above BITMAPS by a join on the number, at which Spark may shuffle the texts.
-    """
-    group, bits = f"{_ROW}, group", f"{_ROW}, bits"
-    groups = F.shiftright(_ROW, 6).alias(group)
-    place = (F.col(_ROW) % 64).cast("int")
-    maps = shared.stored(kept.groupBy(groups).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), place)).alias(bits)))
-    if maps.count() > BITMAPS:
-        return held.join(kept, _ROW, "left_semi")
-    return held.select("*", groups).join(F.broadcast(maps), group).where(F.getbit(bits, place) == 1)
