@@ -15,10 +15,12 @@ DIM, HIDDEN, CLASSES = 16, 32, 64
 NEAR = 24  # numbers that sum up an id's neighbours on either side
 WINDOW, STEP = 24, 12
 AT_ONCE = 256  # windows
+AHEAD = 64  # steps whose windows are laid out at once
 _LARGEST = np.float32(60)  # of what is exponentiated
 BATCH, RATE, ID_RATE = 128, 0.01, 0.1
 _SCALE = np.float32(1 / np.sqrt(DIM))
 _SEEN = np.tri(STEP, WINDOW, WINDOW - STEP, dtype=np.float32)
+_PLACES = np.arange(STEP)
 
 
 @dataclass
@@ -111,37 +113,54 @@ def _exp(values: np.ndarray) -> np.ndarray:
     return np.exp(values, out=values)
 
 
-def _weights(q: np.ndarray, k: np.ndarray, opening: np.ndarray) -> np.ndarray:
-    """Of windows' places (scaled queries, keys), what they attend to, not yet divided by its sum."""
-    a = _exp(np.matmul(q, k.transpose(0, 2, 1)))
+def _weights(q: np.ndarray, x: np.ndarray, opening: np.ndarray) -> np.ndarray:
+    """Of windows' places (queries, rows), what they attend to, not yet divided by its sum."""
+    a = _exp(np.matmul(q, x.transpose(0, 2, 1)))
     a *= _SEEN
     a[opening, :, : WINDOW - STEP] = 0
     return a
 
 
-def _forward(model: Attention, ids: np.ndarray, opening: np.ndarray) -> dict[str, np.ndarray]:
+def _folded(p: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """The parameters as places need them: of two that no other step comes between the product, constants as a last row.
+
+    `down` is halved, as the rows before it are doubled, and keeps the ones that rows end with.
+    """
+    return {
+        "qk": p["q"] @ p["k"].T * _SCALE, "vo": p["v"] @ p["o"],
+        "up": np.concatenate([p["up"], p["bias"][None]]), "out": np.concatenate([p["out"], p["constant"][None]]),
+        "down": np.concatenate([p["down"] * np.float32(0.5), np.zeros((HIDDEN, 1), np.float32)], axis=1),
+    }
+
+
+def _states(f: dict[str, np.ndarray], x: np.ndarray, opening: np.ndarray) -> dict[str, np.ndarray]:
     """The last STEP places of windows attend to all places up to their own; windows that open a document have no others.
 
     All but the attention is done on one row per place: a product of few large matrices, not one of each window.
     """
-    p, n = model.dense, len(ids)
-    x = model.ids.take(ids, axis=0)
-    x += p["place"]
+    n = len(x)
     y = x[:, WINDOW - STEP :].reshape(-1, DIM)
-    x = x.reshape(-1, DIM)
-    q = y @ (p["q"] * _SCALE)
-    kv = (x @ np.concatenate([p["k"], p["v"]], axis=1)).reshape(n, WINDOW, 2 * DIM)
-    a = _weights(q.reshape(n, STEP, DIM), kv[:, :, :DIM], opening)
-    a /= _sums(a.reshape(-1, WINDOW)).reshape(n, STEP, 1)
-    o = np.matmul(a, kv[:, :, DIM:]).reshape(-1, DIM)
-    h = o @ p["o"]
-    h += y
-    r = h @ p["up"]
-    r += p["bias"]
-    np.maximum(r, 0, out=r)
-    g = r @ p["down"]
+    q = y @ f["qk"]
+    a = _weights(q.reshape(n, STEP, DIM), x, opening)
+    total = _sums(a.reshape(-1, WINDOW))[:, None]
+    o = np.matmul(a, x).reshape(-1, DIM)
+    o /= total
+    h = np.ones((n * STEP, DIM + 1), np.float32)
+    np.add(o @ f["vo"], y, out=h[:, :DIM])
+    r = h @ f["up"]
+    r += np.abs(r)  # twice what is above 0, and 0
+    g = r @ f["down"]
     g += h
-    return {"x": x, "y": y, "q": q, "kv": kv, "a": a, "o": o, "h": h, "r": r, "g": g.reshape(n, STEP, DIM)}
+    return {"y": y, "q": q, "a": a, "total": total, "o": o, "h": h, "r": r, "rows": g}
+
+
+def _forward(model: Attention, ids: np.ndarray, opening: np.ndarray) -> dict[str, np.ndarray]:
+    """What `_states` makes of windows of ids; `g` are the rows without the ones at their ends."""
+    f = _folded(model.dense)
+    x = model.ids.take(ids, axis=0)
+    x += model.dense["place"]
+    found = _states(f, x, opening)
+    return found | {"x": x.reshape(-1, DIM), "g": found["rows"][:, :DIM].reshape(len(ids), STEP, DIM), "folded": f}
 
 
 def _log_softmax(logits: np.ndarray) -> np.ndarray:
@@ -150,50 +169,44 @@ def _log_softmax(logits: np.ndarray) -> np.ndarray:
 
 
 class Windows:
-    """All windows over documents of so many ids (one at least): what they read, which places they score, and whose id those are."""
+    """All windows over documents of so many ids (one at least): what they read, which places they score, and whose id those are.
+
+    The ids are laid out in blocks of STEP, a block of none before each document: a window is two blocks that follow each other.
+    """
 
     def __init__(self, ids: np.ndarray, counts: np.ndarray, end: int):
-        self.counts, self.first = counts, np.cumsum(counts) - counts
-        self.before = np.empty_like(ids)
-        self.before[1:] = ids[:-1]
-        self.before[self.first] = end
+        first = np.cumsum(counts) - counts
         many = -(-counts // STEP)
+        begin = np.cumsum(many + 1) - many  # each document's first block
         self.doc = np.repeat(np.arange(len(counts)), many)
-        self.begin = (np.arange(len(self.doc)) - np.repeat(np.cumsum(many) - many, many)) * STEP
+        self.block = np.arange(len(self.doc)) + self.doc + 1
+        self.opening = np.zeros(len(self.doc), bool)
+        self.opening[np.cumsum(many) - many] = True
+        # a window's first scored id, and how many it scores
+        place = (np.arange(len(self.doc)) - np.repeat(np.cumsum(many) - many, many)) * STEP
+        self.first, self.size = first[self.doc] + place, np.minimum(counts[self.doc] - place, STEP)
+        before = np.full((len(self.doc) + len(counts)) * STEP, end, ids.dtype)
+        at = np.arange(len(ids)) + np.repeat(begin * STEP - first, counts)
+        before[at[1:]] = ids[:-1]
+        before[begin * STEP] = end
+        self.given = np.lib.stride_tricks.sliding_window_view(before, WINDOW)[::STEP] if len(ids) else before.reshape(-1, WINDOW)
 
     def take(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        doc, begin = self.doc[which], self.begin[which]
-        place = begin[:, None] + np.arange(STEP - WINDOW, STEP)
-        inside = (place >= 0) & (place < self.counts[doc][:, None])
-        where = self.first[doc][:, None] + np.where(inside, place, 0)
-        return self.before[where], begin == 0, inside[:, WINDOW - STEP :], where[:, WINDOW - STEP :]
+        inside = _PLACES < self.size[which][:, None]
+        return self.given[self.block[which] - 1], self.opening[which], inside, self.first[which][:, None] + _PLACES * inside
 
 
 class Scorer:
-    """The forward pass alone, with keys and values of all ids made once; a last column of ones adds up the weights."""
+    """The forward pass alone."""
 
     def __init__(self, model: Attention):
-        p = model.dense
-        both = np.concatenate([p["k"], p["v"]], axis=1)
-        self.model, self.query = model, p["q"] * _SCALE
-        self.table = np.concatenate([model.ids @ both, np.ones((len(model.ids), 1), np.float32)], axis=1)
-        self.place = np.concatenate([p["place"] @ both, np.zeros((WINDOW, 1), np.float32)], axis=1)
-
-    def states(self, ids: np.ndarray, opening: np.ndarray) -> np.ndarray:
-        """One row per place of the windows' last STEP."""
-        p, n = self.model.dense, len(ids)
-        y = self.model.ids.take(ids[:, WINDOW - STEP :], axis=0)
-        y += p["place"][WINDOW - STEP :]
-        y = y.reshape(-1, DIM)
-        both = self.table.take(ids, axis=0)
-        both += self.place
-        a = _weights((y @ self.query).reshape(n, STEP, DIM), both[:, :, :DIM], opening)
-        o = np.matmul(a, both[:, :, DIM:]).reshape(-1, DIM + 1)
-        y += (o[:, :DIM] / o[:, DIM:]) @ p["o"]
-        r = y @ p["up"]
-        r += p["bias"]
-        y += np.maximum(r, 0, out=r) @ p["down"]
-        return y
+        self.model, self.folded = model, _folded(model.dense)
+
+    def logits(self, ids: np.ndarray, opening: np.ndarray) -> np.ndarray:
+        """One row per place of the windows' last STEP, one column per class."""
+        x = self.model.ids.take(ids, axis=0)
+        x += self.model.dense["place"]
+        return _states(self.folded, x, opening)["rows"] @ self.folded["out"]
 
 
 def log_probabilities(model: Attention, ids: np.ndarray, counts: np.ndarray, end: int) -> np.ndarray:
@@ -203,8 +216,7 @@ def log_probabilities(model: Attention, ids: np.ndarray, counts: np.ndarray, end
     klass = model.klass[ids].astype(np.int64)
     for at in range(0, len(all_.doc), AT_ONCE):
         given, opening, scored, where = all_.take(np.arange(at, min(at + AT_ONCE, len(all_.doc))))
-        logits = scorer.states(given, opening) @ model.dense["out"]
-        logits += model.dense["constant"]
+        logits = scorer.logits(given, opening)
         chosen = np.minimum(logits.reshape(-1)[np.arange(0, logits.size, CLASSES) + klass[where].reshape(-1)], _LARGEST)
         chosen -= np.log(_sums(_exp(logits)))
         scored = scored.reshape(-1)
@@ -250,20 +262,24 @@ def train(
     dense, mean, square = _side_by_side(model.dense), _side_by_side(p.mean), _side_by_side(p.square)
     for _ in range(epochs):
         order = rng.permutation(len(all_.doc))
-        for at in range(0, len(order), batch):
-            given, opening, scored, where = all_.take(order[at : at + batch])
-            grads, touched, rows = _gradients(model, given, opening, klass[where], scored)
-            p.step += 1
-            rate = RATE * min(1.0, p.step / 50) * max(0.1, pace[0] + (pace[1] - pace[0]) * at / len(order))
-            g = np.concatenate([grads[k].reshape(-1) for k in model.dense])
-            mean += 0.1 * (g - mean)
-            square += 0.01 * (g * g - square)
-            dense -= rate * (mean / (1 - 0.9**p.step)) / (np.sqrt(square / (1 - 0.99**p.step)) + 1e-8)
-            sums = p.sums[touched] + _sums(rows * rows) / DIM
-            p.sums[touched] = sums
-            p.read[touched] += 1
-            rows *= (ID_RATE / np.sqrt(sums))[:, None]
-            model.ids[touched] -= rows
+        for ahead in range(0, len(order), AHEAD * batch):
+            given, opening, scored, where = all_.take(order[ahead : ahead + AHEAD * batch])
+            target, met = klass[where], []
+            for at in range(0, len(given), batch):
+                now = slice(at, at + batch)
+                grads, touched, rows = _gradients(model, given[now], opening[now], target[now], scored[now])
+                p.step += 1
+                rate = RATE * min(1.0, p.step / 50) * max(0.1, pace[0] + (pace[1] - pace[0]) * (ahead + at) / len(order))
+                g = np.concatenate([grads[k].reshape(-1) for k in model.dense])
+                mean += 0.1 * (g - mean)
+                square += 0.01 * (g * g - square)
+                dense -= rate * (mean / (1 - 0.9**p.step)) / (np.sqrt(square / (1 - 0.99**p.step)) + 1e-8)
+                sums = p.sums[touched] + _sums(rows * rows) / DIM
+                p.sums[touched] = sums
+                rows *= (ID_RATE / np.sqrt(sums))[:, None]
+                model.ids[touched] -= rows
+                met.append(touched)
+            p.read += np.bincount(np.concatenate(met), minlength=len(p.read))
 
 
 def _side_by_side(parts: dict[str, np.ndarray]) -> np.ndarray:
@@ -277,58 +293,50 @@ def _side_by_side(parts: dict[str, np.ndarray]) -> np.ndarray:
 
 def _gradients(model: Attention, ids: np.ndarray, opening: np.ndarray, target: np.ndarray, inside: np.ndarray):
     """Slopes of the mean loss: of each dense parameter, the distinct ids, and of each one's row."""
-    p, n, f = model.dense, len(ids), _forward(model, ids, opening)
+    p, n, s = model.dense, len(ids), _forward(model, ids, opening)
+    f, x = s["folded"], s["x"].reshape(n, WINDOW, DIM)
     # of each place and class the probability, less 1 for the target, times the sum that it is yet to be divided by
-    g = f["g"].reshape(-1, DIM)
-    e = g @ p["out"]
-    e += p["constant"]
-    total = _sums(_exp(e)) + np.float32(1e-30)
+    e = _exp(s["rows"] @ f["out"])
+    total = _sums(e) + np.float32(1e-30)
     e.reshape(-1)[np.arange(0, e.size, CLASSES) + target.reshape(-1)] -= total
-    share = (inside.reshape(-1) / np.float32(max(1, int(inside.sum())))).astype(np.float32) / total
-    grads = {"out": (g * share[:, None]).T @ e, "constant": share @ e}
+    share = ((inside.reshape(-1) / np.float32(max(1, int(inside.sum())))).astype(np.float32) / total)[:, None]
+    both = (s["rows"] * share).T @ e
+    grads = {"out": both[:DIM], "constant": both[DIM]}
     dg = e @ p["out"].T
-    dg *= share[:, None]
-    ones = np.ones(len(e), np.float32)
-    grads["down"] = f["r"].T @ dg
+    dg *= share
+    grads["down"] = s["r"].T @ dg * np.float32(0.5)
     dz = dg @ p["down"].T
-    dz *= f["r"] > 0
-    grads["up"], grads["bias"] = f["h"].T @ dz, ones @ dz
+    dz *= s["r"] > 0
+    both = s["h"].T @ dz
+    grads["up"], grads["bias"] = both[:DIM], both[DIM]
     dh = dz @ p["up"].T
     dh += dg
-    grads["o"] = f["o"].T @ dh
-    do = dh @ p["o"].T
+    both = s["o"].T @ dh
+    grads["v"], grads["o"] = both @ p["o"].T, p["v"].T @ both
+    do = dh @ f["vo"].T
+    do /= s["total"]
     # what a place's weights lose by adding up to 1
-    lost = _sums(do * f["o"]).reshape(n, STEP, 1)
+    lost = _sums(do * s["o"]).reshape(n, STEP, 1)
     do = do.reshape(n, STEP, DIM)
-    ds = np.matmul(do, f["kv"][:, :, DIM:].transpose(0, 2, 1))
+    ds = np.matmul(do, x.transpose(0, 2, 1))
     ds -= lost
-    ds *= f["a"]
-    dq = np.matmul(ds, f["kv"][:, :, :DIM]).reshape(-1, DIM)
-    dq *= _SCALE
-    dkv = np.empty_like(f["kv"])
-    np.matmul(ds.transpose(0, 2, 1), f["q"].reshape(n, STEP, DIM), out=dkv[:, :, :DIM])
-    np.matmul(f["a"].transpose(0, 2, 1), do, out=dkv[:, :, DIM:])
-    dkv = dkv.reshape(-1, 2 * DIM)
-    grads["q"], both = f["y"].T @ dq, f["x"].T @ dkv
-    grads["k"], grads["v"] = both[:, :DIM], both[:, DIM:]
-    dx = (dkv @ np.concatenate([p["k"], p["v"]], axis=1).T).reshape(n, WINDOW, DIM)
-    dh += dq @ p["q"].T
+    ds *= s["a"]
+    dq = np.matmul(ds, x).reshape(-1, DIM)
+    both = s["y"].T @ dq * _SCALE
+    grads["q"], grads["k"] = both @ p["k"], both.T @ p["q"]
+    dx = np.matmul(s["a"].transpose(0, 2, 1), do)
+    dx += np.matmul(ds.transpose(0, 2, 1), s["q"].reshape(n, STEP, DIM))
+    dh += dq @ f["qk"].T
     dx[:, WINDOW - STEP :] += dh.reshape(n, STEP, DIM)
     grads["place"] = (np.ones(n, np.float32) @ dx.reshape(n, -1)).reshape(WINDOW, DIM)
     touched, order, begin = _by_id(ids.reshape(-1), len(model.ids))
-    return grads, touched, np.add.reduceat(dx.reshape(-1, DIM).take(order, axis=0), begin, axis=0)
+    pairs = dx.reshape(-1, DIM).view(np.complex64)  # two numbers are added at once
+    return grads, touched, np.add.reduceat(pairs.take(order, axis=0), begin, axis=0).view(np.float32)
 
 
 def _by_id(ids: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct ids, an order of the places that brings equal ids together, and where each of them begins in it."""
-    place = np.arange(len(ids))
-    last = np.empty(size, np.int64)
-    last[ids] = place  # one of the places of an id
-    one = last[ids]
-    chosen = np.flatnonzero(one == place)
-    number = np.empty(len(ids), np.min_scalar_type(max(1, len(chosen))))  # numbers of two bytes are sorted by radix
-    number[chosen] = np.arange(len(chosen))
-    number = number[one]
-    order = np.argsort(number, kind="stable")
-    sizes = np.bincount(number, minlength=len(chosen))
-    return ids[chosen], order, np.cumsum(sizes) - sizes
+    order = np.argsort(ids.astype(np.min_scalar_type(size)), kind="stable")  # numbers of two bytes are sorted by radix
+    sorted_ = ids[order]
+    begin = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
+    return sorted_[begin], order, begin

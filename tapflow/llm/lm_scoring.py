@@ -97,7 +97,7 @@ class Piece:
     @classmethod
     def of(cls, own, texts: W.Flat, held: np.ndarray, tried: np.ndarray) -> Piece:
         data, found, hashed = split(texts)
-        unique, first, index = np.unique(hashed, return_index=True, return_inverse=True)
+        unique, first, index = W.distinct(hashed)
         if len(unique):
             pool, sizes = own.pieces(*spaced(data, found.starts[first], found.ends[first]))
         else:
@@ -303,7 +303,10 @@ def _classes(stored: Pieces, id_counts: np.ndarray, end: int) -> np.ndarray:
         made, sums = attention.Neighbours(sent.value), None
         for piece in _trained(batches):
             found = made.of(piece.laid(end)[0])
-            sums = found if sums is None else sums + found
+            if sums is None:
+                sums = found
+            else:
+                sums += found
         return sums
 
     return attention.classes(_summed(stored, beside, size, 2 * attention.NEAR), id_counts)

@@ -24,6 +24,7 @@ AT_ONCE = 1 << 16
 _SPACE, _BREAK = 32, 10
 
 _solid = W.byte_class((33, 126))
+_ascii = _solid & (np.arange(256) < 128)
 _letter = np.zeros(256, bool)
 _letter[65:91] = _letter[97:123] = True
 
@@ -69,18 +70,26 @@ def cut(texts: W.Flat) -> np.ndarray:
     return np.flatnonzero(begins)
 
 
-def _runs(which: list[int], words: list[str]) -> Iterator[list[int]]:
-    """The indexes of words in runs of about AT_ONCE characters; a longer word is a run alone."""
-    run: list[int] = []
-    size = 0
-    for i in which:
-        if run and size + len(words[i]) > AT_ONCE:
-            yield run
-            run, size = [], 0
-        run.append(i)
-        size += len(words[i])
-    if run:
-        yield run
+def _kinds(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which pieces are a space and then printable characters that are no spaces, which only such characters, and the others."""
+    spaced = data[starts] == _SPACE
+    inside = np.append(0, np.cumsum(_ascii[data[W.ragged(starts, sizes)]]))
+    last = np.cumsum(sizes)
+    solid = (inside[last] - inside[last - sizes] == sizes - spaced) & (sizes > spaced)
+    for i in np.flatnonzero(~solid).tolist():
+        rest = str(data[starts[i] + spaced[i] : starts[i] + sizes[i]], "utf-8", "surrogatepass")
+        solid[i] = rest != "" and " " not in rest and rest.isprintable()  # no white space but a space is printable
+    return np.flatnonzero(solid & spaced), np.flatnonzero(solid & ~spaced), np.flatnonzero(~solid)
+
+
+def _runs(sizes: np.ndarray) -> Iterator[slice]:
+    """Pieces of these sizes in runs of about AT_ONCE bytes; a longer piece is a run alone."""
+    long = np.cumsum(sizes > AT_ONCE)
+    number = (np.cumsum(sizes) - sizes) // AT_ONCE + long + np.append(0, long)[:-1]
+    borders = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(sizes)]
+    for first, last in zip(borders, borders[1:], strict=False):
+        if first < last:
+            yield slice(first, last)
 
 
 class Encoder:
@@ -109,7 +118,7 @@ class Encoder:
     def pieces(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces one after the other, and how many each has."""
         hashed = W.hashes(data, starts, ends)[0]
-        unique, index, inverse = np.unique(hashed, return_index=True, return_inverse=True)
+        unique, index, inverse = W.distinct(hashed)
         at = np.searchsorted(self.known, unique)
         new = np.ones(len(unique), bool)
         inside = at < len(self.known)
@@ -129,43 +138,44 @@ class Encoder:
 
     def _learn(self, data: np.ndarray, hashed: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         # Only the new pieces are copied out of the text, not the whole text.
-        text = memoryview(np.ascontiguousarray(data))
-        words = [str(text[a:b], "utf-8", "surrogatepass") for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-        spaced, plain, odd = [], [], []
-        for i, w in enumerate(words):
-            rest = w[1:] if w[0] == " " else w
-            # no white space but a space is printable
-            (odd if not rest or " " in rest or not rest.isprintable() else spaced if rest is not w else plain).append(i)
-        found, sizes, which = [self.pool], [], []
-        for run in _runs(spaced, words):
-            ids = self._ids("".join([words[i] for i in run]))
+        sizes = ends - starts
+        spaced, plain, odd = _kinds(data, starts, sizes)
+        found, n_ids, which = [self.pool], [], []
+        for run in _runs(sizes[spaced]):
+            own = spaced[run]
+            ids = self._ids(str(data[W.ragged(starts[own], sizes[own])], "utf-8", "surrogatepass"))
             begins = np.flatnonzero(self.opens[ids])
             begins[0] = 0
             found.append(ids)
-            sizes.append(np.diff(begins, append=len(ids)))
-            which.append(run)
-        for run in _runs(plain, words):
-            ids = self._ids("\n".join([words[i] for i in run]))
+            n_ids.append(np.diff(begins, append=len(ids)))
+            which.append(own)
+        for run in _runs(sizes[plain]):
+            own = plain[run]
+            lines = np.full(int(sizes[own].sum()) + len(own) - 1, _BREAK, np.uint8)
+            lines[W.ragged(np.cumsum(sizes[own] + 1) - sizes[own] - 1, sizes[own])] = data[W.ragged(starts[own], sizes[own])]
+            ids = self._ids(str(lines, "utf-8", "surrogatepass"))
             marks = ids == self.line_break
             found.append(ids[~marks])
-            sizes.append(np.diff(np.flatnonzero(marks), prepend=-1, append=len(ids)) - 1)
-            which.append(run)
-        for run in _runs(odd, words):
-            parts = [e.ids for e in self.tokenizer.encode_batch_fast([words[i] for i in run], add_special_tokens=False)]
+            n_ids.append(np.diff(np.flatnonzero(marks), prepend=-1, append=len(ids)) - 1)
+            which.append(own)
+        for run in _runs(sizes[odd]):
+            own = odd[run]
+            words = [str(data[a:b], "utf-8", "surrogatepass") for a, b in zip(starts[own].tolist(), ends[own].tolist(), strict=True)]
+            parts = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
             found.append(np.array([x for part in parts for x in part], np.int32))
-            sizes.append(np.array([len(part) for part in parts], np.int64))
-            which.append(run)
-        for run, n in zip(which, sizes, strict=True):
+            n_ids.append(np.array([len(part) for part in parts], np.int64))
+            which.append(own)
+        for run, n in zip(which, n_ids, strict=True):
             if len(run) != len(n):
                 raise ValueError("the tokenizer didn't cut between the pieces")
-        counts = np.concatenate(sizes)
+        order = np.argsort(np.concatenate(which))  # as the hashes come: sorted
+        counts = np.concatenate(n_ids)
         at = len(self.pool) + np.cumsum(counts) - counts
         self.pool = np.concatenate(found).astype(np.int32, copy=False)
-        known = np.concatenate([self.known, hashed[np.concatenate(which)]])
-        order = np.argsort(known)
-        self.known = known[order]
-        self.at = np.concatenate([self.at, at])[order]
-        self.counts = np.concatenate([self.counts, counts])[order]
+        into = np.searchsorted(self.known, hashed)
+        self.known = np.insert(self.known, into, hashed)
+        self.at = np.insert(self.at, into, at[order])
+        self.counts = np.insert(self.counts, into, counts[order])
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)

@@ -168,6 +168,54 @@ def test_all_but_the_attention_is_done_on_few_large_matrices():
             assert found["g"][w, i] == pytest.approx(g, rel=1e-3, abs=1e-4)
 
 
+def test_places_have_no_keys_and_values_of_their_own():
+    """Queries by keys and values by outputs are one matrix each; their slopes are those of the four matrices."""
+    rng = np.random.default_rng(1)
+    ids, counts = rng.integers(0, 50, 90).astype(np.int32), np.array([30, 1, 59])
+    net = A.fresh(51, np.arange(51, dtype=np.int16), np.zeros(51, np.float32))
+    all_ = A.Windows(ids, counts, 50)
+    given, opening, scored, where = all_.take(np.arange(len(all_.doc)))
+    found = A._forward(net, given, opening)
+    assert found["x"].size == given.size * A.DIM
+    assert not [k for k, v in found.items() if not isinstance(v, dict) and v.size > max(found["x"].size, found["a"].size, found["r"].size)]
+    target = net.klass[ids[where]].astype(np.int64)
+    grads, _, _ = A._gradients(net, given, opening, target, scored)
+
+    def loss():
+        logs = A._log_softmax(A._forward(net, given, opening)["g"].astype(np.float64) @ net.dense["out"] + net.dense["constant"])
+        return -(np.take_along_axis(logs, target[..., None], 2)[..., 0] * scored).sum() / scored.sum()
+
+    for k in "qkvo":
+        for at in zip(*np.unravel_index(np.argsort(-abs(grads[k]).reshape(-1))[:4], grads[k].shape), strict=True):
+            slopes = []
+            for step in (1e-2, -1e-2):
+                net.dense[k][at] += step
+                slopes.append(loss() / step / 2)
+                net.dense[k][at] -= step
+            assert sum(slopes) == pytest.approx(float(grads[k][at]), rel=0.1, abs=1e-4)
+
+
+def test_windows_are_laid_out_without_copies():
+    rng = np.random.default_rng(2)
+    counts = np.array([1, A.STEP, A.STEP + 1, 40, 5])
+    ids = rng.integers(0, 60, counts.sum()).astype(np.int32)
+    all_ = A.Windows(ids, counts, 63)
+    assert all_.given.strides[0] == A.STEP * ids.itemsize  # windows that follow each other share a block
+    given, opening, scored, where = all_.take(np.arange(len(all_.doc)))
+    w = 0
+    for d, first in enumerate(np.cumsum(counts) - counts):
+        before = [63, *ids[first : first + counts[d] - 1].tolist()]
+        for begin in range(0, counts[d], A.STEP):
+            place = range(begin + A.STEP - A.WINDOW, begin + A.STEP)
+            assert given[w].tolist() == [before[i] if 0 <= i < counts[d] else 63 for i in place] and opening[w] == (begin == 0)
+            assert scored[w].tolist() == [i < counts[d] for i in place[A.WINDOW - A.STEP :]]
+            assert where[w][scored[w]].tolist() == list(range(first + begin, first + min(begin + A.STEP, counts[d])))
+            w += 1
+    assert w == len(all_.doc)
+    for none in (A.Windows(ids[:0], counts[:0], 63),):
+        assert [len(x) for x in none.take(np.arange(0))] == [0] * 4
+
+
 def test_nothing_to_learn_from(spark):
     odd = odd_docs(spark).select("doc_id", "text")
     assert X.score(odd.limit(0), VOCABULARY).count() == 0

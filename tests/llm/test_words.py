@@ -60,6 +60,32 @@ def test_subword_ids_equal_the_tokenizers():
     assert subwords.encode(texts, path) == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_kinds_and_runs_of_pieces_are_found_by_arrays(monkeypatch):
+    words = [t for t in random_texts(600) if t] + [" a", "a", " ", "\x7f", " \x7f", " é", "é", " \x85", "\u2028a", " \u3000", "日", " 😀", "a b", "  a"]
+    texts = W.flat(pa.array(words))
+    starts, sizes = texts.offsets[:-1], np.diff(texts.offsets)
+    decoded = []
+    monkeypatch.setattr(subwords, "str", lambda *a: decoded.append(str(*a)) or decoded[-1], raising=False)
+    spaced, plain, odd = subwords._kinds(texts.data, starts, sizes)
+    for i, w in enumerate(words):
+        rest = w.removeprefix(" ")
+        solid = rest != "" and " " not in rest and rest.isprintable()
+        assert i in (odd if not solid else plain if rest is w else spaced)
+    assert len(spaced) + len(plain) + len(odd) == len(words)
+    assert not [x for x in decoded if x and x.isascii() and x.isprintable() and " " not in x]  # ordinary words aren't looked at one by one
+    monkeypatch.setattr(subwords, "AT_ONCE", 10)
+    sizes = np.array([3, 3, 3, 3, 25, 1, 2, 30, 40, 4])
+    assert [sizes[r].tolist() for r in subwords._runs(sizes)] == [[3, 3, 3, 3], [25], [1, 2], [30], [40], [4]]
+    assert list(subwords._runs(sizes[:0])) == []
+
+
+def test_distinct_values_with_a_place_and_numbers():
+    for values in (np.array([5, 1, 5, 2, 1], np.uint64), np.zeros(0, np.uint64), np.random.default_rng(0).integers(0, 50, 1000).astype(np.uint64)):
+        unique, place, number = W.distinct(values)
+        expected, inverse = np.unique(values, return_inverse=True)
+        assert unique.tolist() == expected.tolist() == values[place].tolist() and number.tolist() == inverse.tolist()
+
+
 def test_encoder_forgets_and_goes_on(monkeypatch):
     monkeypatch.setattr(subwords, "REMEMBERED_BYTES", 2_000)  # about 50 pieces
     own = subwords.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
